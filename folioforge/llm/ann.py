@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import narrow, stored
+from .common import narrow, ship, stored
 
 CODED = "vec_id long, dim int, raw binary, code binary, scale double, error double"
 FOUND = "query_id long, vec_id long, score double"
@@ -56,7 +56,7 @@ def encode(vectors: DataFrame, column: str = "embedding") -> DataFrame:
                 cols = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["vec_id", "dim", "raw", "code", "scale", "error"])
 
-    return narrow(vectors, {"vec_id": "long", column: "array<double>"}).mapInArrow(run, CODED)
+    return ship(narrow(vectors, {"vec_id": "long", column: "array<double>"})).mapInArrow(run, CODED)
 
 
 def cosine(q: np.ndarray, v: np.ndarray) -> np.ndarray:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -16,6 +18,20 @@ MAX_FILTER_BITS = 1 << 27
 HOT_SHARE = 1024
 
 
+_shipped: set[str] = set()
+
+
+def ship(df: DataFrame) -> DataFrame:
+    """The frame itself, after this package went to the executors, whose Python workers import it."""
+    context = df.sparkSession.sparkContext
+    if context.applicationId not in _shipped:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "folioforge"), "zip", os.path.dirname(package), os.path.basename(package))
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import narrow, stored
+from .common import narrow, ship, stored
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long, certified boolean"
@@ -50,7 +50,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, text: st
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return narrow(docs, {"doc_id": "long", text: "string"}).mapInArrow(run, PIECES)
+    return ship(narrow(docs, {"doc_id": "long", text: "string"})).mapInArrow(run, PIECES)
 
 
 def lower_bound(counts: np.ndarray) -> int:

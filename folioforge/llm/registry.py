@@ -12,7 +12,16 @@ from .ann import nearest
 from .chat_format import format_chats, loss_text, read_chats
 from .common import table
 from .exact_dedup import exact_dedup
+from .licenses import license_scan
+from .line_dedup import line_dedup
+from .near_dedup import near_duplicates
 from .packing import pack, token_pieces
+from .pieces import encode_documents, summary
+from .substring_dedup import substring_dedup
+from .toxicity import fit, held_out, score
+
+#: Score from which a document counts as toxic.
+TOXIC_AT = 0.7
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,14 +37,46 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(pieces, 2048)
 
 
+def op2_lsh_forest_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_block_matrix_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), every=50, k=5)
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every known licence, in whole documents and in whole lines."""
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"), 50).drop("kept_text")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = score(docs, fit(docs, table(spark, sf_dir, "labels")))
+    predicted = (F.col("score") >= TOXIC_AT).cast("int")
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"), F.size("spans").cast("long").alias("n_spans"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines, dropped lines and the digest of the remaining text of each document."""
+    kept = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("kept_sha256"))
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every whole text, and the digest of the text decoded from them."""
+    path = tokenizer_file("piece_bpe_32k.model")
+    return summary(encode_documents(table(spark, sf_dir, "documents"), path), path)
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = r"\### Assistant: </turn> ok"
     own = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -55,9 +96,12 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    own = [op1_best_fit_packing, op3_block_matrix_ann, op6_exact_dedup, op10_chat_format]
+    own = [
+        op1_best_fit_packing, op2_lsh_forest_near_dedup, op3_block_matrix_ann, op4_license_scan, op5_suffix_array_dedup,
+        op6_exact_dedup, op7_crf_toxicity, op8_line_dedup, op9_sentencepiece, op10_chat_format,
+    ]
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in sql.ORACLE.items() if k in queries()}
+    return dict(sql.ORACLE)

@@ -41,4 +41,55 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(learned) AS loss_c
 FROM o
 """
 
-ORACLE = {"op3_block_matrix_ann": OP3, "op6_exact_dedup": OP6, "op10_chat_format": OP10}
+
+OP8 = r"""
+WITH l AS (
+  SELECT doc_id, unnest(range(len(p))) AS line_no, unnest(p) AS line, coalesce(len(p), 0) AS n
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents WHERE text IS NOT NULL)
+), f AS (
+  SELECT doc_id, line_no, line, trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS flat FROM l
+), d AS (
+  SELECT flat, min(struct_pack(d := doc_id, l := line_no)) AS first, string_split(flat, ' ') AS w FROM f WHERE flat <> '' GROUP BY flat
+), v AS (
+  SELECT flat, first, 0 AS i, w AS v FROM d WHERE len(w) >= 8
+  UNION ALL
+  SELECT flat, first, i, list_concat(list_slice(w, 1, i - 1), list_slice(w, i + 1, len(w))) AS v
+  FROM (SELECT flat, first, w, unnest(range(1, len(w) + 1)) AS i FROM d WHERE len(w) >= 8)
+), p AS (
+  SELECT DISTINCT a.flat FROM v a JOIN v b ON a.v = b.v AND a.flat <> b.flat AND b.first < a.first
+    AND ((a.i = 0) <> (b.i = 0) OR a.i = b.i)
+), g AS (
+  SELECT f.doc_id, f.line_no, f.line, f.flat <> '' AND (p.flat IS NOT NULL OR d.first < struct_pack(d := f.doc_id, l := f.line_no)) AS gone
+  FROM f LEFT JOIN d ON d.flat = f.flat LEFT JOIN p ON p.flat = f.flat
+), k AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (coalesce(gone, false)) AS n_dropped,
+    coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT coalesce(gone, false)), '') AS kept
+  FROM g GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN k USING (doc_id)
+"""
+
+
+def op4() -> str:
+    from .licenses import ALL_RIGHTS, COPYRIGHT, MARKS, SPELLINGS, known_digests
+
+    c = f"regexp_replace(regexp_replace(unit, '{COPYRIGHT}', ' ', 'g'), '{ALL_RIGHTS}', ' ', 'g')"
+    c = f"' ' || regexp_replace(lower({c}), '{MARKS}', ' ', 'g') || ' '"
+    for old, new in SPELLINGS:
+        c = f"replace({c}, ' {old} ', ' {new} ')"
+    known = ", ".join(f"('{d}', '{n}')" for d, n in known_digests())
+    return f"""
+WITH known(digest, license) AS (VALUES {known}),
+u AS (
+  SELECT doc_id, 'text' AS scope, -1::INTEGER AS line_no, text AS unit FROM documents WHERE text IS NOT NULL
+  UNION ALL
+  SELECT doc_id, 'line', unnest(range(len(p)))::INTEGER, unnest(p) FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents WHERE text IS NOT NULL)
+), c AS (SELECT doc_id, scope, line_no, regexp_replace(trim({c}, ' '), ' +', ' ', 'g') AS canon FROM u)
+SELECT doc_id, scope, line_no, license FROM c JOIN known ON sha256(canon) = digest WHERE canon <> ''
+"""
+
+
+ORACLE = {
+    "op3_block_matrix_ann": OP3, "op4_license_scan": op4(), "op6_exact_dedup": OP6, "op8_line_dedup": OP8, "op10_chat_format": OP10,
+}
