@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
-Query = Callable[[SparkSession, str], DataFrame]
+from .plans import oracles
+from .plans.queries import Query, narrative_parts
+from .plans.queries import queries as _queries
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id")
+    """Documents packed into parts by the word limit."""
+    return narrative_parts(spark, sf_dir)
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return _queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.ORACLE)
