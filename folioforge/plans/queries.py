@@ -18,6 +18,7 @@ from ..operators.quality import chunk_errors, chunk_report, entity_report, missi
 from ..operators.questions import parse_questions
 from ..operators.report import chapter_preview
 from ..operators.translate import cache_status
+from ..shipping import ship
 from .pipeline import answer_types as answer_type_counts
 from .pipeline import page_counts as counted_pages
 from .pipeline import parse_book
@@ -152,7 +153,7 @@ SINGLE = {"entities": {"The": {"category": "sage", "aliases": ["the"]}, "And": {
 def _mentions(spark: SparkSession, sf_dir: str, config: dict) -> DataFrame:
     find = mention_finder(alias_rows(config))
     fields = F.transform(sentences(F.col("text")), lambda s, i: F.struct(F.concat(F.lit("s"), i.cast("string")).alias("field"), s.alias("text")))
-    return _documents(spark, sf_dir).select("doc_id", F.explode(F.get(find(F.array(fields)), 0)).alias("m")).select("doc_id", "m.*")
+    return ship(_documents(spark, sf_dir)).select("doc_id", F.explode(F.get(find(F.array(fields)), 0)).alias("m")).select("doc_id", "m.*")
 
 
 def alias_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
