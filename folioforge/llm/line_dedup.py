@@ -9,7 +9,7 @@ The deletion neighbourhood of a line is the line and each variant with one word
 within the bound exactly when one is a variant of the other, or both are equal after deleting the word at the same place.
 Lines sharing such a key are joined through the earliest line of the key, which is linear in its lines, and the
 word edit distance of each joined pair is verified on the words. Equal lines collapse to one before that, and only
-lines that share half of their words in place with a different line (as any pair within the bound does) have variants
+lines that share their first or last words with a different line (as any pair within the bound does) have variants
 emitted.
 
 Defined cases: null texts have no lines and stay null; blank lines are never dropped; rows without doc_id take no
@@ -28,7 +28,8 @@ KEY = ["k1", "k2"]
 
 
 def _flat(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), r"[\x20\x09-\x0D]+", " "))
+    """Lower case, every run of white space one space, none at the ends."""
+    return F.trim(F.regexp_replace(F.lower(line), r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " "))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -39,16 +40,19 @@ def _lines(docs: DataFrame) -> DataFrame:
     return out.withColumns({"k1": F.xxhash64("flat"), "k2": F.xxhash64(F.lit(97), "flat")})
 
 
-def _halves(words: Column) -> Column:
-    """Keys of which two lines within the bound share one: first or last half of the words, for n and n - 1 words."""
-    n = F.size(words)
+def _ends(flat: Column, n: Column, least_words: int) -> Column:
+    """Keys of which two lines within the bound share one: their first or last h words.
 
-    def of(m: Column) -> list[Column]:
-        half = F.floor(m / 2).cast("int")
-        return [F.xxhash64(F.lit("first"), m, F.slice(words, 1, half)),
-                F.xxhash64(F.lit("last"), m, F.slice(words, n - (m - half) + 1, m - half))]
-
-    return F.array(*of(n), *of(n - 1))
+    h is the largest power of two of at most half the words, so it is the same for both but where the longer has a power
+    of two of words; such a line also has the keys of half its h. An edit among the first h words leaves the last h.
+    """
+    h = F.lit(1)
+    for k in range(2, 31):
+        h = F.when(n >= (1 << k), F.lit(1 << (k - 1))).otherwise(h)
+    keys = lambda m: [F.xxhash64(F.lit("first"), m, F.call_function("substring_index", flat, F.lit(" "), m)), F.xxhash64(F.lit("last"), m, F.call_function("substring_index", flat, F.lit(" "), -m))]
+    half = F.floor(h / 2).cast("int")
+    both = F.when(h * 2 == n, F.array(*keys(h), *keys(half))).otherwise(F.array(*keys(h)))
+    return F.when(n >= least_words, both)
 
 
 def _distance_one(a: Column, b: Column) -> Column:
@@ -63,58 +67,68 @@ def _distance_one(a: Column, b: Column) -> Column:
 
 def repeated_lines(docs: DataFrame, least_words: int = 8) -> DataFrame:
     """(doc_id, line_no) of every line that goes."""
-    words = F.split("flat", " ")
-    halves = F.when(F.size(words) >= least_words, _halves(words))
-    rows = stored(_lines(docs).select("doc_id", "line_no", *KEY, halves.alias("halves")), "lines")
+    n = (F.length("flat") - F.length(F.replace("flat", F.lit(" "), F.lit(""))) + 1).alias("n_words")
+    own = _lines(docs).withColumn("n_words", n).withColumn("ends", _ends(F.col("flat"), F.col("n_words"), least_words))
+    rows = stored(own.select("doc_id", "line_no", *KEY, "ends"), "lines")
     total = rows.count()
-    place = F.struct("doc_id", "line_no")
-    lines = rows.groupBy(*KEY).agg(F.min(place).alias("first"), F.count("*").alias("n"), F.first("halves").alias("halves"))
+    lines = rows.groupBy(*KEY).agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n"), F.first("ends").alias("ends"))
     lines = stored(lines, "distinct")
 
-    # Lines that share a half with a different line.
-    half = lines.filter("halves IS NOT NULL").select(*KEY, F.explode(F.array_distinct("halves")).alias("half"))
-    shared = half.groupBy("half").agg(F.min("k1").alias("a"), F.max("k1").alias("b"), F.count("*").alias("n")).filter("a <> b").select("half", "n")
-    near = stored(join_back(half, shared, ["half"], "n", max(total, 1)).select(*KEY).distinct(), "near")
+    # Lines that share an end with a different line (and by the filter's error a few more).
+    end = lines.filter("ends IS NOT NULL").select(*KEY, "first", F.explode("ends").alias("end"))
+    shared = stored(end.groupBy("end").agg(F.min("k1").alias("a"), F.max("k1").alias("b")).filter("a <> b").select("end"), "shared")
+    bits = filter_bits(shared.count())
+    cells = [F.col("end"), F.xxhash64("end")]
+    near = bloom_probe(end, bloom_words(shared, cells, bits), cells, bits, "maybe").filter("maybe")
+    near = stored(near.select(*KEY, F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no")).distinct(), "near")
     n_near = near.count()
 
-    flagged = lines.filter("n < 0").select(*KEY)
+    gone = lines.filter("n > 1").select(*KEY, "first", "n", F.lit(False).alias("flag"))
     if n_near:
-        flagged = stored(_near_lines(docs, near, n_near, lines, least_words), "flagged")
-
-    gone = lines.select(*KEY, "first", "n").join(flagged.withColumn("flag", F.lit(True)), KEY, "left").filter("n > 1 OR flag")
-    gone = stored(gone.select(*KEY, "first", "n", F.coalesce("flag", F.lit(False)).alias("flag")), "gone")
+        flagged = stored(_near_lines(docs, near, n_near), "flagged")
+        bits = filter_bits(flagged.count())
+        cells = [F.col("k1"), F.col("k2")]
+        words = bloom_words(flagged, cells, bits)
+        marked = bloom_probe(lines.drop("ends"), words, cells, bits, "maybe")
+        held = marked.filter("maybe").join(flagged.withColumn("flag", F.lit(True)), KEY, "left")
+        held = held.filter("n > 1 OR flag").select(*KEY, "first", "n", F.coalesce("flag", F.lit(False)).alias("flag"))
+        gone = held.unionByName(marked.filter("NOT maybe AND n > 1").select(*KEY, "first", "n", F.lit(False).alias("flag")))
+    gone = stored(gone, "gone")
     bits = filter_bits(gone.count())
     cells = [F.col("k1"), F.col("k2")]
-    maybe = bloom_probe(rows.select("doc_id", "line_no", *KEY), bloom_words(gone, cells, bits), cells, bits, "maybe").filter("maybe").drop("maybe")
+    maybe = bloom_probe(rows.drop("ends"), bloom_words(gone, cells, bits), cells, bits, "maybe").filter("maybe").drop("maybe")
     hit = join_back(maybe, gone, KEY, "n", max(total, 1))
     return hit.filter(F.col("flag") | (F.struct("doc_id", "line_no") > F.col("first"))).select("doc_id", "line_no")
 
 
-def _near_lines(docs: DataFrame, near: DataFrame, n_near: int, lines: DataFrame, least_words: int) -> DataFrame:
+def _near_lines(docs: DataFrame, near: DataFrame, n_near: int) -> DataFrame:
     """Keys of the lines that have an earlier line at a word edit distance of one."""
     bits = filter_bits(n_near)
     cells = [F.col("k1"), F.col("k2")]
-    own = bloom_probe(_lines(docs), bloom_words(near, cells, bits), cells, bits, "maybe").filter("maybe")
-    firsts = near.join(lines, KEY).select(*KEY, F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no"))
+    ids = [F.xxhash64(F.col("doc_id").cast("long"))]
+    some = bloom_probe(docs.select("doc_id", "text"), bloom_words(near, ids, bits), ids, bits, "has").filter("has").drop("has")
+    own = bloom_probe(_lines(some), bloom_words(near, cells, bits), cells, bits, "maybe").filter("maybe")
     words = F.transform(F.split("flat", " "), lambda w: F.xxhash64(w))
-    texts = own.join(firsts, [*KEY, "doc_id", "line_no"]).select(*KEY, F.struct("doc_id", "line_no").alias("first"), words.alias("w"))
+    texts = own.join(near, [*KEY, "doc_id", "line_no"]).select(*KEY, F.struct("doc_id", "line_no").alias("first"), words.alias("w"))
     texts = stored(texts.dropDuplicates(KEY), "words")
 
-    place = F.sequence(F.lit(0), F.size("w"))
-    without = lambda i: F.concat(F.slice("w", 1, F.greatest(i - 1, F.lit(0))), F.slice("w", i + 1, F.size("w")))
-    keyed = F.transform(place, lambda i: F.struct(i.alias("i"), F.when(i == 0, F.xxhash64(F.col("w"))).otherwise(F.xxhash64(without(i))).alias("v")))
-    variants = texts.select(*KEY, "first", F.explode(keyed).alias("x")).select(*KEY, "first", "x.i", "x.v")
-    variants = stored(variants, "variants")
+    without = lambda i: F.concat(F.slice("w", F.lit(1), F.greatest(i - 1, F.lit(0))), F.slice("w", i + 1, F.size("w")))
+    keyed = F.transform(F.sequence(F.lit(0), F.size("w")), lambda i: F.when(i == 0, F.xxhash64(F.col("w"))).otherwise(F.xxhash64(without(i))))
+    variants = stored(texts.select(*KEY, "first", F.posexplode(keyed).alias("i", "v")), "variants")
+
+    # Only keys of two variants or more can join lines: the rest of the variants end here.
+    twice = stored(variants.groupBy("v").agg(F.count("*").alias("n")).filter("n > 1").select("v"), "twice")
+    bits = filter_bits(twice.count())
+    cells = [F.col("v"), F.xxhash64("v")]
+    variants = stored(bloom_probe(variants, bloom_words(twice, cells, bits), cells, bits, "maybe").filter("maybe").drop("maybe"), "shared_variants")
+    n = max(1, variants.count())
     who = F.struct("first", *KEY)
-    whole = variants.filter("i = 0").groupBy("v").agg(F.min(who).alias("e"), F.count("*").alias("n"))
-    any_ = variants.filter("i > 0").groupBy("v").agg(F.min(who).alias("e"), F.count("*").alias("n"))
-    at = variants.filter("i > 0").groupBy("v", "i").agg(F.min(who).alias("e"), F.count("*").alias("n"))
     cuts, wholes = variants.filter("i > 0"), variants.filter("i = 0")
-    n = max(1, n_near * 32)
+    least = lambda rows, *by: rows.groupBy(*by).agg(F.min(who).alias("e"), F.count("*").alias("n"))
     found = [
-        join_back(cuts, at.filter("n > 1"), ["v", "i"], "n", n),
-        join_back(cuts, whole, ["v"], "n", n),
-        join_back(wholes, any_, ["v"], "n", n),
+        join_back(cuts, least(cuts, "v", "i").filter("n > 1"), ["v", "i"], "n", n),
+        join_back(cuts, least(wholes, "v"), ["v"], "n", n),
+        join_back(wholes, least(cuts, "v"), ["v"], "n", n),
     ]
     pairs = None
     for f in found:
