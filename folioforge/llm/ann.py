@@ -62,13 +62,13 @@ def encode(vectors: DataFrame, column: str = "embedding") -> DataFrame:
 def cosine(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     """Cosine of q with each row of v in double precision, summed component by component in order."""
     dot, nv, nq = np.zeros(len(v)), np.zeros(len(v)), 0.0
-    for k in range(len(q)):
-        dot += v[:, k] * q[k]
-        nv += v[:, k] * v[:, k]
-        nq += q[k] * q[k]
     with np.errstate(all="ignore"):
+        for k in range(len(q)):
+            dot += v[:, k] * q[k]
+            nv += v[:, k] * v[:, k]
+            nq += q[k] * q[k]
         out = dot / np.sqrt(nv * nq)
-    bad = ~np.isfinite(out) | (nv * nq < 1e-280)
+        bad = ~np.isfinite(out) | (nv * nq < 1e-280)
     if bad.any():  # components whose squares leave the range of doubles
         a, b = q / np.abs(q).max(), v[bad] / np.abs(v[bad]).max(axis=1, keepdims=True)
         out[bad] = (b @ a) / np.sqrt((a @ a) * (b * b).sum(axis=1))

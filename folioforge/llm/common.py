@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -12,26 +10,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..shipping import ship
+
+__all__ = ["bloom_probe", "bloom_words", "components", "filter_bits", "join_back", "narrow", "shared_dir", "ship", "stored", "table"]
+
 #: Largest Bloom filter in bits (16 MiB): the proven bound of every filter that is broadcast.
 MAX_FILTER_BITS = 1 << 27
 #: A key with more rows than 1/HOT_SHARE of its table is hot; at most HOT_SHARE keys can be.
 HOT_SHARE = 1024
 
 
-_shipped: set[str] = set()
-
-
-def ship(df: DataFrame) -> DataFrame:
-    """The frame itself, after this package went to the executors, whose Python workers import it."""
-    context = df.sparkSession.sparkContext
-    if context.applicationId not in _shipped:
-        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "folioforge"), "zip", os.path.dirname(package), os.path.basename(package))
-        context.addPyFile(archive)
-        _shipped.add(context.applicationId)
-    return df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

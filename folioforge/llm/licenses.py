@@ -23,7 +23,7 @@ from .common import narrow
 
 #: Equivalent spellings, on canonical text of single-spaced words: (word or phrase, its one form). Fixed values.
 SPELLINGS = (
-    ("licence", "license"), ("licences", "licenses"), ("licenced", "licensed"), ("sub license", "sublicense"),
+    ("licence", "license"), ("licences", "licenses"), ("licenced", "licensed"), ("sub license", "sublicense"), ("sublicence", "sublicense"),
     ("non commercial", "noncommercial"), ("organisation", "organization"), ("organisations", "organizations"),
     ("merchantibility", "merchantability"), ("favour", "favor"), ("authorised", "authorized"), ("recognised", "recognized"),
     ("v 2", "version 2"), ("v 3", "version 3"), ("v2", "version 2"), ("v3", "version 3"), ("version 2 0", "version 2"), ("version 3 0", "version 3"),
