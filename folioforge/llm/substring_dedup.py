@@ -38,6 +38,8 @@ ANCHOR = 24
 #: Text bytes whose anchors one bucket takes on average.
 BUCKET_BYTES = 12_000_000
 HOT = 20_000
+#: Parts of the documents between buckets and documents; bounds the rows that buckets return.
+MOST_PARTS = 4096
 _BASE = 0xD6E8FEB86659FD93
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _PLACE = U((1 << 28) - 1)
@@ -103,28 +105,55 @@ def _anchors_out(length: int, n: int):
     return run
 
 
-def _repeated(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Per document its anchors of this bucket that two documents or more have (by 32 further bits: a superset)."""
-    docs = np.repeat(np.frombuffer(b"".join(pdf["docs"]), np.int64), np.frombuffer(b"".join(pdf["counts"]), np.uint32))
-    h = np.frombuffer(b"".join(pdf["anchors"]), np.uint32)
-    order = np.argsort(h, kind="stable")
-    key, d = h[order], docs[order]
-    start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-    size = np.diff(np.r_[start, len(key)])
-    many = np.minimum.reduceat(d, start) < np.maximum.reduceat(d, start)
-    live = np.repeat(many, size)
-    hot = np.repeat(size > HOT, size)[live]
-    d, key = d[live], key[live]
-    order = np.lexsort((key, d))
-    d, key, hot = d[order], key[order], hot[order]
-    keep = np.ones(len(d), bool)
-    keep[1:] = (d[1:] != d[:-1]) | (key[1:] != key[:-1])
-    d, key, hot = d[keep], key[keep], hot[keep]
-    cut = np.flatnonzero(np.r_[True, d[1:] != d[:-1]]) if len(d) else np.zeros(0, np.int64)
-    ends = np.r_[cut[1:], len(d)] if len(d) else cut
-    packed = key.astype(np.uint64) | (hot.astype(np.uint64) << U(32))
-    b = int(pdf["bucket"].iloc[0])
-    return pd.DataFrame({"id": d[cut], "bucket": np.full(len(cut), b, np.int32), "own": [packed[i:j].tobytes() for i, j in zip(cut, ends, strict=True)]})
+def _packed(docs: np.ndarray, values: np.ndarray, parts: int) -> pd.DataFrame:
+    """Values (rows of 64-bit numbers, sorted by document) packed by part of the documents: few rows for any number of them."""
+    part = (mix(docs.view(np.uint64)) % U(parts)).astype(np.int64)
+    rows = []
+    for b, own in _by_bucket(part, parts):
+        ids, counts = np.unique(docs[own], return_counts=True)
+        rows.append((b, ids.tobytes(), counts.astype(np.int64).tobytes(), values[own].tobytes()))
+    return pd.DataFrame(rows, columns=["part", "docs", "counts", "own"])
+
+
+def _by_document(width: int):
+    """One row per document of a part, with all its values from all buckets."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        docs = np.repeat(np.frombuffer(b"".join(pdf["docs"]), np.int64), np.frombuffer(b"".join(pdf["counts"]), np.int64))
+        values = np.frombuffer(b"".join(pdf["own"]), np.uint64).reshape(-1, width)
+        order = np.argsort(docs, kind="stable")
+        docs, values = docs[order], values[order]
+        cut = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]])
+        ends = np.r_[cut[1:], len(docs)]
+        return pd.DataFrame({"id": docs[cut], "own": [values[i:j].tobytes() for i, j in zip(cut, ends, strict=True)]})
+
+    return run
+
+
+PACKED = "part int, docs binary, counts binary, own binary"
+
+
+def _repeated(parts: int):
+    """The anchors of one bucket that two documents or more have (by 32 further bits: a superset), for each of these."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        docs = np.repeat(np.frombuffer(b"".join(pdf["docs"]), np.int64), np.frombuffer(b"".join(pdf["counts"]), np.uint32))
+        h = np.frombuffer(b"".join(pdf["anchors"]), np.uint32)
+        order = np.argsort(h, kind="stable")
+        key, d = h[order], docs[order]
+        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        size = np.diff(np.r_[start, len(key)])
+        live = np.repeat(np.minimum.reduceat(d, start) < np.maximum.reduceat(d, start), size)
+        hot = np.repeat(size > HOT, size)[live]
+        d, key = d[live], key[live]
+        full = key.astype(np.uint64) | (hot.astype(np.uint64) << U(32)) | (U(int(pdf["bucket"].iloc[0])) << U(33))
+        order = np.lexsort((full, d))
+        d, full = d[order], full[order]
+        keep = np.ones(len(d), bool)
+        keep[1:] = (d[1:] != d[:-1]) | (full[1:] != full[:-1])
+        return _packed(d[keep], full[keep], parts)
+
+    return run
 
 
 def _pieces_out(length: int, n: int):
@@ -138,12 +167,7 @@ def _pieces_out(length: int, n: int):
                 first, count, doc, h = windows(data, at, length)
                 if not len(first):
                     continue
-                wanted = []
-                for own in batch.column(2).slice(lo, k).to_pylist():
-                    for x in own:
-                        low = np.frombuffer(x["own"], np.uint64)
-                        wanted.append(low | (U(x["bucket"]) << U(33)))
-                wanted = np.unique(np.concatenate(wanted))
+                wanted = np.unique(np.frombuffer(b"".join(batch.column(2).slice(lo, k).to_pylist()), np.uint64))
                 mine = (h & U(0xFFFFFFFF)) | ((h >> U(33)).astype(np.int64) % n).astype(np.uint64) << U(33)
                 hot = np.isin(mine | (U(1) << U(32)), wanted)
                 live = np.flatnonzero(hot | np.isin(mine, wanted))
@@ -170,6 +194,35 @@ def _pieces_out(length: int, n: int):
 
 
 def window_minima(pieces: list[bytes], owner: np.ndarray, length: int) -> list[np.ndarray]:
+    """For each window of each piece, the smallest owner of an equal window.
+
+    A window whose hash no other window has is equal to none, so pieces are first narrowed to the stretch from their
+    first to their last window with a shared hash. One suffix array over these stretches decides by their bytes.
+    """
+    size = np.array([len(p) for p in pieces])
+    n_win = size - length + 1
+    out = [np.full(n, o) for n, o in zip(n_win.tolist(), owner.tolist(), strict=True)]
+    at = np.cumsum(size) - size
+    step = np.arange(int(n_win.sum())) - np.repeat(np.cumsum(n_win) - n_win, n_win)
+    h = rolling(np.frombuffer(b"".join(pieces), np.uint8), length)[np.repeat(at, n_win) + step]
+    _, inverse, count = np.unique(h, return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(count[inverse] > 1)
+    which = np.repeat(np.arange(len(size)), n_win)[shared]
+    turn = np.flatnonzero(np.r_[True, which[1:] != which[:-1]]) if len(which) else which
+    stretches: dict[bytes, int] = {}
+    places = []
+    for a, b in zip(turn.tolist(), np.r_[turn[1:], len(which)].tolist() if len(which) else [], strict=True):
+        i, lo, hi = int(which[a]), int(step[shared[a]]), int(step[shared[b - 1]]) + length
+        text = pieces[i][lo:hi]
+        stretches[text] = min(int(owner[i]), stretches.get(text, int(owner[i])))
+        places.append((i, lo, text))
+    found = dict(zip(stretches, _sorted_minima(list(stretches), np.array(list(stretches.values())), length), strict=True)) if stretches else {}
+    for i, lo, text in places:
+        out[i][lo:lo + len(text) - length + 1] = found[text]
+    return out
+
+
+def _sorted_minima(pieces: list[bytes], owner: np.ndarray, length: int) -> list[np.ndarray]:
     """For each window of each piece, the smallest owner of an equal window, by one suffix array over all pieces."""
     sizes = np.array([len(p) for p in pieces])
     text = np.frombuffer(b"\0".join(pieces) + b"\0", np.uint8).astype(np.int64)
@@ -192,58 +245,76 @@ def window_minima(pieces: list[bytes], owner: np.ndarray, length: int) -> list[n
     return [out[at[i]:at[i] + sizes[i] - length + 1] for i in range(len(pieces))]
 
 
-def _decide(length: int, block: int = 400_000):
-    """Removed byte ranges of one bucket's pieces: (doc, ranges), ranges as first and end in int64 pairs."""
+def _piece_hashes(text: bytes, at: np.ndarray, size: np.ndarray, length: int, most: int = 2_000_000) -> np.ndarray:
+    raw = np.frombuffer(text, np.uint8)
+    power = powers(2 * length)
+    out = np.empty(len(size), np.uint64)
+    lo = 0
+    while lo < len(size):  # work space is bounded by `most` bytes of text
+        hi = max(lo + 1, int(np.searchsorted(at, at[lo] + most)))
+        s = size[lo:hi]
+        begin = at[lo:hi] - at[lo]
+        inside = np.arange(int(s.sum())) - np.repeat(begin, s)
+        out[lo:hi] = np.add.reduceat(BYTE[raw[at[lo]:at[lo] + len(inside)]] * power[inside], begin)
+        lo = hi
+    return mix(out + size.astype(np.uint64))
+
+
+def _merged(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Overlapping and touching ranges of each document joined: documents in order, and (first, end) pairs."""
+    order = np.lexsort((lo, doc))
+    doc, lo, hi = doc[order], lo[order], hi[order]
+    turn = np.cumsum(np.r_[False, doc[1:] != doc[:-1]])
+    wide = int(hi.max()) + 1
+    reach = np.maximum.accumulate(turn * wide + hi)
+    new = np.flatnonzero(np.r_[True, turn[1:] * wide + lo[1:] > reach[:-1]])
+    end = reach[np.r_[new[1:], len(doc)] - 1] - turn[new] * wide
+    return doc[new], np.stack([lo[new], end], axis=1)
+
+
+def _decide(length: int, parts: int, block: int = 1_000_000):
+    """Removed byte ranges of one bucket's pieces, packed by part of the documents."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         join = lambda c, t: np.frombuffer(b"".join(pdf[c]), t)
         h, doc, first = join("anchors", np.uint64), join("docs", np.int64), join("firsts", np.int64)
         size, text = join("sizes", np.uint16).astype(np.int64), b"".join(pdf["bytes"])
         at = np.cumsum(size) - size
-        raw = np.frombuffer(text, np.uint8)
-        inside = np.arange(len(raw)) - np.repeat(at, size)
-        content = np.add.reduceat(BYTE[raw] * powers(2 * length)[inside], at) + size.astype(np.uint64)
-        content = mix(content)
+        content = _piece_hashes(text, at, size, length)
         order = np.lexsort((doc, content, h))
         hs, cs = h[order], content[order]
         new = np.r_[True, (hs[1:] != hs[:-1]) | (cs[1:] != cs[:-1])]
-        start = np.flatnonzero(new)  # one per distinct piece; its first row has the smallest doc
         which = np.cumsum(new) - 1
-        rep = order[start]
-        owner = doc[rep]
-        other = h[rep]
-        alone = np.r_[True, other[1:] != other[:-1]] & np.r_[other[1:] != other[:-1], True]
-        minima: list[np.ndarray | None] = [None] * len(rep)
+        rep = order[np.flatnonzero(new)]  # one per distinct piece: the one with the smallest doc
+        owner, anchor = doc[rep], h[rep]
+        turn = np.r_[True, anchor[1:] != anchor[:-1], True]
+        alone = turn[:-1] & turn[1:]
+        ranges = []
+        own = np.flatnonzero(alone[which] & (doc[order] > owner[which]))  # equal pieces of a smaller doc, nothing else to compare
+        ranges.append((doc[order[own]], first[order[own]], first[order[own]] + size[order[own]]))
         several = np.flatnonzero(~alone)
+        begin = np.searchsorted(which, several)
+        end = np.searchsorted(which, several, "right")
         lo = 0
         while lo < len(several):  # blocks of whole anchors
-            hi = lo + 1
-            used = size[rep[several[lo]]]
-            while hi < len(several) and (used < block or other[several[hi]] == other[several[hi - 1]]):
+            hi, used = lo + 1, size[rep[several[lo]]]
+            while hi < len(several) and (used < block or anchor[several[hi]] == anchor[several[hi - 1]]):
                 used += size[rep[several[hi]]]
                 hi += 1
-            own = several[lo:hi]
-            for i, m in zip(own, window_minima([text[at[r]:at[r] + size[r]] for r in rep[own]], owner[own], length), strict=True):
-                minima[i] = m
+            pieces = [text[at[r]:at[r] + size[r]] for r in rep[several[lo:hi]]]
+            for k, low in enumerate(window_minima(pieces, owner[several[lo:hi]], length), lo):
+                rows = order[begin[k]:end[k]]
+                gone = low[None, :] < doc[rows][:, None]
+                r, w = np.nonzero(gone)
+                if len(r):
+                    start = first[rows[r]] + w
+                    ranges.append((doc[rows[r]], start, start + length))
             lo = hi
-        n_win = size[rep] - length + 1
-        flat = np.concatenate([np.full(n_win[i], owner[i]) if m is None else m for i, m in enumerate(minima)])
-        base = np.cumsum(n_win) - n_win
-        k = n_win[which]
-        row = np.repeat(np.arange(len(order)), k)
-        step = np.arange(int(k.sum())) - np.repeat(np.cumsum(k) - k, k)
-        gone = flat[base[which[row]] + step] < doc[order][row]
-        d, w = doc[order][row][gone], (first[order][row] + step)[gone]
-        o = np.lexsort((w, d))
-        d, w = d[o], w[o]
+        d, lo_, hi_ = (np.concatenate(x) for x in zip(*ranges, strict=True))
         if not len(d):
-            return pd.DataFrame({"id": d, "ranges": []})
-        cut = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]) | (w[1:] > w[:-1] + length)])
-        last = np.r_[cut[1:], len(d)] - 1
-        pairs = np.stack([w[cut], w[last] + length], axis=1)
-        owners = d[cut]
-        turn = np.flatnonzero(np.r_[True, owners[1:] != owners[:-1]])
-        return pd.DataFrame({"id": owners[turn], "ranges": [pairs[i:j].tobytes() for i, j in zip(turn, np.r_[turn[1:], len(owners)], strict=True)]})
+            return pd.DataFrame({"part": [], "docs": [], "counts": [], "own": []})
+        docs, pairs = _merged(d, lo_, hi_)
+        return _packed(docs, pairs, parts)
 
     return run
 
@@ -257,7 +328,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(lo, k)
             for i, t, packed in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
                 data = np.frombuffer((t or "").encode(), np.uint8)
-                pairs = np.concatenate([np.frombuffer(p, np.int64).reshape(-1, 2) for p in packed])
+                pairs = np.frombuffer(packed, np.int64).reshape(-1, 2)
                 change = np.bincount(pairs[:, 0], minlength=len(data) + 1) - np.bincount(pairs[:, 1], minlength=len(data) + 1)
                 gone = np.cumsum(change)[:len(data)] > 0
                 kept = data[~gone].tobytes()
@@ -304,13 +375,14 @@ def substring_dedup(docs: DataFrame, length: int = 50, carry: tuple[str, ...] =
 
     used = firsts.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= length)).select("doc_id", "text")
     found = used.mapInArrow(_anchors_out(length, n), "bucket int, docs binary, counts binary, anchors binary")
-    repeated = found.repartition(n, "bucket").groupBy("bucket").applyInPandas(_repeated, "id long, bucket int, own binary")
-    wanted = stored(repeated.groupBy("id").agg(F.collect_list(F.struct("bucket", "own")).alias("own")), "anchors")
+    parts = min(n, MOST_PARTS)
+    repeated = found.repartition(n, "bucket").groupBy("bucket").applyInPandas(_repeated(parts), PACKED)
+    wanted = stored(repeated.groupBy("part").applyInPandas(_by_document(1), "id long, own binary"), "anchors")
     touched, _ = _split(used, wanted.select("id"), wanted.count())
     cut = touched.join(wanted, same_id).select("doc_id", "text", "own")
     pieces = cut.mapInArrow(_pieces_out(length, n), "bucket int, anchors binary, docs binary, firsts binary, sizes binary, bytes binary")
-    ranges = pieces.repartition(n, "bucket").groupBy("bucket").applyInPandas(_decide(length), "id long, ranges binary")
-    ranges = stored(ranges.groupBy("id").agg(F.collect_list("ranges").alias("ranges")), "ranges")
+    ranges = pieces.repartition(n, "bucket").groupBy("bucket").applyInPandas(_decide(length, parts), PACKED)
+    ranges = stored(ranges.groupBy("part").applyInPandas(_by_document(2), "id long, own binary").withColumnRenamed("own", "ranges"), "ranges")
 
     changed, same = _split(firsts, ranges.select("id"), ranges.count())
     joined = changed.join(ranges, same_id, "left").select("doc_id", "text", "ranges", "carry")
