@@ -27,7 +27,7 @@ def write_text(spark: SparkSession, path: str, lines: Iterable[str]) -> None:
 
 def _objects(df: DataFrame, order: Sequence[str], drop: Sequence[str]) -> Iterable[str]:
     keep = [c for c in df.columns if c not in drop]
-    rows = df.orderBy(*order).select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in keep]), {"ignoreNullFields": "false"}).alias("j"))
+    rows = (df.orderBy(*order) if order else df).select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in keep]), {"ignoreNullFields": "false"}).alias("j"))
     return (r["j"] for r in rows.toLocalIterator())
 
 

@@ -1,6 +1,8 @@
 import json
+import sys
 
 import pytest
+from pyspark import cloudpickle
 
 from folioforge import schemas
 from folioforge.operators.entities import alias_rows
@@ -10,6 +12,8 @@ from folioforge.plans.queries import BOOK_PAGES
 from folioforge.sources import readers, writers
 from folioforge.streaming.incremental import keep_latest, stream_pages
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers can't import tests
+
 ALIASES = alias_rows({"entities": {"Valmiki": {"category": "sage", "aliases": ["Valmiki"]}, "Ayodhya": {"category": "place", "aliases": ["Ayodhya"]}}})
 
 
