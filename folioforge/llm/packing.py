@@ -2,9 +2,9 @@
 
 Documents become token counts once; only (doc_id, piece, start, length) rows move after that. They are dealt by
 hash to partitions of bounded size, each packed by best-fit decreasing. Dual feasible functions give a lower bound
-of each partition's bins; a partition that meets its bound is certified and final. In the others, full
-sequences are final; pieces of sequences with gaps are exchanged between partitions and packed again, as long as
-that saves sequences.
+of each partition's bins; a partition that meets its bound is certified, and all but its emptiest sequence are final. In
+the others, only full sequences are. Pieces of all other sequences, those with gaps, are exchanged between partitions
+and packed again, as long as that saves sequences.
 
 Defined cases: null and empty texts are the end token alone (length 1); rows repeated with one doc_id are packed
 as often as they come; null doc_ids are packed; texts longer than a sequence are cut into whole sequences and a
@@ -33,9 +33,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, text: st
     """(doc_id, piece, start, length, ids_crc32): each whole text's ids and the end id, cut only if too long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from .word_bpe import WordBPE
+        from .word_bpe import loaded
 
-        bpe = WordBPE(tokenizer)
+        bpe = loaded(tokenizer)
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for lo in range(0, len(ids), 256):
@@ -100,9 +100,12 @@ def _packer(capacity: int, turn: int):
         lengths = pdf["length"].to_numpy(np.int64)
         bins, offsets, made = best_fit(lengths, capacity)
         bound = lower_bound(np.bincount(lengths, minlength=capacity + 1))
-        full = np.bincount(bins, lengths, made).astype(np.int64) == capacity
+        fill = np.bincount(bins, lengths, made).astype(np.int64)
+        final = fill == capacity
+        if made == bound:  # certified: all but the emptiest sequence, which others may fill
+            final |= np.arange(made) != fill.argmin()
         base = (turn << 58) + (int(key[0]) << 28)
-        return pdf.assign(sequence_id=base + bins, offset=offsets, certified=(made == bound) | full[bins])[
+        return pdf.assign(sequence_id=base + bins, offset=offsets, certified=final[bins])[
             ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "certified"]]
 
     return pack

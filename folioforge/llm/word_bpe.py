@@ -11,14 +11,14 @@ from __future__ import annotations
 import json
 import os
 import re
-import zlib
+from functools import lru_cache
 
 import numpy as np
 
 #: Characters for which NFC and lower-casing act on single characters and white space is plain.
 _OTHER = re.compile("[^\t\n\x0b\x0c\r -~\xa1\xab\xbb\xbf-\xff]|<\\|")
 #: The tokenizer's split pattern; on plain characters its letter and number classes are these.
-_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|[^\s\w]+|_+")
+_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 _LONGEST = 40
 
 
@@ -158,12 +158,15 @@ class WordBPE:
         return out  # type: ignore[return-value]
 
 
+@lru_cache(maxsize=1)
+def loaded(path: str) -> WordBPE:
+    """The tokenizer of this worker process, kept with its words from task to task."""
+    return WordBPE(path)
+
+
 def _byte_characters() -> list[str]:
     """The visible character that stands for each byte: printable Latin-1 ones for themselves, the rest from 256 on."""
     own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
     rest = iter(range(256, 512))
     return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
 
-
-def crc(ids: bytes) -> int:
-    return zlib.crc32(ids)
