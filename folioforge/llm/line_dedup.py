@@ -29,7 +29,11 @@ KEY = ["k1", "k2"]
 
 def _flat(line: Column) -> Column:
     """Lower case, every run of white space one space, none at the ends."""
-    return F.trim(F.regexp_replace(F.lower(line), r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " "))
+    odd = F.lit(False)
+    for run in ("  ", "\t", "\r", "\x0b", "\x0c"):
+        odd = odd | F.contains(line, F.lit(run))
+    low = F.lower(line)
+    return F.trim(F.when(odd, F.regexp_replace(low, r"[\x20\x09-\x0D]+", " ")).otherwise(low))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -55,6 +59,16 @@ def _ends(flat: Column, n: Column, least_words: int) -> Column:
     return F.when(n >= least_words, both)
 
 
+def _halves(words: Column) -> Column:
+    """Keys of which two lines within the bound share one: first and last half of the words, for n and for n - 1 words."""
+
+    def of(m: Column) -> list[Column]:
+        half = F.floor(m / 2).cast("int")
+        return [F.xxhash64(F.lit("first"), m, F.slice(words, F.lit(1), half)), F.xxhash64(F.lit("last"), m, F.slice(words, F.size(words) - (m - half) + 1, m - half))]
+
+    return F.array(*of(F.size(words)), *of(F.size(words) - 1))
+
+
 def _distance_one(a: Column, b: Column) -> Column:
     """Whether two arrays of words differ by exactly one replaced, inserted or deleted word."""
     short, long_ = F.when(F.size(a) <= F.size(b), a).otherwise(b), F.when(F.size(a) <= F.size(b), b).otherwise(a)
@@ -110,7 +124,15 @@ def _near_lines(docs: DataFrame, near: DataFrame, n_near: int) -> DataFrame:
     own = bloom_probe(_lines(some), bloom_words(near, cells, bits), cells, bits, "maybe").filter("maybe")
     words = F.transform(F.split("flat", " "), lambda w: F.xxhash64(w))
     texts = own.join(near, [*KEY, "doc_id", "line_no"]).select(*KEY, F.struct("doc_id", "line_no").alias("first"), words.alias("w"))
-    texts = stored(texts.dropDuplicates(KEY), "words")
+    texts = stored(texts.dropDuplicates(KEY), "ends")
+
+    # Of these, only lines that share half of their words in place with a different line of about their length.
+    half = texts.select(*KEY, F.explode(_halves(F.col("w"))).alias("half"))
+    shared = stored(half.groupBy("half").agg(F.min("k1").alias("a"), F.max("k1").alias("b")).filter("a <> b").select("half"), "halves")
+    bits = filter_bits(shared.count())
+    cells = [F.col("half"), F.xxhash64("half")]
+    held = bloom_probe(half, bloom_words(shared, cells, bits), cells, bits, "maybe").filter("maybe").select(*KEY).distinct()
+    texts = stored(texts.join(held, KEY), "words")
 
     without = lambda i: F.concat(F.slice("w", F.lit(1), F.greatest(i - 1, F.lit(0))), F.slice("w", i + 1, F.size("w")))
     keyed = F.transform(F.sequence(F.lit(0), F.size("w")), lambda i: F.when(i == 0, F.xxhash64(F.col("w"))).otherwise(F.xxhash64(without(i))))
