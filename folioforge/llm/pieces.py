@@ -16,8 +16,10 @@ by row); characters without a piece become byte pieces; an empty table gives an
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -46,9 +48,13 @@ class PieceModel:
         self.longest = max(map(len, self.ids))
         if any(MARK in t.lstrip(MARK) for t in self.ids):
             raise ValueError("a piece of this model goes on across the start of a word")
+        #: Every beginning of a piece, with the piece's id or -1.
+        self.begins = {t[:n]: -1 for t in self.ids for n in range(1, len(t))} | self.ids
+        self.strange = re.compile("[^" + "".join(re.escape(t) for t in self.ids if len(t) == 1) + "]")
         self.cached = cached
         self.apart: dict[tuple[int, int], bool] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
+        #: Kept ids (little-endian 32-bit numbers) of what follows the mark of a word, up to the next word.
+        self.words: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[int]:
         """The model's merges applied to a short text: the best-scored neighbouring pair first, leftmost of equals."""
@@ -151,63 +157,71 @@ class PieceModel:
     def trace_words(self, text: str, lo: int, hi: int, state: State, to: State, end: bool) -> list[int]:
         """As trace(), with kept words for all between the first and the last start of a word."""
         cuts = [p for p in range(max(lo, state[1]) + 1, hi) if text[p] == MARK and text[p - 1] != MARK]
-        if len(cuts) < 2 or state[1] > cuts[0]:
+        if len(cuts) < 2:
             return self.trace(text, lo, hi, state, to, end)
         out = self.trace(text, lo, cuts[0], state, (-1, cuts[0]), True)
         for a, b in zip(cuts, cuts[1:], strict=False):
-            out += self.word(text[a:b])
+            out += np.frombuffer(self.word(text[a + 1:b]), "<i4").tolist()
         return out + self.trace(text, cuts[-1], hi, (-1, cuts[-1]), to, end)
 
-    def word(self, text: str) -> tuple[int, ...]:
-        """Pieces of a string between two starts."""
-        found = self.words.get(text)
+    def word(self, rest: str) -> bytes:
+        """Ids of a mark and what follows it up to the next start of a word."""
+        found = self.words.get(rest)
         if found is None:
-            found = tuple(self._best(text))
+            text, ids, at = MARK + rest, [], 0
+            for m in self.strange.finditer(text):  # a start before and after each
+                ids += self._best(text[at:m.start()])
+                ids += [self.bytes[b] for b in m.group().encode()]
+                at = m.end()
+            ids += self._best(text[at:])
+            found = np.array(ids, "<i4").tobytes()
             if len(self.words) > self.cached:
                 self.words.clear()
-            self.words[text] = found
+            self.words[rest] = found
         return found
 
     def _best(self, text: str) -> list[int]:
-        if text in self.ids and len(text) == 1:
-            return [self.ids[text]]
-        n = len(text)
-        last: list[dict[int, tuple[int, int]]] = [{} for _ in range(n + 1)]
-        last[0][-1] = (0, -1)
-        ids, joins = self.ids, self.joins
-        for p in range(n):
-            here = last[p]
-            if not here:
-                continue
-            for e in range(p + 1, min(n, p + self.longest) + 1):
-                k = ids.get(text[p:e])
-                if k is None:
-                    continue
-                for piece in here:
-                    if piece < 0 or joins(piece, k):
-                        last[e][k] = (p, piece)
-                        break
-        if not last[n]:
-            return self.trace(text, 0, n, (-1, 0), self._final(text), True)
-        pieces = []
-        at, piece = n, next(iter(last[n]))
-        while at:
-            pieces.append(piece)
-            at, piece = last[at][piece]
-        return pieces[::-1]
+        """The best path from a start to the end of a text in which every character has a piece.
 
-    def _final(self, text: str) -> State:
-        out = self.reach(text, 0, len(text), [(-1, 0)], True)[1]
-        return min(out)
-
-    def encode(self, text: str) -> list[int]:
+        Only one path has weight 0, so the lattice is walked depth first, longest pieces first, and states from which the
+        end can't be reached are remembered.
+        """
+        n, begins, apart = len(text), self.begins, self.apart
+        path: list[int] = []
+        stack: list[tuple] = []
+        dead: set[State] = set()
+        at, piece, steps = 0, -1, None
+        while at < n:
+            if steps is None:
+                steps = []
+                for e in range(at + 1, n + 1):
+                    k = begins.get(text[at:e])
+                    if k is None:
+                        break
+                    if k >= 0:
+                        steps.append((k, e))
+            while steps:
+                k, e = steps.pop()
+                if (k, e) not in dead and (piece < 0 or (apart[piece, k] if (piece, k) in apart else self.joins(piece, k))):
+                    stack.append((at, piece, steps))
+                    path.append(k)
+                    at, piece, steps = e, k, None
+                    break
+            else:
+                dead.add((piece, at))
+                if not stack:
+                    raise ValueError(f"no path through {text!r}")
+                at, piece, steps = stack.pop()
+                path.pop()
+        return path
+
+    def encode(self, text: str) -> bytes:
+        """Piece ids of a whole text as little-endian 32-bit numbers."""
         if not text:
-            return []
-        out: list[int] = []
+            return b""
         plain = "  " not in text and text[0] != " " and MARK not in text
-        for part in (MARK + w for w in text.split(" ")) if plain else self._parts(prepared(text)):
-            out += self.word(part)
-        return out
+        parts = text.split(" ") if plain else [p[1:] for p in self._parts(prepared(text))]
+        return b"".join(map(self.word, parts))
 
     def _parts(self, text: str) -> list[str]:
         cuts = [0] + [p for p in range(1, len(text)) if text[p] == MARK and text[p - 1] != MARK] + [len(text)]
@@ -233,6 +247,12 @@ class PieceModel:
         return text[1:] if text.startswith(" ") else text
 
 
+@lru_cache(maxsize=1)
+def loaded(path: str) -> PieceModel:
+    """The model of this worker process, kept with its words from task to task."""
+    return PieceModel(path)
+
+
 def prepared(text: str) -> str:
     """The text as the lattice sees it: a mark for each space and one in front."""
     return MARK + text.replace(" ", MARK)
@@ -307,7 +327,7 @@ def _chunks(docs: DataFrame, chunk: int, longest: int) -> DataFrame:
 
 def _matrices(path: str, chunk: int):
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = PieceModel(path)
+        model = loaded(path)
         for pdf in parts:
             rows = []
             for r in pdf.itertuples():
@@ -334,7 +354,7 @@ def _resolve(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def _backtrace(path: str, chunk: int):
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = PieceModel(path)
+        model = loaded(path)
         for pdf in parts:
             rows = []
             for r in pdf.itertuples():
@@ -354,11 +374,11 @@ def encode_documents(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFram
     fits = F.length("text") <= chunk
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = PieceModel(path)
+        model = loaded(path)
         for batch in batches:
             for lo in range(0, batch.num_rows, 200):
                 part = batch.slice(lo, 200)
-                ids = [np.array(model.encode(t), "<i4").tobytes() for t in part.column(2).to_pylist()]
+                ids = [model.encode(t) for t in part.column(2).to_pylist()]
                 n = part.num_rows
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([0] * n, pa.int32()), pa.array([1] * n, pa.int32()), pa.array(ids, pa.binary())], names=["doc", "doc_id", "k", "n", "ids"])
 
@@ -378,7 +398,7 @@ def summary(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import hashlib
 
-        model = PieceModel(path)
+        model = loaded(path)
         for pdf in batches:
             rows = []
             for doc_id, parts in zip(pdf["doc_id"], pdf["parts"], strict=True):
