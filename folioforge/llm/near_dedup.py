@@ -4,8 +4,10 @@ Each distinct shingle set gets a signature of TREES * DEPTH MinHash values. Ever
 values; sets that share a prefix of DEPTH values are a region of that order, and each member is a candidate of the
 region's smallest id. Candidate components are then confirmed exactly: their full shingle sets meet in one task
 each, which walks from set to set and links by exact intersection sizes. A component with more than MAX_BLOCK sets is
-split again by longer prefixes, tree by tree, as deep as each region needs (up to MAX_DEPTH values); what is denser
-than that is dealt in blocks that share the region's smallest id. Links join up to components across tasks.
+confirmed in two rounds. The first links most of it: regions that fit a block, larger ones by longer prefixes, tree by
+tree, as deep as each region needs (up to MAX_DEPTH values), and what is denser than that in blocks that share the
+region's smallest id. The second is complete: of each DEPTH-value region over MAX_BLOCK, all pairs of sets that the
+first round left in different components meet, block by block. Links join up to components across tasks.
 
 Two sets of similarity 0.75 miss each other in every tree with probability (1 - 0.75**4)**32 = 5e-6.
 
@@ -113,10 +115,11 @@ def _sets(docs: DataFrame, wanted: DataFrame, n_wanted: int, deep: bool) -> Data
     return own.mapInArrow(run, "comp long, doc_id long, shingles binary" + more)
 
 
-def linked(sets: list[np.ndarray], share: int = 75) -> np.ndarray:
+def linked(sets: list[np.ndarray], known: np.ndarray | None = None, share: int = 75) -> np.ndarray:
     """Number of the exact component of each set: 100 * intersection >= share * union links two.
 
-    A walk from set to set; each step intersects one set with all that no walk has reached yet.
+    A walk from set to set; each step intersects one set with all that no walk has reached yet. Sets of one
+    `known` label are linked already: a walk that reaches one reaches them all. Walks start at the rarest labels.
     """
     n = len(sets)
     sizes = np.array([len(s) for s in sets])
@@ -124,14 +127,20 @@ def linked(sets: list[np.ndarray], share: int = 75) -> np.ndarray:
     at = np.concatenate([[0], np.cumsum(sizes)])
     root = np.full(n, -1)
     left = np.arange(n)
+    known = left if known is None else np.unique(known, return_inverse=True)[1]
+    left = left[np.argsort(np.bincount(known)[known], kind="stable")]
     flat, owner = codes, np.repeat(np.arange(n), sizes)
     flag = np.zeros(int(codes.max()) + 1, bool)
     todo: list[int] = []
     while len(left) or todo:
         if not todo:
-            todo, root[left[0]] = [int(left[0])], left[0]
-            keep = owner != left[0]
-            flat, owner, left = flat[keep], owner[keep], left[1:]
+            near = left[known[left] == known[left[0]]]
+            root[near] = near[0]
+            todo = near.tolist()
+            gone = np.zeros(n, bool)
+            gone[near] = True
+            keep = ~gone[owner]
+            flat, owner, left = flat[keep], owner[keep], left[~gone[left]]
         x = todo.pop()
         if not len(left):
             break
@@ -141,6 +150,7 @@ def linked(sets: list[np.ndarray], share: int = 75) -> np.ndarray:
         flag[own] = False
         near = left[100 * both >= share * (sizes[left] + sizes[x] - both)]
         if len(near):
+            near = left[np.isin(known[left], known[near])]
             root[near] = root[x]
             todo += near.tolist()
             gone = np.zeros(n, bool)
@@ -158,6 +168,36 @@ def _confirm(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": ids[own], "b": ids[root[own]]})
 
 
+def _confirm_rest(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Links between the labels of one task's sets."""
+    pdf = pdf.drop_duplicates("doc_id").sort_values("doc_id")
+    label = pdf["label"].to_numpy(np.int64)
+    root = linked([np.frombuffer(b, np.uint64) for b in pdf["shingles"]], label)
+    return pd.DataFrame({"a": label, "b": label[root]}).query("a != b").drop_duplicates()
+
+
+def _rest(deep: DataFrame, links: DataFrame) -> DataFrame:
+    """(task, doc_id, label) under which every pair of an oversized region whose labels differ meets in a task.
+
+    A label is the component so far. Sets of a region's most frequent label are dealt apart from the others: tasks
+    are all pairs of parts but those of that label alone. Regions of one label need none.
+    """
+    half = max(1, MAX_BLOCK // 2)
+    labels = components(links).withColumnRenamed("id", "doc_id")
+    own = deep.select("doc_id", "d4").join(labels, "doc_id", "left")
+    keys = stored(own.select("doc_id", F.coalesce("component", "doc_id").alias("label"), F.explode("d4").alias("key")), "labelled")
+    count = keys.groupBy("key", "label").agg(F.count("*").alias("n"))
+    regions = count.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("labels"), F.max(F.struct("n", "label")).alias("top"))
+    regions = regions.filter((F.col("n") > MAX_BLOCK) & (F.col("labels") > 1))
+    regions = stored(regions.select("key", "n", F.col("top.label").alias("main"), F.ceil((F.col("n") - F.col("top.n")) / half).alias("few"), F.ceil(F.col("top.n") / half).alias("many")), "regions")
+    rows = join_back(keys, regions, ["key"], "n", max(1, keys.count()))
+    deal = F.xxhash64("doc_id", "key")
+    rows = rows.withColumn("part", F.when(F.col("label") == F.col("main"), F.col("few") + F.pmod(deal, "many")).otherwise(F.pmod(deal, "few")))
+    last = F.when(F.col("label") == F.col("main"), F.col("few")).otherwise(F.col("few") + F.col("many"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last - 1))).filter("other <> part")
+    return rows.select(F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("task"), "doc_id", "label")
+
+
 def _blocks(deep: DataFrame) -> DataFrame:
     """Oversized candidate components dealt again by the shortest prefix, tree by tree, whose region fits a block."""
     depths = range(DEPTH, MAX_DEPTH + 1, 4)
@@ -169,7 +209,7 @@ def _blocks(deep: DataFrame) -> DataFrame:
     fit = sized.groupBy("comp", "doc_id", "tree").agg(
         F.min_by(F.struct("level", "key", "n", "low"), F.when(F.col("n") <= MAX_BLOCK, F.col("level")).otherwise(100 - F.col("level"))).alias("x"))
     fit = fit.select("doc_id", F.xxhash64("comp", "tree", "x.level", "x.key").alias("region"), "x.n", "x.low").filter("n > 1")
-    part = F.when(F.col("n") > MAX_BLOCK, F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("n") / MAX_BLOCK))).otherwise(F.lit(0)).cast("int").alias("part")
+    part = F.when(F.col("n") > MAX_BLOCK, F.pmod(F.xxhash64("doc_id", "region"), F.ceil(F.col("n") / MAX_BLOCK))).otherwise(F.lit(0)).cast("int").alias("part")
     dealt = fit.select("doc_id", "region", part, "low")
     pivots = dealt.select(F.col("low").alias("doc_id"), "region", "part", "low").distinct()  # each block holds its region's smallest id
     return dealt.union(pivots).distinct().select("doc_id", F.xxhash64("region", "part").alias("block"))
@@ -200,9 +240,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         links = _sets(docs, small, n, False).groupBy("comp").applyInPandas(_confirm, "a long, b long")
         if n_large:
             own = marked.join(large.drop("n"), "comp")
-            deep = stored(_sets(docs, own, n_large, True), "deep")
-            blocks = _blocks(deep).join(deep.select("doc_id", "shingles").dropDuplicates(["doc_id"]), "doc_id")
-            links = links.union(blocks.groupBy("block").applyInPandas(_confirm, "a long, b long"))
+            deep = stored(_sets(docs, own, n_large, True).dropDuplicates(["doc_id"]), "deep")
+            shingles = deep.select("doc_id", "shingles")
+            most = stored(_blocks(deep).join(shingles, "doc_id").groupBy("block").applyInPandas(_confirm, "a long, b long"), "most")
+            rest = _rest(deep, most).join(shingles, "doc_id").groupBy("task").applyInPandas(_confirm_rest, "a long, b long")
+            links = links.union(most).union(rest)
     same_id = full.groupBy("doc_id").agg(F.min(F.struct("set_a", "set_b")).alias("x"), F.max(F.struct("set_a", "set_b")).alias("y")).filter("x <> y")
     split = full.join(same_id.select("doc_id"), "doc_id", "left_semi").join(groups, ["set_a", "set_b"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).filter("a <> b")
     joined = components(links.union(split))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
-from folioforge.llm import registry, sql  # noqa: E402
+from folioforge.llm import near_dedup, registry, sql  # noqa: E402
 from folioforge.llm.ann import nearest  # noqa: E402
 from folioforge.llm.chat_format import format_chats, loss_text, read_chats  # noqa: E402
 from folioforge.llm.common import components  # noqa: E402
@@ -68,6 +68,32 @@ def test_near_duplicates(docs, empty):
     assert by[None].kept and by[7].kept
 
 
+def test_near_duplicates_of_oversized_regions(spark, monkeypatch):
+    """Only the last two documents link the others, which share most of their words and fill regions over a block."""
+    monkeypatch.setattr(near_dedup, "MAX_BLOCK", 8)
+    core = [f"w{i}" for i in range(200)]
+    texts = [" ".join([*core, *[f"own{i}x{k}" for k in range(20 if i > 57 else 39)]]) for i in range(60)]
+    sets = [{tuple(t.split()[k:k + 5]) for k in range(len(t.split()) - 4)} for t in texts]
+    low = list(range(60))
+    for _ in range(4):
+        for a in range(60):
+            for b in range(60):
+                if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                    low[a] = low[b] = min(low[a], low[b])
+    assert set(low) == {0} and all(100 * len(sets[a] & sets[0]) < 75 * len(sets[a] | sets[0]) for a in range(1, 58))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_duplicates(docs).collect()} == dict(enumerate(low))
+
+
+def test_linked_from_known_labels():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 40, 30)).astype(np.uint64) for _ in range(60)]
+    want = near_dedup.linked(sets)
+    known = np.array([i if i % 3 else want[i] for i in range(60)])
+    got = near_dedup.linked(sets, known)
+    assert len(set(want)) > 1 and len(set(zip(want, got, strict=True))) == len(set(want)) == len(set(got))
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(100, 1), (7, 7), (200, 201)] + [(300, 300 + i) for i in range(1, 50)]
     got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
