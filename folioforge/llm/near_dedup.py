@@ -1,8 +1,8 @@
-"""Near-duplicate documents by an LSH forest over MinHash signatures, confirmed on full shingle sets.
+"""Near-duplicate documents by fixed bands of MinHash signatures, confirmed on full shingle sets.
 
-Each distinct shingle set gets a signature of TREES * DEPTH MinHash values. Every tree orders the sets by its own
-values; sets that share a prefix of DEPTH values are a region of that order, and each member is a candidate of the
-region's smallest id. Candidate components are then confirmed exactly: their full shingle sets meet in one task
+Each distinct shingle set gets a signature of TREES * DEPTH MinHash values. Sets with an equal hash of a tree's first
+DEPTH values are a region (a band of fixed depth; nothing is sorted), and each member is a candidate of the region's
+smallest id. Candidate components are then confirmed exactly: their full shingle sets meet in one task
 each, which walks from set to set and links by exact intersection sizes. A component with more than MAX_BLOCK sets is
 confirmed in two rounds. The first links most of it: regions that fit a block, larger ones by longer prefixes, tree by
 tree, as deep as each region needs (up to MAX_DEPTH values), and what is denser than that in blocks that share the
