@@ -8,7 +8,9 @@ of words without features multiply as powers of one matrix, exactly. Marginals o
 offending offsets; a logistic curve fitted on the training documents turns their sum into a document score.
 
 Training reads a bounded, deterministic sample: `max_each` labelled documents of each class (the smallest id hashes
-outside the held-out fold) and of those `max_chars` characters each. Scoring covers all documents and whole texts.
+outside the held-out fold), of those the whole texts. Executors count their word beginnings and find their featured
+words; the driver gets the beginnings that can be features with their documents, and the places of featured words, but
+no texts. Scoring covers all documents and whole texts.
 
 Defined cases: null and empty texts score as texts without features; without toxic training rows every score is
 0; contradictory labels count as toxic; rows without doc_id are scored and never held out; repeated rows are
@@ -21,16 +23,19 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import narrow, ship
+from .common import narrow, ship, stored
 from .textscan import BYTE, U, data_of, mix, slices, word_hashes, word_spans
 
 SCORED = "doc_id long, score double, spans array<struct<start: int, end: int, p: double>>"
 #: Byte lengths of word beginnings that can be features; the whole word is one as well.
 PREFIXES = range(3, 13)
+#: Tasks among which word beginnings are dealt by hash.
+BUCKETS = 64
 LETTER = np.zeros(256, bool)
 LETTER[97:123] = True
 LETTER[128:] = True
@@ -81,26 +86,62 @@ def _beginnings(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> Iterat
     yield np.arange(len(first)), word_hashes(data, first, last) ^ _WHOLE, 99
 
 
-def _cover(texts: pa.Array, toxic: np.ndarray, most: int = 400) -> np.ndarray:
-    """Hashes of word beginnings that together mark the toxic documents, by greedy cover."""
-    data, at, first, last = _words(texts)
-    doc = np.searchsorted(at, first, "right") - 1
-    n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
-    parts = []
-    for words, h, n in _beginnings(data, first, last):
-        pair = _pairs(h, doc[words])
-        key, start, count = np.unique(pair[0], return_index=True, return_counts=True)
-        pos = np.add.reduceat(toxic[pair[1].astype(np.int64)].astype(np.int64), start) if len(start) else np.zeros(0, np.int64)
-        neg = count - pos
-        good = (pos >= 4) & ((pos + 0.5) / (n1 + 1) >= 20 * (neg + 0.5) / (n0 + 1)) & (neg <= 0.02 * pos + 0.5)
-        for k in np.flatnonzero(good):
-            docs = pair[1][start[k]:start[k] + count[k]].astype(np.int64)
-            parts.append((key[k], n, docs[toxic[docs]]))
+def _counted(ids: np.ndarray, is_toxic: np.ndarray):
+    """Word beginnings of the sample, packed by bucket: one entry per toxic document that has it, counts for the others."""
+    order = np.argsort(ids)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, n in slices(batch.column(1)):
+                number = order[np.searchsorted(ids, batch.column(0).slice(lo, n).to_numpy(), sorter=order)]
+                data, at, first, last = _words(_lowered(batch.column(1).slice(lo, n).to_pylist()))
+                doc = number[np.searchsorted(at, first, "right") - 1]
+                found = []
+                for words, h, size in _beginnings(data, first, last):
+                    key, own = _pairs(h, doc[words])
+                    bad = is_toxic[own.astype(np.int64)]
+                    clean, count = np.unique(key[~bad], return_counts=True)
+                    found.append((np.r_[key[bad], clean], np.full(int(bad.sum()) + len(clean), size),
+                                  np.r_[own[bad].astype(np.int64), np.full(len(clean), -1)], np.r_[np.ones(int(bad.sum()), np.int64), count]))
+                h, size, own, count = (np.concatenate(x) for x in zip(*found, strict=True))
+                bucket = (h % U(BUCKETS)).astype(np.int64)
+                rows = []
+                for b in np.unique(bucket):
+                    k = bucket == b
+                    rows.append((int(b), h[k].tobytes(), size[k].astype(np.uint8).tobytes(), own[k].astype(np.int32).tobytes(), count[k].astype(np.int32).tobytes()))
+                if rows:
+                    cols = list(zip(*rows, strict=True))
+                    yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]], names=["bucket", "keys", "sizes", "docs", "counts"])
+
+    return run
+
+
+def _marking(n1: int, n0: int):
+    """Of one bucket the word beginnings that occur in toxic documents and hardly in others, with their toxic documents."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        join = lambda c, t: np.frombuffer(b"".join(pdf[c]), t)
+        h, size, doc, count = join("keys", np.uint64), join("sizes", np.uint8), join("docs", np.int32), join("counts", np.int32)
+        order = np.lexsort((doc, size, h))
+        h, size, doc, count = h[order], size[order], doc[order], count[order].astype(np.int64)
+        start = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (size[1:] != size[:-1])])
+        end = np.r_[start[1:], len(h)]
+        neg = np.add.reduceat(np.where(doc < 0, count, 0), start)
+        pos = np.add.reduceat((doc >= 0).astype(np.int64), start)
+        good = np.flatnonzero((pos >= 4) & ((pos + 0.5) / (n1 + 1) >= 20 * (neg + 0.5) / (n0 + 1)) & (neg <= 0.02 * pos + 0.5))
+        docs = [doc[end[k] - pos[k]:end[k]].tobytes() for k in good]
+        return pd.DataFrame({"size": size[start[good]].astype(np.int32), "key": h[start[good]].view(np.int64), "docs": docs})
+
+    return run
+
+
+def _cover(parts: list[tuple[int, int, np.ndarray]], toxic: np.ndarray, most: int = 400) -> np.ndarray:
+    """Hashes of word beginnings (length, hash, toxic documents) that together mark the toxic documents, by greedy cover."""
     if not parts:
         return np.zeros(0, np.uint64)
     owner = np.repeat(np.arange(len(parts)), [len(p[2]) for p in parts])
     docs = np.concatenate([p[2] for p in parts])
-    length = np.array([p[1] for p in parts])
+    length = np.array([p[0] for p in parts])
     need, chosen = np.where(toxic, 1.0, 0.0), []
     for _ in range(most):
         gain = np.bincount(owner, need[docs], len(parts))
@@ -109,7 +150,7 @@ def _cover(texts: pa.Array, toxic: np.ndarray, most: int = 400) -> np.ndarray:
             break
         near = np.flatnonzero(gain >= 0.999 * top)
         one = near[np.argmax(np.where(length[near] == 99, 0, length[near]))]  # longest beginning of equal cover
-        chosen.append(parts[one][0])
+        chosen.append(parts[one][1])
         need[parts[one][2]] *= 0.4
     return np.unique(np.array(chosen, np.uint64))
 
@@ -142,6 +183,20 @@ def _featured(texts: pa.Array, hashes: np.ndarray):
     return d, w - upto[d], f, first[w], last[w], np.diff(upto), data, at
 
 
+def _places(hashes: np.ndarray):
+    """Of each document its number of words, and the word numbers and features of its featured words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, n in slices(batch.column(1)):
+                d, w, f, _, _, n_words, _, _ = _featured(_lowered(batch.column(1).slice(lo, n).to_pylist()), hashes)
+                at = np.searchsorted(d, np.arange(n + 1))
+                pack = lambda x: pa.array([x[at[i]:at[i + 1]].astype(np.int64).tobytes() for i in range(n)], pa.binary())  # noqa: E731, B023
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, n), pa.array(n_words.astype(np.int64)), pack(w), pack(f)], names=["doc_id", "n_words", "words", "features"])
+
+    return run
+
+
 def _windows(d, w, f, n_words, gold, n_features: int, side: int = 6):
     """Windows of 2 * side + 1 words around featured words: a feature table of up to 4 per word, and gold states."""
     seen: dict[tuple[int, int], list[int]] = {}
@@ -245,17 +300,22 @@ class _Chain:
         return out
 
 
-def _mass(texts: pa.Array, model: Model):
-    """Per document: sum of marginals, and (first byte, last byte, marginal) of featured words."""
-    d, w, f, lo, hi, n_words, data, at = _featured(texts, model.hashes)
-    mass, spans = np.zeros(len(n_words)), {}
+def _marginals(d, w, f, n_words, model: Model) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[float]]]:
+    """Per document with featured words: its number, its matches, the first match of each such word, and their marginals."""
     chain = _Chain(model)
     cuts = np.flatnonzero(np.diff(d)) + 1
     for own in np.split(np.arange(len(d)), cuts) if len(d) else []:
         doc = int(d[own[0]])
         number, start = np.unique(w[own], return_index=True)
         weight = np.add.reduceat(model.weights[f[own]], start)
-        p = chain.marginals(number.tolist(), weight.tolist(), int(n_words[doc]))
+        yield doc, own, start, chain.marginals(number.tolist(), weight.tolist(), int(n_words[doc]))
+
+
+def _mass(texts: pa.Array, model: Model):
+    """Per document: sum of marginals, and (first byte, last byte, marginal) of featured words."""
+    d, w, f, lo, hi, n_words, data, at = _featured(texts, model.hashes)
+    mass, spans = np.zeros(len(n_words)), {}
+    for doc, own, start, p in _marginals(d, w, f, n_words, model):
         mass[doc] = sum(p)
         spans[doc] = [(int(lo[own[s]] - at[doc]), int(hi[own[s]] - at[doc]), q) for s, q in zip(start, p, strict=True)]
     return mass, spans, data, at
@@ -274,7 +334,7 @@ def _curve(mass: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
     return float(b[0]), float(b[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_each: int = 3000, max_chars: int = 20_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, max_each: int = 3000) -> Model:
     """Trains on at most max_each documents of each class outside the held-out fold, chosen by id hash."""
     own = narrow(labels, {"doc_id": "long", "toxic": "int"}).filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     own = own.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -282,20 +342,30 @@ def fit(docs: DataFrame, labels: DataFrame, max_each: int = 3000, max_chars: int
     pick = lambda y: own.filter(F.col("toxic") == y).orderBy(*order).limit(max_each)
     chosen = pick(1).union(pick(0))  # at most 2 * max_each ids: broadcast under that bound
     rows = narrow(docs, {"doc_id": "long", "text": "string"}).join(F.broadcast(chosen), "doc_id")
-    rows = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max(F.substring("text", 1, max_chars)).alias("text"))
-    got = rows.orderBy(*order).select("toxic", "text").toArrow()
-    toxic = np.array(got.column("toxic").to_pylist(), int) == 1 if got.num_rows else np.zeros(0, bool)
+    rows = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("text").alias("text"))
+    rows = stored(ship(rows), "sample")
+    got = rows.select("doc_id", "toxic").orderBy(*order).toArrow()
+    ids, toxic = np.array(got.column("doc_id").to_pylist(), np.int64), np.array(got.column("toxic").to_pylist(), np.int64) == 1
     nothing = Model(np.zeros(0, np.uint64), np.zeros(0))
     if not toxic.any() or toxic.all():
         return nothing
-    texts = _lowered(got.column("text").to_pylist())
-    hashes = _cover(texts, toxic)
+    texts = rows.select("doc_id", "text")
+    counted = texts.mapInArrow(_counted(ids, toxic), "bucket int, keys binary, sizes binary, docs binary, counts binary")
+    marking = counted.groupBy("bucket").applyInPandas(_marking(int(toxic.sum()), int((~toxic).sum())), "size int, key long, docs binary").toArrow().to_pylist()
+    parts = sorted(((r["size"], r["key"] % (1 << 64), np.frombuffer(r["docs"], np.int32)) for r in marking), key=lambda x: x[:2])
+    hashes = _cover(parts, toxic)
     if not len(hashes):
         return nothing
-    d, w, f, _, _, n_words, _, _ = _featured(texts, hashes)
+    places = {r["doc_id"]: r for r in texts.mapInArrow(_places(hashes), "doc_id long, n_words long, words binary, features binary").toArrow().to_pylist()}
+    n_words = np.array([places[i]["n_words"] for i in ids.tolist()])
+    w, f = (np.frombuffer(b"".join(places[i][c] for i in ids.tolist()), np.int64) for c in ("words", "features"))
+    d = np.repeat(np.arange(len(ids)), [len(places[i]["words"]) // 8 for i in ids.tolist()])
     table, states = _windows(d, w, f, n_words, toxic.astype(int), len(hashes))
     model = Model(hashes, *_train(table, states, len(hashes)))
-    model.curve = _curve(_mass(texts, model)[0], toxic)
+    mass = np.zeros(len(ids))
+    for doc, _, _, p in _marginals(d, w, f, n_words, model):
+        mass[doc] = sum(p)
+    model.curve = _curve(mass, toxic)
     return model
 
 

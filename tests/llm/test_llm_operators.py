@@ -196,6 +196,18 @@ def test_toxicity(docs, empty, spark):
     assert {r.score for r in score(own, nothing).collect()} == {0.0}
 
 
+def test_toxicity_learns_from_whole_texts(spark):
+    """Toxic words stand after the first 20,000 characters only."""
+    rng = np.random.default_rng(5)
+    words = np.array(["".join(rng.choice(list("aeioubcdgt"), 5)) for _ in range(200)])
+    rows = [(i, " ".join([*rng.choice(words, 3600), *(["zorkhead"] * 3 if i % 3 == 0 else []), "end"])) for i in range(90)]
+    assert min(len(t) for _, t in rows) > 20_100
+    own = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(90)], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in score(own, fit(own, labels)).collect()}
+    assert all((got[i].score >= 0.7) == (i % 3 == 0) for i in got) and len(got[0].spans) == 3
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(1)
     rows = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(300)]
