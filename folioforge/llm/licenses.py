@@ -5,7 +5,8 @@ spaces; equivalent spellings become one. The SHA-256 of the whole canonical text
 known licences by a hash join. The scanned units are whole documents and, since notices stand on lines of their own,
 every whole line; a unit matches entirely or not at all.
 
-The known texts are a fixed table of a few dozen rows, which is the bound under which it is broadcast.
+The known texts are a parameter: by default KNOWN, with the entire texts of the folder license_texts (one file per SPDX
+name) and notices made of phrases and licence names. Only their digests are broadcast, one row per distinct text.
 
 Defined cases: null and empty texts match nothing; rows without doc_id are scanned like others; repeated rows count
 each; an empty table gives an empty result; other columns are ignored. Units that are empty in canonical form match nothing.
@@ -15,6 +16,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Sequence
+from importlib.resources import files
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -100,6 +103,43 @@ KNOWN = (
     ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"), ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
 )
 
+def _entire(folder: str = "license_texts") -> list[tuple[str, str]]:
+    """(SPDX name, text) of the folder's files, also without the appendix on how to apply the licence."""
+    out = []
+    for file in sorted((f for f in files(__package__).joinpath(folder).iterdir() if f.name.endswith(".txt")), key=lambda f: f.name):
+        text = file.read_text(encoding="utf-8")
+        out.append((file.name.removesuffix(".txt"), text))
+        terms, end, appendix = text.partition("END OF TERMS AND CONDITIONS")
+        if appendix.strip():
+            out += [(file.name.removesuffix(".txt"), terms), (file.name.removesuffix(".txt"), terms + end)]
+    return out
+
+
+#: Names in notices by SPDX name; a leading "the" may be missing.
+NAMED = {
+    "MIT": ("MIT License", "MIT"), "ISC": ("ISC License",), "Zlib": ("zlib License",), "Unlicense": ("Unlicense",),
+    "BSD-2-Clause": ("BSD 2-Clause License", "2-Clause BSD License"), "BSD-3-Clause": ("BSD 3-Clause License", "3-Clause BSD License"),
+    "Apache-2.0": ("Apache License, Version 2.0", "Apache License 2.0", "Apache-2.0 License"),
+    "MPL-1.1": ("Mozilla Public License, version 1.1", "Mozilla Public License 1.1"), "MPL-2.0": ("Mozilla Public License, version 2.0", "Mozilla Public License 2.0"),
+    "CC0-1.0": ("CC0 1.0", "CC0 1.0 Universal"),
+} | {
+    f"{short}-{v}-{kind}": (f"GNU {name}, version {v.removesuffix('.0')}{more}", f"GNU {name} {form}{more}", f"GNU {name} v{v.removesuffix('.0')}{more}")
+    for short, name, versions in (
+        ("GPL", "General Public License", ("1.0", "2.0", "3.0")), ("LGPL", "Lesser General Public License", ("2.1", "3.0")),
+        ("LGPL", "Library General Public License", ("2.0",)), ("AGPL", "Affero General Public License", ("3.0",)))
+    for v in versions for form in (v.removesuffix(".0"),) for kind, more in (("only", ""), ("or-later", " or later"))
+} | {
+    f"CC-{kind}-{v}": (f"CC {kind} {v}", f"Creative Commons {name} {v} International License" if v == "4.0" else f"Creative Commons {name} {v} Unported License")
+    for v in ("3.0", "4.0")
+    for kind, name in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"), ("BY-ND", "Attribution-NoDerivatives"),
+                       ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"))
+}
+PHRASES = ("Licensed under", "Released under", "Distributed under", "This work is licensed under", "This software is licensed under", "This project is licensed under")
+
+KNOWN += tuple(_entire())
+KNOWN += tuple((name, f"{phrase} {the}{own}.") for name, owns in NAMED.items() for own in owns for phrase in PHRASES for the in ("the ", ""))
+KNOWN += tuple((name, f"SPDX-License-Identifier: {name}") for name in NAMED)
+
 COPYRIGHT = r"(?im)^[ \t]*(?:copyright\b[ \t]*(?:\(c\)|©|[0-9])|\(c\)[ \t]|©)[^\n]*$"
 ALL_RIGHTS = r"(?im)^[ \t]*all rights reserved\.?[ \t]*$"
 MARKS = r"[^\p{L}\p{N}]+"
@@ -121,18 +161,18 @@ def canonical_text(text: str) -> str:
     return re.sub(" +", " ", c.strip(" "))
 
 
-def known_digests() -> list[tuple[str, str]]:
+def known_digests(known: Sequence[tuple[str, str]] = KNOWN) -> list[tuple[str, str]]:
     """(digest, licence), one row per distinct canonical text."""
-    return sorted({hashlib.sha256(canonical_text(t).encode()).hexdigest(): name for name, t in KNOWN}.items())
+    return sorted({hashlib.sha256(canonical_text(t).encode()).hexdigest(): name for name, t in known}.items())
 
 
-def license_scan(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(doc_id, scope, line_no, license) of each unit that is a known licence: scope 'text' or 'line'; line_no from 0, -1 for whole texts."""
+def license_scan(docs: DataFrame, text: str = "text", known: Sequence[tuple[str, str]] = KNOWN) -> DataFrame:
+    """(doc_id, scope, line_no, license) of each unit that is one of the known (licence, text): scope 'text' or 'line'; line_no from 0, -1 for whole texts."""
     spark = docs.sparkSession
-    known = F.broadcast(spark.createDataFrame(known_digests(), "digest string, license string"))
+    digests = F.broadcast(spark.createDataFrame(known_digests(known), "digest string, license string"))
     own = narrow(docs, {"doc_id": "long", text: "string"}).filter(F.col(text).isNotNull())
     lines = own.select("doc_id", F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "unit")).select("doc_id", F.lit("line").alias("scope"), "line_no", "unit")
     whole = own.select("doc_id", F.lit("text").alias("scope"), F.lit(-1).alias("line_no"), F.col(text).alias("unit"))
     units = whole.unionByName(lines).withColumn("canon", canonical(F.col("unit"))).filter("canon <> ''")
     units = units.withColumn("digest", F.sha2(F.encode("canon", "UTF-8"), 256))
-    return units.join(known, "digest").select("doc_id", "scope", "line_no", "license")
+    return units.join(digests, "digest").select("doc_id", "scope", "line_no", "license")

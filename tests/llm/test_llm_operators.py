@@ -160,6 +160,24 @@ def test_licenses(docs, empty, spark):
     assert {(r.doc_id, r.scope, r.license) for r in license_scan(own).collect()} == {(1, "text", "MIT")}
 
 
+def test_entire_licenses_and_notices(spark):
+    from folioforge.llm.licenses import KNOWN, canonical_text
+
+    named = {canonical_text(t): name for name, t in KNOWN}
+    assert all(named[canonical_text(t)] == name for name, t in KNOWN)
+    folder = os.path.join(os.path.dirname(registry.__file__), "license_texts")
+    names = sorted(f.removesuffix(".txt") for f in os.listdir(folder))
+    assert {"Apache-2.0", "GPL-2.0-only", "GPL-3.0-only", "LGPL-2.1-only", "MPL-2.0", "Unlicense"} <= set(names)
+    texts = [open(os.path.join(folder, f"{n}.txt"), encoding="utf-8").read() for n in names]
+    rows = [*enumerate(texts), (100, "Licensed under the Mozilla Public License 2.0"), (101, "# SPDX-License-Identifier: AGPL-3.0-or-later"), (102, texts[0] + " more")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.scope, r.license) for r in license_scan(docs).collect()}
+    assert {x for x in got if x[1] == "text"} == {(i, "text", n) for i, n in enumerate(names)} | {(100, "text", "MPL-2.0"), (101, "text", "AGPL-3.0-or-later")}
+    assert (100, "line", "MPL-2.0") in got
+    own = license_scan(spark.createDataFrame([(1, "Ask us first!")], "doc_id long, text string"), known=[("Own", "ask us first")])
+    assert {(r.scope, r.license) for r in own.collect()} == {("text", "Own"), ("line", "Own")}
+
+
 def test_pieces(docs, empty):
     import sentencepiece
 
