@@ -15,8 +15,8 @@ Documents with equal texts count once before that: of such a text, later copies
 more than HOT documents are dealt by window instead of by anchor, so that no bucket holds a third of all pieces.
 
 Defined cases: a null text has no bytes; texts shorter than a window lose nothing; rows without doc_id take no part
-and lose nothing; rows that repeat a doc_id are one document, so they don't remove each other's bytes; an empty table
-gives an empty result; other columns are ignored. Removal may cut within a character; kept bytes are hashed as they are,
+and lose nothing; rows that repeat a doc_id are one document, so they don't remove each other's bytes, but each loses
+what its own text repeats: copies and ranges are keyed by doc_id and text (`variant`); an empty table gives an empty result; other columns are ignored. Removal may cut within a character; kept bytes are hashed as they are,
 and kept text replaces what is no longer a character.
 """
 
@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bloom_probe, bloom_words, filter_bits, join_back, narrow, ship, stored
@@ -156,8 +156,8 @@ def _repeated(parts: int):
     return run
 
 
-def _pieces_out(length: int, n: int):
-    """Pieces of repeated anchors, packed by bucket: document, first byte, bytes, and the key whose pieces must meet."""
+def _pieces_out(length: int, n: int, told: bool):
+    """Pieces of repeated anchors, packed by bucket: document, variant if told, first byte, bytes, and the key whose pieces must meet."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,6 +167,7 @@ def _pieces_out(length: int, n: int):
                 first, count, doc, h = windows(data, at, length)
                 if not len(first):
                     continue
+                variants = batch.column(3).slice(lo, k).to_numpy()
                 wanted = np.unique(np.frombuffer(b"".join(batch.column(2).slice(lo, k).to_pylist()), np.uint64))
                 mine = (h & U(0xFFFFFFFF)) | ((h >> U(33)).astype(np.int64) % n).astype(np.uint64) << U(33)
                 hot = np.isin(mine | (U(1) << U(32)), wanted)
@@ -183,12 +184,12 @@ def _pieces_out(length: int, n: int):
                 for b, own in _by_bucket((h % U(n)).astype(np.int64), n):
                     s = size[own]
                     inside = np.arange(int(s.sum())) - np.repeat(np.cumsum(s) - s, s)
-                    rows.append((b, h[own].tobytes(), ids[doc[own]].tobytes(), (first[own] - at[doc[own]]).astype(np.int64).tobytes(),
+                    rows.append((b, h[own].tobytes(), ids[doc[own]].tobytes(), variants[doc[own]].tobytes() if told else b"", (first[own] - at[doc[own]]).astype(np.int64).tobytes(),
                                  s.astype(np.uint16).tobytes(), data[np.repeat(first[own], s) + inside].tobytes()))
                 if rows:
                     cols = list(zip(*rows, strict=True))
                     yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]],
-                                                     names=["bucket", "anchors", "docs", "firsts", "sizes", "bytes"])
+                                                     names=["bucket", "anchors", "docs", "variants", "firsts", "sizes", "bytes"])
 
     return run
 
@@ -260,24 +261,30 @@ def _piece_hashes(text: bytes, at: np.ndarray, size: np.ndarray, length: int, mo
     return mix(out + size.astype(np.uint64))
 
 
-def _merged(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Overlapping and touching ranges of each document joined: documents in order, and (first, end) pairs."""
-    order = np.lexsort((lo, doc))
+def _merged(doc: np.ndarray, variant: np.ndarray | None, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Overlapping and touching ranges of each document's variant joined: documents in order, and (first, end[, variant])."""
+    order = np.lexsort((lo, doc) if variant is None else (lo, variant, doc))
     doc, lo, hi = doc[order], lo[order], hi[order]
-    turn = np.cumsum(np.r_[False, doc[1:] != doc[:-1]])
+    other = doc[1:] != doc[:-1]
+    if variant is not None:
+        variant = variant[order]
+        other |= variant[1:] != variant[:-1]
+    turn = np.cumsum(np.r_[False, other])
+    del other
     wide = int(hi.max()) + 1
     reach = np.maximum.accumulate(turn * wide + hi)
     new = np.flatnonzero(np.r_[True, turn[1:] * wide + lo[1:] > reach[:-1]])
     end = reach[np.r_[new[1:], len(doc)] - 1] - turn[new] * wide
-    return doc[new], np.stack([lo[new], end], axis=1)
+    return doc[new], np.stack([lo[new], end] if variant is None else [lo[new], end, variant[new]], axis=1)
 
 
-def _decide(length: int, parts: int, block: int = 1_000_000):
+def _decide(length: int, parts: int, told: bool, block: int = 1_000_000):
     """Removed byte ranges of one bucket's pieces, packed by part of the documents."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         join = lambda c, t: np.frombuffer(b"".join(pdf[c]), t)
         h, doc, first = join("anchors", np.uint64), join("docs", np.int64), join("firsts", np.int64)
+        tags = (doc, join("variants", np.int64)) if told else (doc,)
         size, text = join("sizes", np.uint16).astype(np.int64), b"".join(pdf["bytes"])
         at = np.cumsum(size) - size
         content = _piece_hashes(text, at, size, length)
@@ -291,7 +298,7 @@ def _decide(length: int, parts: int, block: int = 1_000_000):
         alone = turn[:-1] & turn[1:]
         ranges = []
         own = np.flatnonzero(alone[which] & (doc[order] > owner[which]))  # equal pieces of a smaller doc, nothing else to compare
-        ranges.append((doc[order[own]], first[order[own]], first[order[own]] + size[order[own]]))
+        ranges.append((*(t[order[own]] for t in tags), first[order[own]], first[order[own]] + size[order[own]]))
         several = np.flatnonzero(~alone)
         begin = np.searchsorted(which, several)
         end = np.searchsorted(which, several, "right")
@@ -308,37 +315,42 @@ def _decide(length: int, parts: int, block: int = 1_000_000):
                 r, w = np.nonzero(gone)
                 if len(r):
                     start = first[rows[r]] + w
-                    ranges.append((doc[rows[r]], start, start + length))
+                    ranges.append((*(t[rows[r]] for t in tags), start, start + length))
             lo = hi
-        d, lo_, hi_ = (np.concatenate(x) for x in zip(*ranges, strict=True))
-        if not len(d):
+        *tag, lo_, hi_ = (np.concatenate(x) for x in zip(*ranges, strict=True))
+        if not len(lo_):
             return pd.DataFrame({"part": [], "docs": [], "counts": [], "own": []})
-        docs, pairs = _merged(d, lo_, hi_)
+        docs, pairs = _merged(tag[0], tag[1] if told else None, lo_, hi_)
         return _packed(docs, pairs, parts)
 
     return run
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(told: bool):
     import hashlib
 
-    for batch in batches:
-        for lo, k in slices(batch.column(1)):
-            rows = []
-            part = batch.slice(lo, k)
-            for i, t, packed in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
-                data = np.frombuffer((t or "").encode(), np.uint8)
-                pairs = np.frombuffer(packed, np.int64).reshape(-1, 2)
-                change = np.bincount(pairs[:, 0], minlength=len(data) + 1) - np.bincount(pairs[:, 1], minlength=len(data) + 1)
-                gone = np.cumsum(change)[:len(data)] > 0
-                kept = data[~gone].tobytes()
-                spans = int((gone & ~np.r_[False, gone[:-1]]).sum())
-                rows.append((i, len(data), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace")))
-            if rows:
-                cols = list(zip(*rows, strict=True))
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
-                made = [pa.array(c, t) for c, t in zip(cols, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays([*made, part.column(3)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "carry"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, k in slices(batch.column(1)):
+                rows = []
+                part = batch.slice(lo, k)
+                for i, t, packed, variant in zip(*(part.column(c).to_pylist() for c in (0, 1, 2, 4)), strict=True):
+                    data = np.frombuffer((t or "").encode(), np.uint8)
+                    pairs = np.frombuffer(packed, np.int64).reshape(-1, 3 if told else 2)
+                    if told:
+                        pairs = pairs[pairs[:, 2] == variant]
+                    change = np.bincount(pairs[:, 0], minlength=len(data) + 1) - np.bincount(pairs[:, 1], minlength=len(data) + 1)
+                    gone = np.cumsum(change)[:len(data)] > 0
+                    kept = data[~gone].tobytes()
+                    spans = int((gone & ~np.r_[False, gone[:-1]]).sum())
+                    rows.append((i, len(data), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace")))
+                if rows:
+                    cols = list(zip(*rows, strict=True))
+                    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
+                    made = [pa.array(c, t) for c, t in zip(cols, kinds, strict=True)]
+                    yield pa.RecordBatch.from_arrays([*made, part.column(3)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "carry"])
+
+    return run
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
@@ -351,13 +363,30 @@ def _split(df: DataFrame, ids: DataFrame, n: int) -> tuple[DataFrame, DataFrame]
     return marked.filter("__in").drop("__in"), marked.filter("not __in").drop("__in")
 
 
-def _same_texts(own: DataFrame) -> tuple[DataFrame, int]:
-    """(id) of documents whose whole text, of a window or more, an earlier document has."""
-    rows = stored(own.filter("doc_id IS NOT NULL").select("doc_id", F.unhex(F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256)).alias("digest")), "texts")
+def _digest() -> Column:
+    return F.unhex(F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256))
+
+
+def _same_texts(own: DataFrame) -> tuple[DataFrame, int, DataFrame, int]:
+    """(id) of documents with several texts; (id), or if there are such (id, digest), of texts that an earlier document has as a whole; counts."""
+    rows = stored(own.filter("doc_id IS NOT NULL").select("doc_id", _digest().alias("digest")), "texts")
     total = rows.count()
     groups = rows.groupBy("digest").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")).filter("n > 1")
-    later = stored(join_back(rows, groups, ["digest"], "n", max(1, total)).filter("doc_id > low").select(F.col("doc_id").alias("id")).distinct(), "later")
-    return later, later.count()
+    several = rows.groupBy(F.col("doc_id").alias("id")).agg(F.min(F.xxhash64("digest")).alias("a"), F.max(F.xxhash64("digest")).alias("b")).filter("a <> b")
+    several = stored(several.select("id"), "several")
+    n_several = several.count()
+    later = stored(join_back(rows, groups, ["digest"], "n", max(1, total)).filter("doc_id > low").select(F.col("doc_id").alias("id"), *(["digest"] if n_several else [])).distinct(), "later")
+    return several, n_several, later, later.count()
+
+
+def _with_variant(own: DataFrame, several: DataFrame, n: int) -> DataFrame:
+    """Adds the number that tells the texts of one doc_id apart: of the digest where there are several, else 0."""
+    none = F.lit(0).cast("long").alias("variant")
+    if not n:
+        return own.select("*", none)
+    maybe, rest = _split(own, several, n)
+    found = maybe.join(several, F.col("doc_id") == F.col("id"), "left")
+    return rest.select("*", none).unionByName(found.select(*own.columns, F.when(F.col("id").isNotNull(), F.xxhash64(_digest())).otherwise(none).alias("variant")))
 
 
 def substring_dedup(docs: DataFrame, length: int = 50, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -367,30 +396,36 @@ def substring_dedup(docs: DataFrame, length: int = 50, carry: tuple[str, ...] =
     ship(own)
     n_text = own.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n = max(1, -(-n_text // BUCKET_BYTES))
-    later, n_later = _same_texts(own)
+    several, n_several, later, n_later = _same_texts(own)
+    told = n_several > 0
+    kind = own.schema["carry"].dataType.simpleString()
+    own = _with_variant(own, several, n_several)
     maybe, rest = _split(own, later, n_later)
-    same_id = F.col("doc_id") == F.col("id")
-    firsts = rest.unionByName(maybe.join(later, same_id, "left_anti"))
-    whole = maybe.join(later, same_id, "left_semi")
-
-    used = firsts.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= length)).select("doc_id", "text")
+    same_id = same_text = F.col("doc_id") == F.col("id")
+    if told:
+        maybe = maybe.withColumn("__digest", _digest())
+        same_text = same_id & (F.col("__digest") == F.col("digest"))
+    firsts = rest.unionByName(maybe.join(later, same_text, "left_anti").drop("__digest"))
+    whole = maybe.join(later, same_text, "left_semi")
+
+    used = firsts.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= length)).select("doc_id", "text", "variant")
     found = used.mapInArrow(_anchors_out(length, n), "bucket int, docs binary, counts binary, anchors binary")
     parts = min(n, MOST_PARTS)
     repeated = found.repartition(n, "bucket").groupBy("bucket").applyInPandas(_repeated(parts), PACKED)
     wanted = stored(repeated.groupBy("part").applyInPandas(_by_document(1), "id long, own binary"), "anchors")
     touched, _ = _split(used, wanted.select("id"), wanted.count())
-    cut = touched.join(wanted, same_id).select("doc_id", "text", "own")
-    pieces = cut.mapInArrow(_pieces_out(length, n), "bucket int, anchors binary, docs binary, firsts binary, sizes binary, bytes binary")
-    ranges = pieces.repartition(n, "bucket").groupBy("bucket").applyInPandas(_decide(length, parts), PACKED)
-    ranges = stored(ranges.groupBy("part").applyInPandas(_by_document(2), "id long, own binary").withColumnRenamed("own", "ranges"), "ranges")
+    cut = touched.join(wanted, same_id).select("doc_id", "text", "own", "variant")
+    pieces = cut.mapInArrow(_pieces_out(length, n, told), "bucket int, anchors binary, docs binary, variants binary, firsts binary, sizes binary, bytes binary")
+    ranges = pieces.repartition(n, "bucket").groupBy("bucket").applyInPandas(_decide(length, parts, told), PACKED)
+    ranges = stored(ranges.groupBy("part").applyInPandas(_by_document(3 if told else 2), "id long, own binary").withColumnRenamed("own", "ranges"), "ranges")
 
     changed, same = _split(firsts, ranges.select("id"), ranges.count())
-    joined = changed.join(ranges, same_id, "left").select("doc_id", "text", "ranges", "carry")
-    some = joined.filter("ranges IS NOT NULL").mapInArrow(_cut, f"{RESULT}, carry {own.schema['carry'].dataType.simpleString()}")
+    joined = changed.join(ranges, same_id, "left").select("doc_id", "text", "ranges", "carry", "variant")
+    some = joined.filter("ranges IS NOT NULL").mapInArrow(_cut(told), f"{RESULT}, carry {kind}")
     text = F.coalesce("text", F.lit(""))
     size = F.octet_length(text).cast("long")
     zero = F.lit(0).cast("long")
-    untouched = same.unionByName(joined.filter("ranges IS NULL").drop("ranges")).unionByName(whole.filter(size < length)).select(
+    untouched = same.unionByName(joined.filter("ranges IS NULL").drop("ranges")).unionByName(whole.filter(size < length).drop("__digest")).select(
         "doc_id", size.alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"),
         F.sha2(F.encode(text, "UTF-8"), 256).alias("kept_sha256"), text.alias("kept_text"), "carry")
     removed = whole.filter(size >= length).select(

@@ -111,6 +111,14 @@ def test_substrings(docs, empty):
     assert by[10].kept_text.startswith("é" * 60) and by[10].n_removed >= 250 and by[1].carry == 2 and by[1].kept == "k"
 
 
+def test_substrings_of_one_id_with_two_texts(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [(1, a), (2, a), (2, b), (3, "x " + b), (4, c), (5, d), (5, "yy " + c + " z"), (6, a[:30])]
+    got = {(r.doc_id, r.n_bytes, r.kept_text) for r in substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    left = {(2, a): "", (3, "x " + b): "x ", (5, "yy " + c + " z"): "yy  z"}
+    assert got == {(i, len(t), left.get((i, t), t)) for i, t in rows}
+
+
 def test_line_dedup(docs, empty):
     got = line_dedup(docs).collect()
     assert len(got) == len(ROWS) and line_dedup(empty).count() == 0
