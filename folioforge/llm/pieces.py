@@ -7,8 +7,8 @@ a boundary are the pieces that end at it or reach across it. Each chunk yields i
 its two boundaries on its own; matrices combine associatively in the max-plus semiring; and once that has fixed
 the boundary states, each chunk is traced back on its own.
 
-White space starts a piece and no piece continues across such a start, so the lattice narrows to one state there;
-what lies between two starts is traced once per distinct string and kept.
+Where no piece holds two neighbouring characters, as before a space or a comma, nothing merges across: the place is a start, and
+the lattice narrows to one state there. What lies between two starts is traced once per distinct string and kept.
 
 Defined cases: null and empty texts have no pieces; rows without doc_id or repeating one are encoded each (giant ones
 by row); characters without a piece become byte pieces; an empty table gives an empty result; other columns are ignored.
@@ -16,7 +16,6 @@ by row); characters without a piece become byte pieces; an empty table gives an
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -27,14 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import narrow, ship
+from .common import narrow, ship, stored
 
 MARK = "▁"
 State = tuple[int, int]  # (piece id, place where it ends); (-1, place): a start, where nothing before matters
 
 
 class PieceModel:
-    def __init__(self, path: str, cached: int = 500_000):
+    def __init__(self, path: str, cached: int = 250_000):
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -50,11 +49,17 @@ class PieceModel:
             raise ValueError("a piece of this model goes on across the start of a word")
         #: Every beginning of a piece, with the piece's id or -1.
         self.begins = {t[:n]: -1 for t in self.ids for n in range(1, len(t))} | self.ids
-        self.strange = re.compile("[^" + "".join(re.escape(t) for t in self.ids if len(t) == 1) + "]")
+        #: Neighbouring characters that some piece holds; between any others is a start.
+        self.pairs = {t[i:i + 2] for t in self.ids for i in range(len(t) - 1) if t[i] in self.ids and t[i + 1] in self.ids}
+        self.raw = [bytes([self.byte_of[i]]) if i in self.byte_of else t.encode() for i, t in enumerate(self.text)]
         self.cached = cached
         self.apart: dict[tuple[int, int], bool] = {}
-        #: Kept ids (little-endian 32-bit numbers) of what follows the mark of a word, up to the next word.
+        #: Kept ids (little-endian 32-bit numbers) of what follows the mark of a word, up to the next word, and of stretches
+        #: between starts; each with the entries before, of which those still asked for move over.
         self.words: dict[str, bytes] = {}
+        self.words_before: dict[str, bytes] = {}
+        self.stretches: dict[str, bytes] = {}
+        self.stretches_before: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[int]:
         """The model's merges applied to a short text: the best-scored neighbouring pair first, leftmost of equals."""
@@ -83,8 +88,7 @@ class PieceModel:
 
     def is_start(self, text: str, p: int) -> bool:
         """Whether no piece covers both sides of place p, so that all states there are one."""
-        c, b = text[p], text[p - 1] if p else ""
-        return p == 0 or (c == MARK and b != MARK) or c not in self.ids or b not in self.ids
+        return p == 0 or text[p - 1:p + 1] not in self.pairs
 
     def reach(self, text: str, lo: int, hi: int, states: list[State], end: bool):
         """The lattice from the given states to place hi: masks of the states that reach each (piece, place), and predecessors.
@@ -168,18 +172,34 @@ class PieceModel:
         """Ids of a mark and what follows it up to the next start of a word."""
         found = self.words.get(rest)
         if found is None:
-            text, ids, at = MARK + rest, [], 0
-            for m in self.strange.finditer(text):  # a start before and after each
-                ids += self._best(text[at:m.start()])
-                ids += [self.bytes[b] for b in m.group().encode()]
-                at = m.end()
-            ids += self._best(text[at:])
-            found = np.array(ids, "<i4").tobytes()
-            if len(self.words) > self.cached:
-                self.words.clear()
+            found = self.words_before.get(rest)
+            if found is None:
+                text, at, parts = MARK + rest, 0, []
+                pairs = self.pairs
+                for p in range(1, len(text)):
+                    if text[p - 1:p + 1] not in pairs:
+                        parts.append(self._stretch(text[at:p]))
+                        at = p
+                parts.append(self._stretch(text[at:]))
+                found = b"".join(parts)
+            if len(self.words) >= self.cached:
+                self.words_before, self.words = self.words, {}
             self.words[rest] = found
         return found
 
+    def _stretch(self, text: str) -> bytes:
+        """Ids of what lies between two neighbouring starts."""
+        found = self.stretches.get(text)
+        if found is None:
+            found = self.stretches_before.get(text)
+            if found is None:
+                ids = self._best(text) if text[0] in self.ids else [self.bytes[b] for b in text.encode()]
+                found = np.array(ids, "<i4").tobytes()
+            if len(self.stretches) >= self.cached:
+                self.stretches_before, self.stretches = self.stretches, {}
+            self.stretches[text] = found
+        return found
+
     def _best(self, text: str) -> list[int]:
         """The best path from a start to the end of a text in which every character has a piece.
 
@@ -221,7 +241,8 @@ class PieceModel:
             return b""
         plain = "  " not in text and text[0] != " " and MARK not in text
         parts = text.split(" ") if plain else [p[1:] for p in self._parts(prepared(text))]
-        return b"".join(map(self.word, parts))
+        found = list(map(self.words.get, parts))
+        return b"".join([self.word(w) if ids is None else ids for w, ids in zip(parts, found, strict=True)])
 
     def _parts(self, text: str) -> list[str]:
         cuts = [0] + [p for p in range(1, len(text)) if text[p] == MARK and text[p - 1] != MARK] + [len(text)]
@@ -240,10 +261,8 @@ class PieceModel:
         return sorted(set(found))
 
     def decode(self, ids: list[int]) -> str:
-        out = bytearray()
-        for i in ids:
-            out += bytes([self.byte_of[i]]) if i in self.byte_of else self.text[i].encode()
-        text = out.decode("utf-8", "replace").replace(MARK, " ")
+        raw = self.raw
+        text = b"".join([raw[i] for i in ids]).decode("utf-8", "replace").replace(MARK, " ")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -367,8 +386,8 @@ def _backtrace(path: str, chunk: int):
     return run
 
 
-def encode_documents(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
-    """(doc, doc_id, k, n, ids): piece ids of chunk k of n as little-endian 32-bit numbers; doc tells rows apart."""
+def encode_parts(docs: DataFrame, path: str, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
+    """encode_documents() in two frames: documents of one chunk, and the chunks of longer ones."""
     own = ship(narrow(docs, {"doc_id": "long", "text": "string"})).withColumn("text", F.coalesce("text", F.lit("")))
     longest = 64
     fits = F.length("text") <= chunk
@@ -384,31 +403,35 @@ def encode_documents(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFram
 
     schema = "doc long, doc_id long, k int, n int, ids binary"
     short = own.filter(fits).select((-1 - F.monotonically_increasing_id()).alias("doc"), "doc_id", "text").mapInArrow(whole, schema)
-    chunks = _chunks(own.filter(~fits), chunk, longest)
-    chunks = chunks.repartition("doc", "k")
+    chunks = stored(_chunks(own.filter(~fits), chunk, longest).repartition("doc", "k"), "chunks")  # stored: a task run again finds the same numbers
     matrices = chunks.mapInPandas(_matrices(path, chunk), "doc long, k int, before array<long>, after array<long>, m array<double>")
     fixed = matrices.groupBy("doc").applyInPandas(_resolve, "doc long, k int, p0 long, e0 long, p1 long, e1 long")
     traced = chunks.join(fixed, ["doc", "k"]).mapInPandas(_backtrace(path, chunk), schema)
+    return short, traced
+
+
+def encode_documents(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
+    """(doc, doc_id, k, n, ids): piece ids of chunk k of n as little-endian 32-bit numbers; doc tells rows apart."""
+    short, traced = encode_parts(docs, path, chunk)
     return short.unionByName(traced)
 
 
-def summary(encoded: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_ids, ids_crc32, text_sha256) of encoded documents; the last is of the text decoded again."""
+def summary(short: DataFrame, traced: DataFrame, path: str) -> DataFrame:
+    """(doc_id, n_ids, ids_crc32, text_sha256) of both parts of encoded documents; the last is of the text decoded again."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
         model = loaded(path)
-        for pdf in batches:
+        for batch in batches:
             rows = []
-            for doc_id, parts in zip(pdf["doc_id"], pdf["parts"], strict=True):
-                ids = b"".join(p["ids"] for p in sorted(parts, key=lambda p: p["k"]))
+            for parts in batch.column(1):
+                ids = b"".join(parts.as_py())
                 text = model.decode(np.frombuffer(ids, "<i4").tolist())
-                rows.append((doc_id, len(ids) // 4, zlib.crc32(ids), hashlib.sha256(text.encode()).hexdigest()))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_ids", "ids_crc32", "text_sha256"])
+                rows.append((len(ids) // 4, zlib.crc32(ids), hashlib.sha256(text.encode()).hexdigest()))
+            n, crc, digest = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(digest, pa.string())], names=["doc_id", "n_ids", "ids_crc32", "text_sha256"])
 
-    part = F.struct("k", "ids")
-    one = encoded.filter("n = 1").select("doc_id", F.array(part).alias("parts"))
-    more = encoded.filter("n > 1").groupBy("doc").agg(F.first("doc_id").alias("doc_id"), F.collect_list(part).alias("parts")).select("doc_id", "parts")
+    more = traced.groupBy("doc").agg(F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_list(F.struct("k", "ids"))).alias("parts"))
     out = "doc_id long, n_ids long, ids_crc32 long, text_sha256 string"
-    return one.mapInPandas(run, out).unionByName(more.mapInPandas(run, out))
+    return short.select("doc_id", F.array("ids")).mapInArrow(run, out).unionByName(more.select("doc_id", "parts.ids").mapInArrow(run, out))

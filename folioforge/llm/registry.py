@@ -16,7 +16,7 @@ from .licenses import license_scan
 from .line_dedup import line_dedup
 from .near_dedup import near_duplicates
 from .packing import pack, token_pieces
-from .pieces import encode_documents, summary
+from .pieces import encode_parts, summary
 from .substring_dedup import substring_dedup
 from .toxicity import fit, held_out, score
 
@@ -74,7 +74,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every whole text, and the digest of the text decoded from them."""
     path = tokenizer_file("piece_bpe_32k.model")
-    return summary(encode_documents(table(spark, sf_dir, "documents"), path), path)
+    return summary(*encode_parts(table(spark, sf_dir, "documents"), path), path)
 
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

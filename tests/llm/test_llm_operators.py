@@ -22,7 +22,7 @@ from folioforge.llm.licenses import license_scan  # noqa: E402
 from folioforge.llm.line_dedup import line_dedup  # noqa: E402
 from folioforge.llm.near_dedup import near_duplicates  # noqa: E402
 from folioforge.llm.packing import pack, token_pieces  # noqa: E402
-from folioforge.llm.pieces import encode_documents, summary  # noqa: E402
+from folioforge.llm.pieces import encode_documents, encode_parts, summary  # noqa: E402
 from folioforge.llm.substring_dedup import substring_dedup  # noqa: E402
 from folioforge.llm.toxicity import fit, score  # noqa: E402
 
@@ -190,8 +190,9 @@ def test_pieces(docs, empty):
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
-    got = summary(encode_documents(docs, PIECES, chunk=5000), PIECES).collect()
-    assert len(got) == len(ROWS) and summary(encode_documents(empty, PIECES), PIECES).count() == 0
+    got = summary(*encode_parts(docs, PIECES, chunk=5000), PIECES).collect()
+    assert encode_documents(docs, PIECES, chunk=5000).filter("n > 1").count() > 2
+    assert len(got) == len(ROWS) and summary(*encode_parts(empty, PIECES), PIECES).count() == 0
     for r in got:
         text = dict(ROWS)[r.doc_id] or ""
         ids = np.array(sp.encode(text), "<i4").tobytes()
