@@ -3,7 +3,8 @@
 A text is brought to a canonical form: lower case; copyright lines go; punctuation and white space become single
 spaces; equivalent spellings become one. The SHA-256 of the whole canonical text is looked up among the digests of
 known licences by a hash join. The scanned units are whole documents and, since notices stand on lines of their own,
-every whole line; a unit matches entirely or not at all.
+every whole line; a unit matches entirely or not at all. Texts and lines without any of a few strings, of which
+every known text has one whatever its spelling, are not brought to canonical form.
 
 The known texts are a parameter: by default KNOWN, with the entire texts of the folder license_texts (one file per SPDX
 name) and notices made of phrases and licence names. Only their digests are broadcast, one row per distinct text.
@@ -140,6 +141,9 @@ KNOWN += tuple(_entire())
 KNOWN += tuple((name, f"{phrase} {the}{own}.") for name, owns in NAMED.items() for own in owns for phrase in PHRASES for the in ("the ", ""))
 KNOWN += tuple((name, f"SPDX-License-Identifier: {name}") for name in NAMED)
 
+#: Beginnings that everyday texts are full of, so that they tell little.
+EVERYDAY = ("under", "other", "which", "their", "there", "these", "those", "where", "about", "would", "after", "first")
+
 COPYRIGHT = r"(?im)^[ \t]*(?:copyright\b[ \t]*(?:\(c\)|©|[0-9])|\(c\)[ \t]|©)[^\n]*$"
 ALL_RIGHTS = r"(?im)^[ \t]*all rights reserved\.?[ \t]*$"
 MARKS = r"[^\p{L}\p{N}]+"
@@ -147,32 +151,62 @@ MARKS = r"[^\p{L}\p{N}]+"
 
 def canonical(text: Column) -> Column:
     c = F.regexp_replace(F.regexp_replace(text, COPYRIGHT, " "), ALL_RIGHTS, " ")
-    c = F.concat(F.lit(" "), F.regexp_replace(F.lower(c), MARKS, " "), F.lit(" "))
+    c = F.concat(F.lit(" "), F.regexp_replace(F.lower(c), MARKS, "  "), F.lit(" "))  # two spaces: equal neighbours share none
     for old, new in SPELLINGS:
-        c = F.replace(c, F.lit(f" {old} "), F.lit(f" {new} "))
+        c = F.replace(c, F.lit(_spaced(old)), F.lit(_spaced(new)))
     return F.regexp_replace(F.trim(c), " +", " ")
 
 
 def canonical_text(text: str) -> str:
     c = re.sub(ALL_RIGHTS, " ", re.sub(COPYRIGHT, " ", text))
-    c = " " + re.sub(r"[\W_]+", " ", c.lower()) + " "
+    c = " " + re.sub(r"[\W_]+", "  ", c.lower()) + " "
     for old, new in SPELLINGS:
-        c = c.replace(f" {old} ", f" {new} ")
+        c = c.replace(_spaced(old), _spaced(new))
     return re.sub(" +", " ", c.strip(" "))
 
 
+def _spaced(words: str) -> str:
+    return " " + words.replace(" ", "  ") + " "
+
+
 def known_digests(known: Sequence[tuple[str, str]] = KNOWN) -> list[tuple[str, str]]:
     """(digest, licence), one row per distinct canonical text."""
     return sorted({hashlib.sha256(canonical_text(t).encode()).hexdigest(): name for name, t in known}.items())
 
 
+def stems(known: Sequence[tuple[str, str]] = KNOWN) -> list[str]:
+    """A few strings of letters, one of which is in the lower-case form of every text that equals a known one; none if there are no such.
+
+    A string that no spelling brings in is in a canonical text only if it was in the text before. Of all beginnings (of 5
+    letters or more) of the known texts' words those are taken, one by one, that are in most of the texts left.
+    """
+    left = {c for c in (canonical_text(t) for _, t in known) if c}
+    having: dict[str, set[str]] = {}
+    for c in left:
+        for w in set(c.split(" ")):
+            if re.fullmatch("[a-z]{5,}", w):
+                having.setdefault(w[:5], set()).add(c)
+    brought = lambda s: any(s in word for old, new in SPELLINGS for word in new.split(" ") if s not in old)
+    having = {s: own for s, own in having.items() if not brought(s)}
+    found = []
+    while left:
+        best = max(sorted(having), key=lambda s: (len(having[s] & left) > 0, s not in EVERYDAY, len(having[s] & left)), default=None)
+        if best is None or not having[best] & left:
+            return []
+        found.append(best)
+        left -= having.pop(best)
+    return found
+
+
 def license_scan(docs: DataFrame, text: str = "text", known: Sequence[tuple[str, str]] = KNOWN) -> DataFrame:
     """(doc_id, scope, line_no, license) of each unit that is one of the known (licence, text): scope 'text' or 'line'; line_no from 0, -1 for whole texts."""
     spark = docs.sparkSession
     digests = F.broadcast(spark.createDataFrame(known_digests(known), "digest string, license string"))
-    own = narrow(docs, {"doc_id": "long", text: "string"}).filter(F.col(text).isNotNull())
-    lines = own.select("doc_id", F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "unit")).select("doc_id", F.lit("line").alias("scope"), "line_no", "unit")
-    whole = own.select("doc_id", F.lit("text").alias("scope"), F.lit(-1).alias("line_no"), F.col(text).alias("unit"))
-    units = whole.unionByName(lines).withColumn("canon", canonical(F.col("unit"))).filter("canon <> ''")
+    some = "|".join(stems(known))
+    may_match = lambda c: F.rlike(F.lower(c), F.lit(some))
+    own = narrow(docs, {"doc_id": "long", text: "string"}).filter(F.col(text).isNotNull() & may_match(F.col(text)))
+    units = own.select("doc_id", F.posexplode(F.concat(F.array(F.col(text)), F.split(F.col(text), "\n"))).alias("at", "unit")).filter(may_match(F.col("unit")))
+    scope = F.when(F.col("at") == 0, F.lit("text")).otherwise(F.lit("line")).alias("scope")
+    units = units.select("doc_id", scope, F.when(F.col("at") == 0, F.lit(-1)).otherwise(F.col("at") - 1).alias("line_no"), canonical(F.col("unit")).alias("canon")).filter("canon <> ''")
     units = units.withColumn("digest", F.sha2(F.encode("canon", "UTF-8"), 256))
     return units.join(digests, "digest").select("doc_id", "scope", "line_no", "license")

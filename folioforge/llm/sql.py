@@ -74,10 +74,12 @@ FROM documents LEFT JOIN k USING (doc_id)
 def op4() -> str:
     from .licenses import ALL_RIGHTS, COPYRIGHT, MARKS, SPELLINGS, known_digests
 
+    spaced = lambda words: " " + words.replace(" ", "  ") + " "
+
     c = f"regexp_replace(regexp_replace(unit, '{COPYRIGHT}', ' ', 'g'), '{ALL_RIGHTS}', ' ', 'g')"
-    c = f"' ' || regexp_replace(lower({c}), '{MARKS}', ' ', 'g') || ' '"
+    c = f"' ' || regexp_replace(lower({c}), '{MARKS}', '  ', 'g') || ' '"
     for old, new in SPELLINGS:
-        c = f"replace({c}, ' {old} ', ' {new} ')"
+        c = f"replace({c}, '{spaced(old)}', '{spaced(new)}')"
     known = ", ".join(f"('{d}', '{n}')" for d, n in known_digests())
     return f"""
 WITH known(digest, license) AS (VALUES {known}),
