@@ -1,4 +1,4 @@
-"""Brings this package to the executors, whose Python workers import it."""
+"""Brings this package to the executors, whose Python workers import it, and bounds the batches that go to them."""
 
 from __future__ import annotations
 
@@ -9,14 +9,19 @@ import tempfile
 from pyspark.sql import DataFrame
 
 _shipped: set[str] = set()
+#: Largest Arrow batch between an executor and its Python workers: whole texts are long, and each side holds a few batches.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2000, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
 
 
 def ship(df: DataFrame) -> DataFrame:
-    """The frame itself, after an archive of this package was added to its session's context, once."""
+    """The frame itself, after an archive of this package was added to its session's context and batches were bounded, once."""
     context = df.sparkSession.sparkContext
     if context.applicationId not in _shipped:
         package = os.path.dirname(os.path.abspath(__file__))
         archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "folioforge"), "zip", os.path.dirname(package), os.path.basename(package))
         context.addPyFile(archive)
+        for key, most in BATCHES.items():
+            if int(df.sparkSession.conf.get(key).rstrip("b")) > most:
+                df.sparkSession.conf.set(key, most)
         _shipped.add(context.applicationId)
     return df
