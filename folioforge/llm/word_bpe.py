@@ -131,7 +131,7 @@ class WordBPE:
                 rank[ok, q[ok]], new[ok, q[ok]] = self._find(tok[ok, q[ok]], tok[ok, q[ok] + 1])
 
     def _learn(self, words: list[str]) -> None:
-        parts = [_SPLIT.findall(w) for w in words]
+        parts = [[w] if w.isalpha() else _SPLIT.findall(w) for w in words]
         own = list(set().union(*parts)) if parts else []
         ids = dict(zip(own, self.merge([p.encode() for p in own]), strict=True))
         self.words.update((w, ids[ps[0]] if len(ps) == 1 else b"".join([ids[p] for p in ps])) for w, ps in zip(words, parts, strict=True))
@@ -139,22 +139,33 @@ class WordBPE:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
         out: list[bytes | None] = [None] * len(texts)
-        split: dict[int, list[str]] = {}
+        if len(self.words) > self.cached:  # bounded memory: forget, then learn this batch's words
+            self.words.clear()
+        known, words = self.words.get, self.words
+        late: list[tuple[int, list, list[int], list[str]]] = []  # text, its ids so far, places and words that lack them
         missing: set[str] = set()
         for i, t in enumerate(texts):
             if _OTHER.search(t):
                 out[i] = np.array(self.full.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
-            else:
-                split[i] = t.lower().split()
-        for ws in split.values():
-            missing.update(ws)
-        if len(self.words) > self.cached:  # bounded memory: forget, then learn this batch's words
-            self.words.clear()
-        missing.difference_update(self.words)
+                continue
+            ws = t.lower().split()
+            found = list(map(known, ws))
+            if None not in found:
+                out[i] = b"".join(found)
+                continue
+            places, k = [], -1
+            for _ in range(found.count(None)):
+                k = found.index(None, k + 1)
+                places.append(k)
+            own = [ws[k] for k in places]
+            missing.update(own)
+            late.append((i, found, places, own))
         if missing:
             self._learn(list(missing))
-        for i, ws in split.items():
-            out[i] = b"".join(map(self.words.__getitem__, ws))
+        for i, found, places, own in late:
+            for k, w in zip(places, own, strict=True):
+                found[k] = words[w]
+            out[i] = b"".join(found)
         return out  # type: ignore[return-value]
 
 
