@@ -96,9 +96,11 @@ def pack_sentences(text: Column, limit: Column | int) -> Column:
 
 
 def first_wins(values: Column, key: Callable[[Column], Column]) -> Column:
-    """Array elements whose key occurs at no earlier place."""
-    own = F.struct(values.alias("values"), F.transform(values, key).alias("keys"))
-    return let(own, lambda o: F.filter(o["values"], lambda x, i: F.array_position(o["keys"], key(x)) == i + 1))
+    """Array elements whose key occurs at no earlier place: two sorts, so no element looks at all others."""
+    tagged = F.transform(values, lambda x, i: F.struct(key(x).alias("key"), i.alias("at"), x.alias("value")))
+    opens = lambda own: F.filter(own, lambda e, j: (j == 0) | ~e["key"].eqNullSafe(F.get(own, j - 1)["key"]))
+    firsts = let(F.array_sort(tagged), lambda own: F.transform(opens(own), lambda e: F.struct(e["at"].alias("at"), e["value"].alias("value"))))
+    return F.transform(F.array_sort(firsts), lambda e: e["value"])
 
 
 def python_list(values: Column) -> Column:

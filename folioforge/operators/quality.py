@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import first_wins, shown
 
 # Required fields, chunk types of questions, and the expected size of a full run.
 CHAPTER_FIELDS = ("canonical_entities", "chapter_id", "chapter_number", "chapter_summary", "chapter_title", "entity_mentions", "kanda", "kanda_order",
@@ -55,74 +56,120 @@ def _list(rows: Column, when: Column | None = None) -> Column:
     return F.transform(F.array_sort(F.collect_list(own)), lambda x: x["value"])
 
 
+def _map(order: Column, key: Column, value: Column, when: Column | None = None) -> Column:
+    """Map of the rows' keys to values in order; the last value of a key counts."""
+    rows = _list(F.struct(order.alias("order"), F.struct(key.alias("key"), value.alias("value")).alias("value")), when)
+    return F.map_from_entries(F.reverse(first_wins(F.reverse(rows), lambda e: e["key"])))
+
+
 def _n(c: str) -> Column:
-    return F.coalesce(F.size(c), F.lit(0))
+    return F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0))
+
+
+def _order(df: DataFrame, *others: str) -> Column:
+    """A record's place: its index in the file it was read from, else these columns."""
+    return F.struct("index") if "index" in df.columns else F.struct(*others)
+
+
+def _json(df: DataFrame, columns: Sequence[str]) -> Column:
+    """A record as it was written, if it was read with its JSON, else its columns, of which none is missing."""
+    return F.col("json") if "json" in df.columns else F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+
+
+def parsing_counts(chapters: DataFrame) -> DataFrame:
+    """One row of numbers, for chapters of any number of books."""
+    numbers = F.array_size(F.array_except(F.sequence(F.lit(1), F.lit(EXPECTED_CHAPTERS)), F.collect_set(F.when(F.col("chapter_number").between(1, EXPECTED_CHAPTERS), F.col("chapter_number")))))
+    return chapters.agg(
+        F.count("*").alias("detected_chapters"), F.coalesce(F.sum(_n("questions")), F.lit(0)).alias("detected_questions"),
+        numbers.cast("long").alias("missing_chapters"), F.count_if(_n("questions") != QUESTIONS_EACH).alias("count_issues"),
+        F.count_if(_n("unmapped_entity_candidates") > 0).alias("chapters_with_candidates"))
 
 
 def parsing_report(chapters: DataFrame) -> DataFrame:
-    numbers = F.collect_set("chapter_number")
-    issue = F.struct(F.col("chapter_number"), F.struct("chapter_number", _n("questions").alias("question_count"), "parser_warnings").alias("value"))
+    issue = F.struct(_order(chapters, "chapter_number").alias("order"), F.struct("chapter_number", _n("questions").alias("question_count"), "parser_warnings").alias("value"))
     return chapters.agg(
         F.lit(EXPECTED_CHAPTERS).alias("expected_chapters"), F.count("*").alias("detected_chapters"), F.lit(EXPECTED_QUESTIONS).alias("expected_questions"),
         F.coalesce(F.sum(_n("questions")), F.lit(0)).alias("detected_questions"),
-        F.array_except(F.sequence(F.lit(1), F.lit(EXPECTED_CHAPTERS)), numbers).alias("missing_chapters"),
+        F.array_except(F.sequence(F.lit(1), F.lit(EXPECTED_CHAPTERS)), F.collect_set("chapter_number")).alias("missing_chapters"),
         _list(issue, _n("questions") != QUESTIONS_EACH).alias("chapters_with_question_count_issues"))
 
 
-def translation_report(chapters: DataFrame, audit: DataFrame, json: Column | None = None) -> DataFrame:
-    """json: the chapters' raw JSON, where keys may be missing; by default the rows themselves, where none is."""
-    json = F.to_json(F.struct(*[F.col(c) for c in chapters.columns]), {"ignoreNullFields": "false"}) if json is None else json
-    own = chapters.withColumn("__errors", chapter_errors(json))
-    order = F.col("chapter_number")
+def translation_report(chapters: DataFrame, audit: DataFrame) -> DataFrame:
+    """Of chapters read with their JSON, keys that a record lacks are found; rows without it lack none."""
+    own = chapters.withColumn("__errors", chapter_errors(_json(chapters, chapters.columns)))
+    order = _order(chapters, "chapter_number")
+    item = lambda v: F.struct(order.alias("order"), v.alias("value"))
     found = own.agg(
         F.count("*").alias("translated_chapters"),
-        _list(F.struct(order, F.struct("chapter_number", "chapter_id", F.col("__errors").alias("missing_or_invalid_fields")).alias("value")), F.size("__errors") > 0).alias("chapters_missing_required_fields"),
-        _list(F.struct(order, F.col("chapter_number").alias("value")), _n("questions") == 0).alias("chapters_missing_questions"),
-        _list(F.struct(order, F.struct(order.cast("string").alias("chapter"), _n("questions").alias("n")).alias("value"))).alias("question_count_by_chapter"))
+        _list(item(F.struct("chapter_number", "chapter_id", F.col("__errors").alias("missing_or_invalid_fields"))), F.size("__errors") > 0).alias("chapters_missing_required_fields"),
+        _list(item(F.col("chapter_number")), _n("questions") == 0).alias("chapters_missing_questions"),
+        _map(order, shown(F.col("chapter_number")), _n("questions")).alias("question_count_by_chapter"))
     failed = audit.agg(_list(F.struct("chapter_number", F.struct("chapter_number", "chapter_id", "error").alias("value")), F.col("status") == "failed").alias("failed_chapters"))
-    return found.crossJoin(failed)  # one row each
+    return failed.crossJoin(found).select("translated_chapters", "failed_chapters", "chapters_missing_required_fields", "chapters_missing_questions", "question_count_by_chapter")  # one row each
+
+
+def _without(text: Column, *labels: str) -> Column:
+    found = F.lit(False)
+    for label in labels:
+        found = found | F.contains(F.coalesce(text, F.lit("")), F.lit(label))
+    return ~found
+
+
+ANSWER_LABELS = ("Answer:", "Answer part:", "Correct answer:")
+
+
+def chunk_counts(chunks: DataFrame) -> DataFrame:
+    """One row of numbers, for chunks of any number of books."""
+    errors = chunk_errors(_json(chunks, ["chunk_id", "text", "metadata"]))
+    own = chunks.withColumns({"__gaps": F.size(errors["root_missing"]) + F.size(errors["metadata_missing"]), "__qa": is_qa(F.col("metadata.chunk_type"))})
+    return own.agg(
+        F.count("*").alias("total_chunks"), F.count_if(F.col("__gaps") > 0).alias("incomplete_chunks"),
+        F.count_if(F.col("__qa") & _without(F.col("text"), "Question ")).alias("without_question"), F.count_if(F.col("__qa") & _without(F.col("text"), *ANSWER_LABELS)).alias("without_answer"),
+        F.count_if(_n("metadata.canonical_entities") > 0).alias("chunks_with_canonical_entities"), F.count_if(_n("metadata.canonical_entities") <= 0).alias("chunks_without_entities"))
 
 
-def chunk_report(chunks: DataFrame, jsonl_lines: int, json: Column | None = None) -> DataFrame:
-    json = F.to_json(F.struct("chunk_id", "text", "metadata"), {"ignoreNullFields": "false"}) if json is None else json
-    place = F.struct("chapter_number", "chunk_no") if {"chapter_number", "chunk_no"} <= set(chunks.columns) else F.struct("chunk_id")
-    own = chunks.withColumn("__place", place).withColumn("__e", chunk_errors(json))
+def chunk_report(chunks: DataFrame, jsonl_lines: int) -> DataFrame:
+    """Of chunks read with their index and JSON, missing keys are found, and chunks without an id are named by their index."""
+    order = _order(chunks, *(["chapter_number", "chunk_no"] if {"chapter_number", "chunk_no"} <= set(chunks.columns) else ["chunk_id"]))
+    index = F.col("index") if "index" in chunks.columns else F.lit(None).cast("long")
+    own = chunks.withColumn("__e", chunk_errors(_json(chunks, ["chunk_id", "text", "metadata"])))
     qa = is_qa(F.col("metadata.chunk_type"))
-    told = F.contains("text", F.lit("Answer:")) | F.contains("text", F.lit("Answer part:")) | F.contains("text", F.lit("Correct answer:"))
-    item = lambda v: F.struct(F.col("__place"), v.alias("value"))
+    named = F.coalesce(F.nullif("chunk_id", F.lit("")), F.concat(F.lit("index_"), shown(index)))
+    item = lambda v: F.struct(order.alias("order"), v.alias("value"))
     found = own.agg(
         F.count("*").alias("total_chunks"),
-        _list(item(F.coalesce("chunk_id", F.lit(""))), F.coalesce("chunk_id", F.lit("")) == "").alias("empty_chunk_ids"),
+        _list(item(F.struct(index.alias("index"), "chunk_id")), F.coalesce("chunk_id", F.lit("")) == "").alias("empty_chunk_ids"),
         _list(item(F.struct("chunk_id", "__e.root_missing", "__e.metadata_missing")), (F.size("__e.root_missing") > 0) | (F.size("__e.metadata_missing") > 0)).alias("chunks_missing_required_metadata"),
-        _list(item(F.col("chunk_id")), qa & ~F.contains("text", F.lit("Question "))).alias("chunks_missing_question_text"),
-        _list(item(F.col("chunk_id")), qa & ~told).alias("chunks_missing_answer_text"))
-    kinds = own.groupBy(F.coalesce("metadata.chunk_type", F.lit("unknown")).alias("chunk_type")).agg(F.count("*").alias("n"))
-    kinds = kinds.agg(F.array_sort(F.collect_list(F.struct("chunk_type", "n"))).alias("chunk_counts_by_type"))
-    return found.crossJoin(kinds).withColumns({
+        _list(item(named), qa & _without(F.col("text"), "Question ")).alias("chunks_missing_question_text"),
+        _list(item(named), qa & _without(F.col("text"), *ANSWER_LABELS)).alias("chunks_missing_answer_text"))
+    kinds = own.filter("metadata IS NOT NULL").groupBy(F.coalesce("metadata.chunk_type", F.lit("unknown")).alias("key")).agg(F.count("*").alias("value"), F.min(order).alias("order"))
+    kinds = kinds.agg(F.map_from_entries(_list(F.struct("order", F.struct("key", "value").alias("value")))).alias("chunk_counts_by_type"))
+    both = found.crossJoin(kinds).withColumns({
         "json_jsonl_count_match": F.col("total_chunks") == jsonl_lines, "json_chunk_count": F.col("total_chunks"), "jsonl_line_count": F.lit(jsonl_lines).cast("long")})
+    lists = ("empty_chunk_ids", "chunks_missing_required_metadata", "chunks_missing_question_text", "chunks_missing_answer_text")
+    return both.select("total_chunks", "chunk_counts_by_type", *lists, "json_jsonl_count_match", "json_chunk_count", "jsonl_line_count")
 
 
 def entity_report(chapters: DataFrame, chunks: DataFrame) -> DataFrame:
     has = _n("metadata.canonical_entities") > 0
+    order = _order(chunks, *(["chapter_number", "chunk_no"] if {"chapter_number", "chunk_no"} <= set(chunks.columns) else ["chunk_id"]))
     found = chunks.agg(
         F.count_if(has).alias("chunks_with_canonical_entities"),
-        _list(F.struct(F.col("chunk_id"), F.col("chunk_id").alias("value")), ~has).alias("chunks_with_missing_canonical_entities"),
+        _list(F.struct(order.alias("order"), F.col("chunk_id").alias("value")), ~has).alias("chunks_with_missing_canonical_entities"),
         F.coalesce(F.sum(_n("metadata.entity_mentions")), F.lit(0)).alias("total_entity_mentions"))
-    open_ = chapters.agg(_list(
-        F.struct("chapter_number", F.struct(F.col("chapter_number").cast("string").alias("chapter"), F.col("unmapped_entity_candidates").alias("candidates")).alias("value")),
-        _n("unmapped_entity_candidates") > 0).alias("unmapped_entity_candidates"))
-    return found.crossJoin(open_)
+    open_ = chapters.agg(_map(_order(chapters, "chapter_number"), shown(F.col("chapter_number")), F.col("unmapped_entity_candidates"), _n("unmapped_entity_candidates") > 0).alias("unmapped_entity_candidates"))
+    return found.crossJoin(open_)  # one row each
 
 
 def translation_model(chunks: DataFrame, default: str) -> DataFrame:
     """The first chunk's model that isn't empty, else the default."""
-    place = F.struct("chapter_number", "chunk_no") if {"chapter_number", "chunk_no"} <= set(chunks.columns) else F.struct("chunk_id")
+    order = _order(chunks, *(["chapter_number", "chunk_no"] if {"chapter_number", "chunk_no"} <= set(chunks.columns) else ["chunk_id"]))
     own = F.nullif("metadata.translation_model", F.lit(""))
-    return chunks.agg(F.coalesce(F.min_by(own, F.when(own.isNotNull(), place)), F.lit(default)).alias("translation_model"))
+    return chunks.agg(F.coalesce(F.min_by(own, F.when(own.isNotNull(), order)), F.lit(default)).alias("translation_model"))
 
 
 def warnings(report: DataFrame) -> DataFrame:
-    """Adds warnings to a report row, in a fixed order."""
+    """Adds warnings to a report row, in a fixed order; their wording is a fixed value of reports."""
     p, t, c, e, o = (F.col(n) for n in ("parsing", "translation", "chunking", "entity_normalization", "output_file_checks"))
     text = lambda x: x.cast("string")
     some = lambda x: F.size(x) > 0

@@ -39,7 +39,7 @@ def preview_sections(chapters: DataFrame, report: DataFrame) -> DataFrame:
     """(place, text): the head at -1 and every chapter at its number; joined in order by line ends they are the preview."""
     p, t, k, e = (F.col(n) for n in ("parsing", "translation", "chunking", "entity_normalization"))
     text = lambda x: x.cast("string")
-    kinds = F.transform(F.array_sort(k["chunk_counts_by_type"]), lambda x: F.concat(F.lit("- "), x["chunk_type"], F.lit(": "), text(x["n"])))
+    kinds = F.transform(F.array_sort(F.map_entries(k["chunk_counts_by_type"])), lambda x: F.concat(F.lit("- "), x["key"], F.lit(": "), text(x["value"])))
     kinds = F.when(F.size(kinds) > 0, kinds).otherwise(F.array(F.lit("- No chunk counts available.")))
     warned = F.when(F.size("warnings") > 0, F.concat(F.array(F.lit(""), F.lit("## Warnings"), F.lit("")), F.transform("warnings", lambda w: F.concat(F.lit("- "), w)))).otherwise(F.array().cast("array<string>"))
     head = _join(

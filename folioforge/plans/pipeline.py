@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators.chapters import build_chapters, toc_entries
 from ..operators.chunks import BookProfile, build_chunks, chapter_index
-from ..operators.entities import normalization_audit, normalize_chapters
+from ..operators.entities import audit_document, normalize_chapters
 from ..operators.pages import clean_pages, filled_pages
 from ..operators.quality import missing_numbers, quality_report
 from ..operators.questions import attach_questions
 from ..operators.report import markdown, preview_sections
 from ..operators.translate import Model, require_success, select_chapters, translate
+from ..schemas import REPORT
 from ..sources import readers, writers
+from ..storage import stored
 
 
 @dataclass(frozen=True)
@@ -40,7 +43,7 @@ def normalize_file(spark: SparkSession, ws: Workspace, aliases: list[tuple]) ->
     chapters = readers.read_json_array(spark, ws.path("chapters_english.json"), schemas.TRANSLATED_CHAPTER)
     out = normalize_chapters(chapters, aliases).cache()
     writers.write_json_array(out, ws.path("chapters_english_normalized.json"), ["chapter_number"])
-    writers.write_json_array(normalization_audit(out), ws.path("entity_normalization_audit.json"), ["chapter_number"])
+    writers.write_json_object(audit_document(out), ws.path("entity_normalization_audit.json"))
     return out
 
 
@@ -51,11 +54,12 @@ def chunk_file(spark: SparkSession, ws: Workspace, book: BookProfile | None = No
     return chunks
 
 
-def report_file(spark: SparkSession, ws: Workspace, default_model: str = BookProfile.translation_model) -> DataFrame:
+def report_file(spark: SparkSession, ws: Workspace, default_model: str = BookProfile.translation_model, model_variable: str | None = None) -> DataFrame:
+    """Checks of all files as they are written; model_variable names the environment variable whose model counts before the default."""
     out = ws.path("processed")
+    default_model = os.environ.get(model_variable, default_model) if model_variable else default_model
     files = {"final_chunks_json": f"{out}/final_chunks.json", "final_chunks_jsonl": f"{out}/final_chunks.jsonl", "chapter_index_csv": f"{out}/chapter_index.csv"}
-    empty = lambda s: spark.createDataFrame([], s)
-    read = lambda name, s: readers.read_json(spark, ws.path(name), s, empty(s))
+    read = lambda name, s: readers.read_records(spark, ws.path(name), s)
     row = quality_report(
         read("chapters_telugu.json", schemas.SOURCE_CHAPTER), read("chapters_english_normalized.json", schemas.NORMALIZED_CHAPTER), read("processed/final_chunks.json", schemas.CHUNK),
         readers.read_jsonl_or_empty(spark, ws.path("translation_audit.jsonl"), schemas.AUDIT), jsonl_lines=readers.count_jsonl_lines(spark, files["final_chunks_jsonl"]),
@@ -64,8 +68,14 @@ def report_file(spark: SparkSession, ws: Workspace, default_model: str = BookPro
     return row
 
 
-def preview_file(spark: SparkSession, ws: Workspace, report: DataFrame) -> str:
-    chapters = readers.read_json(spark, ws.path("chapters_english_normalized.json"), schemas.NORMALIZED_CHAPTER, spark.createDataFrame([], schemas.NORMALIZED_CHAPTER))
+def preview_file(spark: SparkSession, ws: Workspace, report: DataFrame | None = None, refresh: bool = False) -> str:
+    """The preview from the given report, else from the one on file; that is made anew if it is missing or is to be refreshed."""
+    if report is None:
+        path = ws.path("processed/validation_report.json")
+        if refresh or not readers.exists(spark, path):
+            report_file(spark, ws)
+        report = readers.read_json(spark, path, REPORT)
+    chapters = readers.read_records(spark, ws.path("chapters_english_normalized.json"), schemas.NORMALIZED_CHAPTER)
     text = markdown(preview_sections(chapters, report))
     writers.write_text(spark, ws.path("processed/final_chunks_preview.md"), [text])
     return text
@@ -77,7 +87,8 @@ def translate_file(spark: SparkSession, ws: Workspace, make_model: Callable[[],
     cache_path = ws.path("translated_chapters")
     cached = "chapter_number int, translated string"
     cache = spark.read.schema(cached).parquet(cache_path) if readers.exists(spark, cache_path) else spark.createDataFrame([], cached)
-    done = translate(select_chapters(chapters, numbers), cache, make_model, max_retries=max_retries, force=force, cache_path=cache_path).cache()
+    # Stored once: a lost executor must not ask the model again, nor find a cache that this run has changed.
+    done = stored(translate(select_chapters(chapters, numbers), cache, make_model, max_retries=max_retries, force=force, cache_path=cache_path), "translated")
     writers.write_jsonl_file(done, ws.path("translation_audit.jsonl"), ["request_no"], ["request_no", "translated"])
     fresh = done.filter("status = 'translated'").select("translated", "chapter_number")
     if not fresh.isEmpty():
@@ -109,6 +120,14 @@ def page_preview(pages: DataFrame, chars: int = 500, column: str = "raw_text") -
     return own.select("pdf_page_index", F.substring(F.replace(F.trim(column), F.lit("\n"), F.lit(" ")), 1, chars).alias("preview"))
 
 
+def toc_view(entries: DataFrame, n: int = 10) -> DataFrame:
+    """First and last n entries, each with its end: head, tail or both."""
+    up, down = Window.orderBy("chapter_number"), Window.orderBy(F.desc("chapter_number"))  # a table of contents has at most 99 entries
+    own = entries.withColumns({"__up": F.row_number().over(up), "__down": F.row_number().over(down)}).filter((F.col("__up") <= n) | (F.col("__down") <= n))
+    end = F.when((F.col("__up") <= n) & (F.col("__down") <= n), F.lit("both")).when(F.col("__up") <= n, F.lit("head")).otherwise(F.lit("tail"))
+    return own.withColumn("end", end).drop("__up", "__down")
+
+
 def first_page_with(pages: DataFrame, marker: str) -> DataFrame:
     return pages.filter(F.contains("clean_text", F.lit(marker))).orderBy("pdf_page_index").limit(1)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,18 +11,20 @@ from pyspark.sql.window import Window
 
 from .. import schemas
 from ..functions.text import count_words, pack_sentences, sentences
-from ..operators.chapters import section_table, toc_entries, with_section
+from ..operators.chapters import build_chapters, section_table, toc_entries, with_section
 from ..operators.chunks import BookProfile, build_chunks, chapter_index, counts_by_type
-from ..operators.entities import alias_rows, mention_finder, unmapped_candidates
-from ..operators.pages import clean_text, printed_page_number
-from ..operators.quality import chunk_errors, chunk_report, entity_report, missing_numbers, parsing_report
-from ..operators.questions import parse_questions
+from ..operators.entities import alias_rows, mention_finder, normalize_chapters, unmapped_candidates
+from ..operators.pages import clean_pages, clean_text, printed_page_number
+from ..operators.quality import chapter_errors, chunk_counts as counted_chunks, chunk_errors, missing_numbers, parsing_counts, quality_report
+from ..operators.questions import attach_questions, parse_questions
 from ..operators.report import chapter_preview
-from ..operators.translate import cache_status
+from ..operators.translate import prompts, select_chapters, translate
 from ..shipping import ship
+from ..sources import readers, writers
+from ..storage import shared_dir
 from .pipeline import answer_types as answer_type_counts
 from .pipeline import page_counts as counted_pages
-from .pipeline import parse_book
+from .pipeline import toc_view
 
 Query = Callable[[SparkSession, str], DataFrame]
 PART_WORDS = 1070
@@ -136,11 +139,79 @@ def chapter_previews(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row: parsing, chunk and entity checks of the conversations' chapters."""
     chapters = _chapters(spark, sf_dir)
+    return parsing_counts(chapters).crossJoin(counted_chunks(build_chunks(chapters, _BOOK)))  # one row each
+
+
+def report_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The warnings of the whole quality report, over conversations as chapters and labels as the audit of their translation."""
+    chapters = _chapters(spark, sf_dir)
+    labels = _read(spark, sf_dir, "labels", "doc_id", "quality")
+    audit = labels.select(F.col("doc_id").cast("int").alias("chapter_number"), F.lit(None).cast("string").alias("chapter_id"), F.when(F.col("quality") == 0, "failed").otherwise("cached").alias("status"), F.lit("e").alias("error"))
+    row = quality_report(chapters, chapters.filter("chapter_number % 2 = 0"), build_chunks(chapters, _BOOK), audit, jsonl_lines=1, index_rows=0, files={"final_chunks_json": True}, default_model="none")
+    return row.select("translation_model", F.posexplode("warnings").alias("place", "warning"))
+
+
+def chapter_schema_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that each document, written as a chapter's JSON, lacks."""
+    d, text = F.col("doc_id"), F.get(F.split(F.to_json(F.array(F.coalesce("text", F.lit("")))), "\\A\\["), 1)
+    questions = F.when(d % 3 == 0, F.lit("null")).when(d % 3 == 1, F.lit("[]")).otherwise(F.lit('{"a":[]}'))
+    body = F.concat(F.lit('{"chapter_title":'), F.left(text, F.length(text) - 1), F.when(d % 4 != 0, F.concat(F.lit(',"questions":'), questions)).otherwise(F.lit("")), F.when(d % 2 == 0, F.lit(',"places":null')).otherwise(F.lit("")), F.lit(',"kanda":1}'))
+    e = chapter_errors(body)
+    return _documents(spark, sf_dir).select("doc_id", F.array_join(e, ",").alias("gaps"))
+
+
+#: Aliases that occur in conversations, one of them a place.
+WORDS = {"entities": {"The": {"category": "sage", "aliases": ["the"]}, "And": {"category": "place", "aliases": ["and"]}, "Group": {"category": "deity", "aliases": ["conversation"]}}}
+
+
+def entities_by_chapter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as chapters, with their entities resolved."""
+    chapters = _chapters(spark, sf_dir).withColumn("translation_notes", F.array(F.lit("The note"), F.lit(None).cast("string"), F.lit("nothing")))
+    own = normalize_chapters(chapters, alias_rows(WORDS))
+    names = lambda c: F.array_join(F.array_sort(c), ",")
+    keys = F.flatten(F.transform("questions", lambda q: F.transform(q["key_entities"], lambda k: F.concat(q["question_number"].cast("string"), F.lit(":"), k))))
+    return own.select(
+        "chapter_number", names(F.col("canonical_entities")).alias("entities"), names(F.col("places")).alias("places"), names(keys).alias("keys"),
+        F.size("entity_mentions").cast("long").alias("mentions"), F.size("note_entity_mentions").cast("long").alias("note_mentions"),
+        F.aggregate(F.transform("questions", lambda q: F.size(q["entity_mentions"])), F.lit(0), lambda a, x: a + x).cast("long").alias("question_mentions"))
+
+
+def long_narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as the narrative answer of a chapter's only question: split where the chunk would be too long."""
+    none = F.array().cast("array<string>")
+    question = F.struct(
+        F.lit(1).alias("question_number"), F.lit("Tell it?").alias("question"), F.lit("narrative").alias("answer_type"), F.array().cast(f"array<{schemas.OPTION}>").alias("options"),
+        F.lit(None).cast("string").alias("correct_answer"), F.col("text").alias("answer"), none.alias("key_entities"), F.array().cast(f"array<{schemas.MENTION}>").alias("entity_mentions"))
+    chapters = _documents(spark, sf_dir).select(
+        "doc_id", F.lit(7).alias("chapter_number"), F.lit("c").alias("chapter_id"), F.lit("Long Kanda").alias("kanda"), F.lit(1).alias("kanda_order"), F.lit(None).cast("string").alias("sarga_range"), F.lit("One").alias("chapter_title"),
+        F.lit("s").alias("chapter_summary"), F.array(question).alias("questions"), none.alias("canonical_entities"), none.alias("places"), none.alias("themes"),
+        F.array().cast("array<int>").alias("source_pdf_pages"), none.alias("printed_page_numbers"), F.array().cast(f"array<{schemas.MENTION}>").alias("entity_mentions"))
+    out = build_chunks(chapters, _BOOK, ("doc_id",)).filter("metadata.chunk_type <> 'chapter_summary'")
+    return out.select("doc_id", "chunk_id", F.col("metadata.chunk_type").alias("chunk_type"), F.md5(F.encode("text", "UTF-8")).alias("text_md5"))
+
+
+def chunk_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each chunk says of its chapter and book."""
+    join = lambda c: F.array_join(F.col(f"metadata.{c}").cast("array<string>"), ",").alias(c)
+    out = build_chunks(_chapters(spark, sf_dir), _BOOK)
+    same = ("document_title", "source_file", "language_original", "language_output", "kanda", "kanda_order", "chapter_number", "chapter_title", "sarga_range", "question_number", "answer_type", "translation_model", "pipeline_version")
+    return out.select("chunk_id", *[F.col(f"metadata.{c}").alias(c) for c in same], *map(join, ("places", "themes", "source_pdf_pages", "printed_page_numbers")), F.size("metadata.entity_mentions").alias("entity_mentions"))
+
+
+def sinks_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that one book's three sinks give when they are read again: by index, line and row."""
+    folder = shared_dir(spark)
+    chapters = _chapters(spark, sf_dir)
     chunks = build_chunks(chapters, _BOOK)
-    p = parsing_report(chapters).select("detected_chapters", "detected_questions", F.size("missing_chapters").cast("long").alias("missing_chapters"), F.size("chapters_with_question_count_issues").cast("long").alias("count_issues"))
-    c = chunk_report(chunks, 0).select("total_chunks", F.size("chunks_missing_required_metadata").cast("long").alias("incomplete_chunks"), F.size("chunks_missing_answer_text").cast("long").alias("without_answer"), "json_jsonl_count_match")
-    e = entity_report(chapters, chunks).select("chunks_with_canonical_entities", F.size("chunks_with_missing_canonical_entities").cast("long").alias("chunks_without_entities"), F.size("unmapped_entity_candidates").cast("long").alias("chapters_with_candidates"))
-    return p.crossJoin(c).crossJoin(e)  # one row each
+    writers.write_chunks(chunks, chapter_index(chapters, chunks), folder)
+    writers.write_jsonl(chunks.select("chunk_id", "text", "metadata"), f"{folder}/lines")
+    digest = lambda c: F.md5(F.encode(c, "UTF-8")).alias("digest")
+    array = readers.read_records(spark, f"{folder}/final_chunks.json", schemas.CHUNK).select(F.lit("array").alias("sink"), F.concat(F.col("index").cast("string"), F.lit(" "), "chunk_id").alias("id"), digest("text"))
+    lines = readers.read_jsonl(spark, f"{folder}/final_chunks.jsonl", schemas.CHUNK).select(F.lit("file").alias("sink"), F.col("chunk_id").alias("id"), digest("text"))
+    parts = readers.read_jsonl(spark, f"{folder}/lines", schemas.CHUNK).select(F.lit("folder").alias("sink"), F.col("chunk_id").alias("id"), digest("text"))
+    rows = readers.read_csv_rows(spark, f"{folder}/chapter_index.csv").select(F.lit("index").alias("sink"), F.col("chapter_id").alias("id"), digest(F.concat_ws("|", "kanda", "sarga_range", "question_count", "chunk_count")))
+    count = readers.count_jsonl_lines(spark, f"{folder}/final_chunks.jsonl")
+    return array.unionByName(lines).unionByName(parts).unionByName(rows).withColumn("lines", F.lit(count).cast("long"))
 
 
 #: Overlapping phrases of the corpus, so that the longest-first claim matters.
@@ -200,45 +271,127 @@ def last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chunk_schema_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records that lack keys, by what they lack."""
-    d = F.col("doc_id")
+    """Keys that each document, written as a chunk's JSON, lacks."""
+    d, text = F.col("doc_id"), F.get(F.split(F.to_json(F.array(F.coalesce("text", F.lit("")))), "\\A\\["), 1)
     body = F.concat(
-        F.lit("{"), F.when(d % 3 != 0, F.lit('"chunk_id":"c",')).otherwise(F.lit("")), F.when(d % 5 != 0, F.lit('"text":null,')).otherwise(F.lit("")),
+        F.lit("{"), F.when(d % 3 != 0, F.lit('"chunk_id":"c",')).otherwise(F.lit("")), F.when(d % 5 != 0, F.concat(F.lit('"text":'), F.left(text, F.length(text) - 1), F.lit(","))).otherwise(F.lit("")),
         F.when(d % 7 == 0, F.lit('"metadata":[]}')).when(d % 2 == 0, F.lit('"metadata":{"kanda":1,"themes":[],"places":null}}')).otherwise(F.lit('"other":0}')))
     e = chunk_errors(body)
-    return _read(spark, sf_dir, "documents", "doc_id").select("doc_id", F.array_join(e["root_missing"], ",").alias("root_missing"), F.array_join(e["metadata_missing"], ",").alias("metadata_missing"))
+    return _documents(spark, sf_dir).select("doc_id", F.array_join(e["root_missing"], ",").alias("root_missing"), F.array_join(e["metadata_missing"], ",").alias("metadata_missing"))
+
+
+def _source_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations in the shape of parsed source chapters."""
+    asked = F.transform("questions", lambda q: F.struct(
+        q["question_number"].alias("question_number"), q["question"].alias("question_telugu"), q["answer_type"].alias("answer_type"), q["options"].alias("options_telugu"),
+        q["correct_answer"].alias("answer_key_telugu"), q["answer"].alias("answer_telugu"), F.array().cast("array<string>").alias("parser_warnings")))
+    said = F.array_join(F.transform("questions", lambda q: q["answer"]), "\n")
+    return _chapters(spark, sf_dir).select(
+        "chapter_number", "chapter_id", F.lit("k").alias("kanda_telugu"), F.col("kanda").alias("kanda_english"), "kanda_order", "sarga_range", F.col("chapter_title").alias("chapter_title_telugu"),
+        "source_pdf_pages", "printed_page_numbers", asked.alias("questions"), said.alias("raw_telugu_text"), "parser_warnings", F.lit(False).alias("needs_review"))
+
+
+def prompt_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the prompts hold of each chapter, read back from their JSON."""
+    payload = F.substring_index("user_prompt", "\nChapter:\n", -1)
+    own = prompts(_source_chapters(spark, sf_dir)).select(payload.alias("p"))
+    get = lambda k: F.get_json_object("p", f"$.{k}")
+    return own.select(get("chapter_number").cast("int").alias("chapter_number"), F.array_join(F.array_sort(F.json_object_keys("p")), ",").alias("keys"), get("sarga_range").alias("sarga_range"),
+                      F.md5(F.encode(get("raw_telugu_text"), "UTF-8")).alias("text_md5"), F.json_array_length(get("questions")).alias("questions"))
+
+
+def replayed() -> Callable[[str, str], str]:
+    """A model without a network: by its number a chapter is translated, needs a second attempt, or gets no usable reply."""
+    tried: set[int] = set()
+
+    def ask(system: str, user: str) -> str:
+        c = json.loads(user.split("Chapter:\n", 1)[1])
+        n = c["chapter_number"]
+        if n % 7 == 3 and n not in tried:
+            tried.add(n)
+            raise OSError("no connection")
+        if n % 7 == 4:
+            return "sorry"
+        out = {k: [] for k in ("canonical_entities", "places", "themes", "translation_notes")} | {
+            "chapter_id": c["chapter_id"], "chapter_number": n, "chapter_summary": "s", "chapter_title": "t", "kanda": c["kanda_english"], "kanda_order": c["kanda_order"], "sarga_range": None,
+            "questions": [{"answer": q["answer_telugu"], "answer_type": q["answer_type"], "correct_answer": None, "key_entities": [], "options": None if n % 7 == 5 else [], "question": "q", "question_number": q["question_number"]} for q in c["questions"]]}
+        text = json.dumps(out, ensure_ascii=False)
+        return f"```json\n{text}\n```" if n % 7 == 6 else text
+
+    return ask
+
+
+def _at_once(seconds: float) -> None:
+    """No wait between the attempts of a replay."""
 
 
 def translate_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a cache (labels; a quality of 0 is an invalid entry) leaves to be translated."""
-    labels = _read(spark, sf_dir, "labels", "doc_id", "quality")
-    return cache_status(_read(spark, sf_dir, "documents", "doc_id"), labels, "doc_id", F.col("quality") == 1)
+    """Conversations as chapters through the translation, by a replayed model; every fifth is in the cache, every fifth wrongly."""
+    chapters = _source_chapters(spark, sf_dir)
+    none = F.array().cast("array<string>")
+    whole = F.to_json(F.struct(
+        "chapter_id", "chapter_number", F.lit("s").alias("chapter_summary"), F.lit("t").alias("chapter_title"), F.lit("k").alias("kanda"), "kanda_order", "sarga_range", F.array().cast("array<int>").alias("questions"),
+        *[none.alias(k) for k in ("canonical_entities", "places", "themes", "translation_notes")]), {"ignoreNullFields": "false"})
+    cache = chapters.filter("chapter_number % 5 < 2").select("chapter_number", F.when(F.col("chapter_number") % 5 == 0, whole).otherwise(F.lit("{}")).alias("translated"))
+    done = translate(select_chapters(chapters, None), cache, replayed, sleep=_at_once)
+    return done.select("request_no", "chapter_number", "status", "attempts", "error_type", "error", F.json_array_length(F.get_json_object("translated", "$.questions")).alias("questions"))
+
 
+def _letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents' letters, with single spaces."""
+    t = F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z]+", " ")
+    return _documents(spark, sf_dir).select("doc_id", F.trim(t).alias("t"))
 
-#: A book of small pages, written for these queries.
-BOOK_PAGES = [
-    (0, None, "విషయసూచిక\n1. బాల కాండ - మొదటి కథ\n3\n2. బాల కాండ - రెండవ - కథ\n\n5\n"), (1, "1", "ముందుమాట"), (2, None, ""), (3, None, "x"), (4, None, "y"), (5, None, "z"), (6, "2", "w"),
-    (7, "3", "1, 2 సర్గలు\n1. ప్రశ్న: మొదటిది ఏది?\nజవాబు: 1. ఒకటి 2. రెండు 3. మూడు 4. నాలుగు\n2. ప్రశ్న: రెండవది?\n1) అవును 2) కాదు"),
-    (8, "4", "3. ప్రశ్న : ఎవరు?\n4వ ప్రశ్న\nఎందుకు?\nజవాబు\n: పెద్ద కథ.\n5. పశ్న: ఎలా?\nజవాబు: ఇలా."),
-    (9, "5", "జవాబులు:\n1. 2. రెండు 2. 1. అవును 3. వాల్మీకి\n3 సర్గలు\nప్రశ్న: పేరు?\nజవాబు: 1. అ 2. ఆ\n2. ప్రశ్న: ఊరు?\nజవాబు: కథ"), (10, "6", "end")]
 
+def _books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a book: a contents page, six pages in front, and its text on pages 7 to 9 of 11.
 
-def _book(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(*p, "pymupdf") for p in BOOK_PAGES], schemas.PAGE)
+    Of some books the second chapter's page number is on no page, or the third has none.
+    """
+    d, k = F.col("doc_id"), F.floor(F.length("t") / 3).cast("int")
+    contents = F.concat(F.lit("Contents\n1. A - T"), d.cast("string"), F.lit("\n3\n2. B - U - V\nsee\n4\n3. C - W\n"), F.when(d % 5 == 0, F.lit("a\nb\nc\nd\n")).otherwise(F.lit("5\n")), F.lit("100. Z - far\n7\n2. dup - x\n9"))
+    sarga = F.when(d % 3 == 0, F.lit("12, 14 సర్గలు\n")).otherwise(F.lit(""))
+    texts = [contents, *[F.lit("front")] * 6, F.substring("t", F.lit(1), k), F.substring("t", k + 1, k), F.concat(sarga, F.substring("t", 2 * k + 1, F.length("t"))), F.lit("end of it")]
+    printed = {7: F.lit("3"), 8: F.when(d % 4 != 0, F.lit("4")), 9: F.lit("5"), 10: F.lit("6")}
+    pages = F.array(*[F.struct(F.lit(i).alias("pdf_page_index"), printed.get(i, F.lit(None)).cast("string").alias("printed_page_number"), t.alias("raw_text")) for i, t in enumerate(texts)])
+    return _letters(spark, sf_dir).select("doc_id", F.explode(pages).alias("p")).select("doc_id", "p.*")
 
 
 def toc_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Table of contents and page spans of the small book."""
-    pages = _book(spark)
-    own = parse_book(pages)
-    entries = toc_entries(pages).select("chapter_number", F.col("printed_page_number").alias("toc_page"))
-    return own.join(entries, "chapter_number").select("chapter_number", "chapter_id", "kanda_telugu", "chapter_title_telugu", "toc_page", "sarga_range", F.array_join(F.col("source_pdf_pages").cast("array<string>"), ",").alias("pages"))
+    """Chapters of every document's book: contents, page spans, texts, warnings."""
+    pages = clean_pages(_books(spark, sf_dir))
+    entries = toc_entries(pages, ["doc_id"])
+    own = build_chapters(pages, entries, ["doc_id"]).join(entries.select("doc_id", "chapter_number", F.col("printed_page_number").alias("toc_page")), ["doc_id", "chapter_number"])
+    return own.select(
+        "doc_id", "chapter_number", "chapter_id", "kanda_telugu", "kanda_english", "chapter_title_telugu", "toc_page", "sarga_range", F.array_join(F.col("source_pdf_pages").cast("array<string>"), ",").alias("pages"),
+        F.array_join("printed_page_numbers", ",").alias("printed"), F.md5(F.encode("raw_telugu_text", "UTF-8")).alias("text_md5"), F.array_join("parser_warnings", " ").alias("warnings"), "needs_review")
+
+
+def toc_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First and last entries of a long table of contents, made of the parts' numbers."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").filter("p_partkey <= 60").select(F.col("p_partkey").cast("int").alias("chapter_number"))
+    return toc_view(part)
+
+
+def _asked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a chapter's text with five questions: without a number, without a label, direct, told, empty; and a key section."""
+    s, t = F.trim(F.left("t", F.lit(30))), F.col("t")
+    text = F.concat(
+        F.lit("front line\nప్రశ్న: x "), s, F.lit(" one?\nజవాబు: 1. x "), s, F.lit(" 2. b 3. c 4. d\n2. ప్రశ్న: two?\n1) x "), s, F.lit(" 2) no\n3. ప్రశ్న : three "), s,
+        F.lit(" x?\n4వ ప్రశ్న\nfour?\nజవాబు\n: so "), t, F.lit(".\n5. పశ్న: five?\nజవాబు: \nజవాబులు:\n1. 2. b 2. 1. x "), s, F.lit(" 3. old 3. key "), s, F.lit(" x"))
+    return _letters(spark, sf_dir).select("doc_id", text.alias("raw_telugu_text"), F.array(F.lit("Q9: old"), F.lit("Missing question numbers: [4]"), F.lit("kept")).alias("parser_warnings"), F.lit(False).alias("needs_review"))
 
 
 def qa_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Questions of the small book."""
-    own = parse_book(_book(spark)).select("chapter_number", F.explode("questions").alias("q"))
-    return own.select("chapter_number", "q.question_number", "q.question_telugu", "q.answer_type", F.size("q.options_telugu").alias("options"), "q.answer_key_telugu", "q.answer_telugu", F.array_join("q.parser_warnings", " ").alias("warnings"))
+    """Questions of every document's chapter."""
+    own = parse_questions(_asked(spark, sf_dir)).select("doc_id", F.explode("questions").alias("q"))
+    options = F.array_join(F.transform("q.options_telugu", lambda o: F.concat(o["label"], F.lit("="), o["text"])), ";")
+    return own.select("doc_id", "q.question_number", "q.question_telugu", "q.answer_type", options.alias("options"), "q.answer_key_telugu", F.md5(F.encode("q.answer_telugu", "UTF-8")).alias("answer_md5"), F.array_join("q.parser_warnings", " ").alias("warnings"))
+
+
+def qa_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Warnings after questions are attached to chapters that had warnings of an earlier parse."""
+    return attach_questions(_asked(spark, sf_dir)).select("doc_id", F.size("questions").alias("questions"), F.array_join("parser_warnings", " ").alias("warnings"), "needs_review")
 
 
 def question_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,5 +410,6 @@ def queries() -> dict[str, Query]:
     own = [
         word_count_by_doc, size_class, sentences_exploded, narrative_parts, clean_page_lines, printed_page, page_counts, qa_pairs, qa_chunks, chunk_counts, conversation_index,
         answer_types, chapter_previews, quality_summary, alias_mentions, mention_counts, unmapped_candidate_rows, range_bucket, missing_labels, missing_chapter_numbers, first_wins,
-        last_wins, chunk_schema_gaps, translate_audit, toc_spans, qa_parse, question_markers, section_dimension]
+        last_wins, chunk_schema_gaps, chapter_schema_gaps, report_warnings, entities_by_chapter, long_narratives, chunk_metadata, sinks_read_back, prompt_payload, translate_audit, toc_spans,
+        toc_ends, qa_parse, qa_warnings, question_markers, section_dimension]
     return {f.__name__: f for f in own}

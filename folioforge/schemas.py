@@ -42,3 +42,9 @@ INDEX_COLUMNS = [
     "chapter_number", "chapter_id", "kanda", "kanda_order", "chapter_title", "sarga_range",
     "source_pdf_pages", "printed_page_numbers", "question_count", "chunk_count", "chunk_ids",
 ]
+REPORT = (
+    "pipeline_version string, translation_model string, "
+    "parsing struct<expected_chapters:int,detected_chapters:long,expected_questions:int,detected_questions:long>, "
+    "translation struct<translated_chapters:long>, chunking struct<total_chunks:long,chunk_counts_by_type:map<string,long>>, "
+    "entity_normalization struct<chunks_with_canonical_entities:long>, warnings array<string>"
+)

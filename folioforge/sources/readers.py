@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import importlib.util
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -36,10 +36,24 @@ def count_jsonl_lines(spark: SparkSession, path: str) -> int:
 
 
 def _root(spark: SparkSession, path: str, sign: str) -> bool:
-    head = spark.read.text(path, wholetext=True).select(F.substring(F.ltrim(F.regexp_replace("value", r"\A[\s﻿]+", "")), 1, 1)).first()
+    """Whether the first character that isn't white space is the sign; lines are read until one has such a character."""
+    head = spark.read.text(path).select(F.regexp_replace("value", r"\A[\s\ufeff]+", "").alias("v")).filter("v <> ''").select(F.left("v", F.lit(1))).first()
     return head is not None and head[0] == sign
 
 
+def read_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The schema's columns, index and json of each object of a file whose root is an array; none if the file is missing.
+
+    json is the object as it is written, so keys that it lacks can be told from nulls; what doesn't fit the schema is null.
+    """
+    if not exists(spark, path):
+        return spark.createDataFrame([], f"{schema}, index long, json string")
+    text = F.regexp_replace("value", r"\A\ufeff", "")
+    whole = spark.read.text(path, wholetext=True).select(F.posexplode(F.variant_get(F.parse_json(text), "$", "array<variant>")).alias("index", "v"))
+    own = whole.select(F.col("index").cast("long").alias("index"), F.to_json("v").alias("json"))
+    return own.select(F.from_json("json", schema).alias("r"), "index", "json").select("r.*", "index", "json")
+
+
 def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Records of a file whose root is an array; a missing file or another root raises."""
     if not exists(spark, path):
@@ -75,20 +89,25 @@ def read_config(path: str) -> dict:
         return yaml.safe_load(f) or {}
 
 
-def read_pdf_pages(spark: SparkSession, path: str) -> DataFrame:
-    """One row per page of each PDF. Needs a PDF library on the executors; without one this raises."""
+def _pdf_texts(content: bytes) -> list[str]:
+    import fitz
+
+    with fitz.open(stream=content, filetype="pdf") as book:
+        return [page.get_text("text") for page in book]
+
+
+def read_pdf_pages(spark: SparkSession, path: str, texts: Callable[[bytes], list[str]] | None = None) -> DataFrame:
+    """One row per page of each PDF. texts gives a file's page texts; by default a PDF library, which the executors must have."""
     if not exists(spark, path):
         raise FileNotFoundError(path)
-    if not any(importlib.util.find_spec(m) for m in ("pymupdf", "fitz")):
-        raise RuntimeError("no PDF library is installed; start from page records (read_jsonl with schemas.PAGE)")
+    if texts is None and not any(importlib.util.find_spec(m) for m in ("pymupdf", "fitz")):
+        raise RuntimeError("no PDF library is installed; give texts, or start from page records (read_jsonl with schemas.PAGE)")
+    open_ = texts or _pdf_texts
 
     def pages(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import fitz
-
         for pdf in parts:
             for content in pdf["content"]:
-                with fitz.open(stream=bytes(content), filetype="pdf") as book:
-                    yield pd.DataFrame([(i, None, page.get_text("text"), "pymupdf") for i, page in enumerate(book)], columns=["pdf_page_index", "printed_page_number", "raw_text", "extraction_method"])
+                yield pd.DataFrame([(i, None, t, "pymupdf") for i, t in enumerate(open_(bytes(content)))], columns=["pdf_page_index", "printed_page_number", "raw_text", "extraction_method"])
 
     raw = spark.read.format("binaryFile").load(path).select("content").mapInPandas(pages, PAGE)
     return raw.withColumn("printed_page_number", printed_page_number(F.col("raw_text")))

@@ -8,7 +8,7 @@ from folioforge import schemas
 from folioforge.operators.entities import alias_rows
 from folioforge.operators.translate import ModelSettings, TranslationError, ask_json, contract_error, select_chapters, unfenced, unfenced_column
 from folioforge.plans import pipeline as P
-from folioforge.plans.queries import BOOK_PAGES
+from small_book import BOOK_PAGES
 from folioforge.sources import readers, writers
 from folioforge.streaming.incremental import keep_latest, stream_pages
 
@@ -51,6 +51,9 @@ def test_whole_run(spark, book, tmp_path):
     lines = [json.loads(x) for x in (out / "final_chunks.jsonl").read_text().splitlines()]
     assert array == lines and len(array) == 2 + 5 + 2 and array[0]["chunk_id"] == "ramayana_bala_001_summary" and array[0]["metadata"]["question_number"] is None
     report = json.loads((out / "validation_report.json").read_text())
+    assert report["chunking"]["chunk_counts_by_type"] == {"chapter_summary": 2, "qa_multiple_choice": 3, "qa_direct_answer": 1, "qa_narrative": 3} and report["translation"]["question_count_by_chapter"] == {"1": 5, "2": 2}
+    audit = json.loads((tmp_path / "entity_normalization_audit.json").read_text())
+    assert audit["chapter_count"] == 2 and [c["chapter_number"] for c in audit["chapters"]] == [1, 2] and audit["total_entity_mentions"] == sum(c["entity_mentions"] for c in audit["chapters"])
     assert report["chunking"]["json_jsonl_count_match"] and report["output_file_checks"]["chapter_index_rows"] == 2 and report["parsing"]["detected_questions"] == 7
     assert (out / "chapter_index.csv").read_text().splitlines()[0].startswith("chapter_number,chapter_id") and "﻿" not in text
     assert (out / "final_chunks_preview.md").read_text() == text and "- Key entities: Valmiki" in text and "- Places: Ayodhya" in text
@@ -72,6 +75,42 @@ def test_whole_run(spark, book, tmp_path):
         select_chapters(readers.read_json_array(spark, book.path("chapters_telugu.json"), schemas.SOURCE_CHAPTER), [1, 77])
 
 
+def test_report_of_files_as_written(spark, tmp_path, monkeypatch):
+    """Keys that records lack, chunks without an id, a chapter that comes twice, and a model from the environment."""
+    ws = P.Workspace(f"file://{tmp_path}")
+    (tmp_path / "processed").mkdir()
+    whole = {k: [] for k in ("canonical_entities", "entity_mentions", "places", "themes", "printed_page_numbers", "source_pdf_pages")} | {"chapter_id": "a", "chapter_summary": None, "chapter_title": "t", "kanda": "k", "kanda_order": 1, "sarga_range": None}
+    chapters = [whole | {"chapter_number": 2, "questions": []}, whole | {"chapter_number": 1, "questions": [{"question_number": 1}], "unmapped_entity_candidates": ["X"]}, {"chapter_number": 2, "questions": {}}]
+    (tmp_path / "chapters_english_normalized.json").write_text(json.dumps(chapters))
+    chunks = [{"chunk_id": "", "text": "Question 1: a Answer: b", "metadata": {"chunk_type": "qa_narrative"}}, {"text": None, "metadata": {"chunk_type": "qa_narrative", "translation_model": ""}}, {"chunk_id": "c", "text": "", "metadata": 7}]
+    (tmp_path / "processed" / "final_chunks.json").write_text("\n" + json.dumps(chunks, indent=1))
+    monkeypatch.setenv("SOME_MODEL", "own")
+    P.report_file(spark, ws, model_variable="SOME_MODEL")
+    r = json.loads((tmp_path / "processed" / "validation_report.json").read_text())
+    assert list(r) == ["pipeline_version", "translation_model", "parsing", "translation", "chunking", "entity_normalization", "output_file_checks", "warnings"] and r["translation_model"] == "own"
+    assert r["parsing"]["detected_chapters"] == 0 and r["translation"]["question_count_by_chapter"] == {"2": 0, "1": 1} and r["entity_normalization"]["unmapped_entity_candidates"] == {"1": ["X"]}
+    bad = r["translation"]["chapters_missing_required_fields"]
+    assert len(bad) == 1 and bad[0]["chapter_number"] == 2 and bad[0]["missing_or_invalid_fields"][0] == "canonical_entities" and bad[0]["missing_or_invalid_fields"][-1] == "questions must be a list"
+    c = r["chunking"]
+    assert c["empty_chunk_ids"] == [{"index": 0, "chunk_id": ""}, {"index": 1, "chunk_id": None}] and c["chunks_missing_question_text"] == c["chunks_missing_answer_text"] == ["index_1"]
+    assert c["chunk_counts_by_type"] == {"qa_narrative": 2} and [x["root_missing"] for x in c["chunks_missing_required_metadata"]] == [[], ["chunk_id"], []]
+    assert c["chunks_missing_required_metadata"][2]["metadata_missing"] == ["metadata must be an object"] and not c["json_jsonl_count_match"]
+    text = P.preview_file(spark, ws)
+    assert "- qa_narrative: 2" in text and "- Translation model: own" in text and P.preview_file(spark, ws, refresh=True) == text.replace("model: own", "model: deepseek-chat")
+
+
+def test_pdf_pages_by_a_given_reader(spark, tmp_path):
+    (tmp_path / "a.pdf").write_bytes(b"12\none\x00two")
+    rows = readers.read_pdf_pages(spark, f"file://{tmp_path}/a.pdf", lambda data: data.decode().split("\x00")).orderBy("pdf_page_index").collect()
+    assert [tuple(r) for r in rows] == [(0, "12", "12\none", "pymupdf"), (1, None, "two", "pymupdf")]
+
+
+def test_toc_view(spark):
+    entries = spark.createDataFrame([(i,) for i in range(1, 26)], "chapter_number int")
+    ends = {r.chapter_number: r.end for r in P.toc_view(entries).collect()}
+    assert len(ends) == 20 and ends[10] == "head" and ends[16] == "tail" and 12 not in ends
+
+
 def test_looks_at_stages(spark, book):
     chapters = readers.read_json_array(spark, book.path("chapters_telugu.json"), schemas.SOURCE_CHAPTER)
     assert {r.answer_type: r.n for r in P.answer_types(chapters).collect()} == {"multiple_choice": 3, "direct_answer": 1, "narrative": 3}
@@ -100,21 +139,24 @@ def test_fences(spark):
     assert [r.x for r in df.orderBy("i").select(unfenced_column(df.t).alias("x")).collect()] == ["{}", "a", "a ``` b", "x"]
 
 
-def test_contract():
+def test_contract(spark):
     good = json.loads(unfenced(reply("", "Chapter:\n" + json.dumps({"chapter_number": 1, "chapter_id": "x", "kanda_english": "k", "kanda_order": 1, "sarga_range": None, "source_pdf_pages": [], "printed_page_numbers": [], "questions": [{"question_number": 1, "answer_type": "narrative", "options_telugu": []}]}))))
-    assert contract_error(good) is None
-    assert contract_error([]) == "Translated chapter must be a JSON object."
-    assert contract_error({k: v for k, v in good.items() if k not in ("themes", "kanda")}) == "Translated chapter missing fields: ['kanda', 'themes']"
-    assert contract_error(good | {"places": None}) == "Translated chapter field must be a list: places"
-    assert contract_error(good | {"questions": [1]}) == "Question 1 must be a JSON object."
-    assert contract_error(good | {"questions": [{"question": 1}]}).startswith("Question 1 missing fields: ['answer', ")
-    assert contract_error(good | {"questions": [good["questions"][0] | {"options": 0}]}) == "Question 1 options must be a list."
+    cases = [
+        (good, None), ([], "Translated chapter must be a JSON object."),
+        ({k: v for k, v in good.items() if k not in ("themes", "kanda")}, "Translated chapter missing fields: ['kanda', 'themes']"),
+        (good | {"questions": None}, "Translated chapter questions must be a list."), (good | {"places": None}, "Translated chapter field must be a list: places"),
+        (good | {"questions": [good["questions"][0], 1]}, "Question 2 must be a JSON object."),
+        (good | {"questions": [{"question": 1}]}, "Question 1 missing fields: ['answer', 'answer_type', 'correct_answer', 'key_entities', 'options', 'question_number']"),
+        (good | {"questions": [good["questions"][0] | {"options": 0}]}, "Question 1 options must be a list."), (None, "Translated chapter must be a JSON object.")]
+    df = spark.createDataFrame([(i, json.dumps(c)) for i, (c, _) in enumerate(cases)] + [(len(cases), "{")], "i int, j string")
+    got = [r.e for r in df.orderBy("i").select(contract_error(df.j).alias("e")).collect()]
+    assert got == [said for _, said in cases] + ["not JSON"]
 
 
 def test_settings():
     env = {"M_API_KEY": "k", "M_BASE_URL": "http://h/", "M_MODEL": "m", "M_TEMPERATURE": "0.5", "M_MAX_RETRIES": "2", "M_TIMEOUT_SECONDS": "3"}
     assert ModelSettings.from_env("M", env).url == "http://h/chat/completions"
-    for key, value, said in (("M_MODEL", "", "missing settings: M_MODEL"), ("M_TEMPERATURE", "x", "numeric"), ("M_MAX_RETRIES", "0", "at least 1"), ("M_TIMEOUT_SECONDS", "0", "greater than 0")):
+    for key, value, said in (("M_MODEL", "", "M_MODEL is missing"), ("M_TEMPERATURE", "x", "numeric"), ("M_MAX_RETRIES", "0", "at least 1"), ("M_TIMEOUT_SECONDS", "0", "greater than 0")):
         with pytest.raises(ValueError, match=said):
             ModelSettings.from_env("M", env | {key: value})
 
@@ -145,9 +187,9 @@ def test_readers(spark, tmp_path):
 
 def test_stream_keeps_the_latest_page(spark, tmp_path):
     (tmp_path / "in").mkdir()
-    page = lambda i, t: json.dumps({"pdf_page_index": i, "raw_text": t, "extraction_method": "given"}) + "\n"
-    for turn, text in enumerate([page(0, "12\na") + page(1, "b"), page(1, "13\nbb")]):
+    page = lambda i, t, n: json.dumps({"pdf_page_index": i, "raw_text": t, "extraction_method": "given", "batch": n}) + "\n"
+    for turn, text in enumerate([page(0, "12\na", 0) + page(1, "later", 1) + page(1, "b", 0), page(1, "13\nbb", 2), page(1, "old", 1)]):
         (tmp_path / "in" / f"{turn}.json").write_text(text)
-        keep_latest(stream_pages(spark, f"file://{tmp_path}/in"), f"file://{tmp_path}/out", f"file://{tmp_path}/cp", "pdf_page_index").awaitTermination()
+        keep_latest(stream_pages(spark, f"file://{tmp_path}/in", schemas.PAGE + ", batch int"), f"file://{tmp_path}/out", f"file://{tmp_path}/cp", "pdf_page_index", "batch").awaitTermination()
     got = spark.read.parquet(f"file://{tmp_path}/out").orderBy("pdf_page_index").collect()
     assert [(r.pdf_page_index, r.printed_page_number, r.clean_text) for r in got] == [(0, "12", "a"), (1, "13", "bb")]
