@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..shipping import ship
+from ..storage import shared_dir, stored
 
 __all__ = ["bloom_probe", "bloom_words", "components", "filter_bits", "join_back", "narrow", "shared_dir", "ship", "stored", "table"]
 
@@ -24,26 +23,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder below the one that the cluster names in spark.checkpoint.dir.
-
-    Only where that is unset, as in tests, a temporary folder is made and set.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="folioforge-")
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/folioforge-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, name: str = "t") -> DataFrame:
-    """The frame written once as a table in the shared folder and read back: lineage ends here."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def narrow(df: DataFrame, columns: dict[str, T.DataType | str]) -> DataFrame:
     """Only the named columns, in order and cast; further columns of the input never clash."""
     return df.select(*[F.col(f"`{c}`").cast(t).alias(c) for c, t in columns.items()])
@@ -83,13 +62,18 @@ def bloom_probe(df: DataFrame, words: DataFrame, cells: Sequence[Column], bits:
     return df.withColumn(out, test).drop(*[x for n in names for x in n])
 
 
+def _hot_from(total: int) -> int:
+    """Rows from which a group of a table of `total` rows is hot: at most HOT_SHARE groups of a large table are."""
+    return max(256, total // HOT_SHARE)
+
+
 def join_back(rows: DataFrame, groups: DataFrame, key: Sequence[str], size: str, total: int, how: str = "inner") -> DataFrame:
     """rows joined with their group's one row, hot groups apart.
 
     A group of more than total / HOT_SHARE rows is hot, so at most HOT_SHARE groups are: they are
     broadcast under that bound, and rows of hot groups never meet in one task.
     """
-    limit = max(1000, total // HOT_SHARE)
+    limit = _hot_from(total)
     hot = groups.filter(F.col(size) > limit)
     cold = groups.filter(F.col(size) <= limit)
     flag = hot.select(*key, *[F.col(c).alias(f"__h_{c}") for c in groups.columns if c not in key], F.lit(True).alias("__hot"))
@@ -105,23 +89,26 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of (a long, b long) links: (id, component), the smallest id reachable.
 
     Alternating large-star and small-star steps on link tables; every round is stored in the shared folder,
-    links only ever move between executors and nothing but their count and checksum reaches the driver.
-    Hot nodes: each step reduces by a partial minimum before it shuffles.
+    links only ever move between executors and nothing but their count, checksum and largest degree reaches the driver.
+    Each step reduces by a partial minimum before it shuffles; in rounds with hot nodes these are joined apart.
     """
     links = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b").distinct(), "links")
     before = None
     for _ in range(rounds):
-        mark = links.select(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark[0] == 0 or mark == before:
+        both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        degrees = both.groupBy("a").agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h"))
+        n, mark, most = degrees.agg(F.coalesce(F.sum("n"), F.lit(0)), F.sum("h"), F.coalesce(F.max("n"), F.lit(0))).first()
+        if n == 0 or mark == before:
             break
         before = mark
-        both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = stored(large.filter("a > b").distinct(), "large")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-        links = stored(small.filter("a > b").distinct(), "links")
+        files = 1 + n // 200_000  # links don't grow: no more files than they fill
+        back = lambda rows, groups: join_back(rows, groups, ["a"], "n", n) if most > _hot_from(n) else rows.join(groups, "a")  # noqa: B023, E731
+        low = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
+        large = back(both, low).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = stored(large.filter("a > b").distinct().coalesce(files), "large")
+        least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        small = back(large, least).select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
+        links = stored(small.filter("a > b").distinct().coalesce(files), "links")
     else:
         raise RuntimeError(f"components did not settle within {rounds} rounds")
     found = links.groupBy("a").agg(F.min("b").alias("component")).select(F.col("a").alias("id"), "component")

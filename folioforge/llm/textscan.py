@@ -38,7 +38,7 @@ def data_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def slices(texts: pa.Array, most: int = 2_000_000):
+def slices(texts: pa.Array, most: int = 1_000_000):
     """(first row, rows) of runs of texts of about `most` bytes, so that work space is bounded by that and the longest text."""
     at = data_of(texts)[1]
     lo = 0
