@@ -13,8 +13,8 @@ lines that share their first or last words with a different line (as any pair wi
 emitted.
 
 Defined cases: null texts have no lines and stay null; blank lines are never dropped; rows without doc_id take no
-part and keep their lines; rows that repeat a doc_id share positions, so lines at the same position don't drop each other;
-an empty table gives an empty result; columns other than doc_id and text pass through.
+part and keep their lines; rows that repeat a doc_id share positions, so lines at the same position don't drop each other,
+and each row loses only lines of its own text (rows are told apart by the text's hash); an empty table gives an empty result; columns other than doc_id and text pass through.
 """
 
 from __future__ import annotations
@@ -37,26 +37,32 @@ def _flat(line: Column) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, flat, k1, k2) of every line that isn't blank."""
+    """(doc_id, variant, line_no, flat, k1, k2) of every line that isn't blank; variant tells texts of one doc_id apart."""
     own = narrow(docs, {"doc_id": "long", "text": "string"}).filter("doc_id IS NOT NULL")
-    out = own.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    out = out.select("doc_id", "line_no", _flat(F.col("line")).alias("flat")).filter("flat <> ''")
+    out = own.select("doc_id", _variant().alias("variant"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    out = out.filter(F.btrim("line", F.lit(" \t\r\x0b\x0c")) != "").select("doc_id", "variant", "line_no", _flat(F.col("line")).alias("flat"))
     return out.withColumns({"k1": F.xxhash64("flat"), "k2": F.xxhash64(F.lit(97), "flat")})
 
 
-def _ends(flat: Column, n: Column, least_words: int) -> Column:
-    """Keys of which two lines within the bound share one: their first or last h words.
+def _variant() -> Column:
+    return F.xxhash64(F.col("text").cast("string"))
+
+
+def _ends(lines: DataFrame, least_words: int) -> DataFrame:
+    """Adds ends, keys of which two lines within the bound share one: their first or last h words.
 
     h is the largest power of two of at most half the words, so it is the same for both but where the longer has a power
     of two of words; such a line also has the keys of half its h. An edit among the first h words leaves the last h.
     """
-    h = F.lit(1)
-    for k in range(2, 31):
-        h = F.when(n >= (1 << k), F.lit(1 << (k - 1))).otherwise(h)
-    keys = lambda m: [F.xxhash64(F.lit("first"), m, F.call_function("substring_index", flat, F.lit(" "), m)), F.xxhash64(F.lit("last"), m, F.call_function("substring_index", flat, F.lit(" "), -m))]
-    half = F.floor(h / 2).cast("int")
-    both = F.when(h * 2 == n, F.array(*keys(h), *keys(half))).otherwise(F.array(*keys(h)))
-    return F.when(n >= least_words, both)
+    own = lines.withColumn("w", F.split("flat", " ")).withColumn("n_words", F.size("w"))
+    own = own.withColumn("h", F.expr("shiftleft(1, length(bin(n_words)) - 2)"))
+
+    def keys(m: Column) -> list[Column]:
+        return [F.xxhash64(F.lit("first"), m, F.slice("w", F.lit(1), m)), F.xxhash64(F.lit("last"), m, F.slice("w", F.col("n_words") - m + 1, m))]
+
+    half = F.expr("h div 2").cast("int")
+    ends = F.when(F.col("h") * 2 == F.col("n_words"), F.array(*keys(F.col("h")), *keys(half))).otherwise(F.array(*keys(F.col("h"))))
+    return own.withColumn("ends", F.when(F.col("n_words") >= least_words, ends)).drop("w", "n_words", "h")
 
 
 def _halves(words: Column) -> Column:
@@ -80,10 +86,9 @@ def _distance_one(a: Column, b: Column) -> Column:
 
 
 def repeated_lines(docs: DataFrame, least_words: int = 8) -> DataFrame:
-    """(doc_id, line_no) of every line that goes."""
-    n = (F.length("flat") - F.length(F.replace("flat", F.lit(" "), F.lit(""))) + 1).alias("n_words")
-    own = _lines(docs).withColumn("n_words", n).withColumn("ends", _ends(F.col("flat"), F.col("n_words"), least_words))
-    rows = stored(own.select("doc_id", "line_no", *KEY, "ends"), "lines")
+    """(doc_id, variant, line_no) of every line that goes."""
+    own = _ends(_lines(docs), least_words)
+    rows = stored(own.select("doc_id", "variant", "line_no", *KEY, "ends"), "lines")
     total = rows.count()
     lines = rows.groupBy(*KEY).agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n"), F.first("ends").alias("ends"))
     lines = stored(lines, "distinct")
@@ -112,7 +117,7 @@ def repeated_lines(docs: DataFrame, least_words: int = 8) -> DataFrame:
     cells = [F.col("k1"), F.col("k2")]
     maybe = bloom_probe(rows.drop("ends"), bloom_words(gone, cells, bits), cells, bits, "maybe").filter("maybe").drop("maybe")
     hit = join_back(maybe, gone, KEY, "n", max(total, 1))
-    return hit.filter(F.col("flag") | (F.struct("doc_id", "line_no") > F.col("first"))).select("doc_id", "line_no")
+    return hit.filter(F.col("flag") | (F.struct("doc_id", "line_no") > F.col("first"))).select("doc_id", "variant", "line_no")
 
 
 def _near_lines(docs: DataFrame, near: DataFrame, n_near: int) -> DataFrame:
@@ -134,8 +139,8 @@ def _near_lines(docs: DataFrame, near: DataFrame, n_near: int) -> DataFrame:
     held = bloom_probe(half, bloom_words(shared, cells, bits), cells, bits, "maybe").filter("maybe").select(*KEY).distinct()
     texts = stored(texts.join(held, KEY), "words")
 
-    without = lambda i: F.concat(F.slice("w", F.lit(1), F.greatest(i - 1, F.lit(0))), F.slice("w", i + 1, F.size("w")))
-    keyed = F.transform(F.sequence(F.lit(0), F.size("w")), lambda i: F.when(i == 0, F.xxhash64(F.col("w"))).otherwise(F.xxhash64(without(i))))
+    without = F.transform(F.sequence(F.lit(1), F.size("w")), lambda i: F.xxhash64(F.slice("w", F.lit(1), i - 1), F.slice("w", i + 1, F.size("w"))))
+    keyed = F.concat(F.array(F.xxhash64("w")), without)
     variants = stored(texts.select(*KEY, "first", F.posexplode(keyed).alias("i", "v")), "variants")
 
     # Only keys of two variants or more can join lines: the rest of the variants end here.
@@ -146,19 +151,24 @@ def _near_lines(docs: DataFrame, near: DataFrame, n_near: int) -> DataFrame:
     n = max(1, variants.count())
     who = F.struct("first", *KEY)
     cuts, wholes = variants.filter("i > 0"), variants.filter("i = 0")
-    least = lambda rows, *by: rows.groupBy(*by).agg(F.min(who).alias("e"), F.count("*").alias("n"))
+    least = lambda of: F.min(F.when(of, who))
+    same = variants.groupBy("v", "i").agg(F.min(who).alias("e"), F.count("*").alias("n")).filter("i > 0 AND n > 1")
+    other = variants.groupBy("v").agg(least(F.col("i") == 0).alias("whole"), least(F.col("i") > 0).alias("cut"), F.count("*").alias("n")).filter("whole IS NOT NULL AND cut IS NOT NULL")
+    other = stored(other, "others")
     found = [
-        join_back(cuts, least(cuts, "v", "i").filter("n > 1"), ["v", "i"], "n", n),
-        join_back(cuts, least(wholes, "v"), ["v"], "n", n),
-        join_back(wholes, least(cuts, "v"), ["v"], "n", n),
+        join_back(cuts, same, ["v", "i"], "n", n),
+        join_back(cuts, other.select("v", F.col("whole").alias("e"), "n"), ["v"], "n", n),
+        join_back(wholes, other.select("v", F.col("cut").alias("e"), "n"), ["v"], "n", n),
     ]
     pairs = None
     for f in found:
         f = f.filter(F.col("e.first") < F.col("first")).select(*KEY, F.col("e.k1").alias("e1"), F.col("e.k2").alias("e2"))
         pairs = f if pairs is None else pairs.unionByName(f)
-    left = texts.select(*KEY, "w")
-    right = texts.select(F.col("k1").alias("e1"), F.col("k2").alias("e2"), F.col("w").alias("u"))
-    checked = pairs.distinct().join(left, KEY).join(right, ["e1", "e2"]).filter(_distance_one(F.col("w"), F.col("u")))
+    pairs = stored(pairs.distinct(), "pairs")
+    # A line may be the earliest of many keys' lines: its words come to them as to a group of that size.
+    sizes = pairs.groupBy("e1", "e2").agg(F.count("*").alias("n"))
+    early = texts.select(F.col("k1").alias("e1"), F.col("k2").alias("e2"), F.col("w").alias("u")).join(sizes, ["e1", "e2"])
+    checked = join_back(pairs.join(texts.select(*KEY, "w"), KEY), early, ["e1", "e2"], "n", n).filter(_distance_one(F.col("w"), F.col("u")))
     return checked.select(*KEY).distinct()
 
 
@@ -166,18 +176,20 @@ def line_dedup(docs: DataFrame, least_words: int = 8) -> DataFrame:
     """The documents with the lines that remain, and n_lines and n_dropped; other columns pass through."""
     clash = [c for c in docs.columns if c in ("n_lines", "n_dropped")]
     docs = docs.drop(*clash)
-    drops = repeated_lines(docs, least_words).groupBy("doc_id").agg(F.collect_set("line_no").alias("__gone"))
-    drops = stored(drops.withColumnRenamed("doc_id", "__doc"), "drops")
+    drops = repeated_lines(docs, least_words).groupBy("doc_id", "variant").agg(F.collect_set("line_no").alias("__gone"))
+    drops = stored(drops.withColumnsRenamed({"doc_id": "__doc", "variant": "__variant"}), "drops")
     bits = filter_bits(drops.count())
     words = bloom_words(drops, [F.xxhash64("__doc")], bits)
     marked = bloom_probe(docs, words, [F.xxhash64(F.col("doc_id").cast("long"))], bits, "__maybe")
     maybe, rest = marked.filter("__maybe").drop("__maybe"), marked.filter("not __maybe").drop("__maybe")
-    joined = maybe.join(drops, F.col("doc_id").cast("long") == F.col("__doc"), "left").drop("__doc")
-    split = F.split("text", "\n")
-    kept = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("__gone")))
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.element_at(split, i + 1)), "\n"))
-    n_lines = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(split)).cast("long")
-    n_dropped = F.when(F.col("__gone").isNull(), F.lit(0)).otherwise(F.size("__gone")).cast("long")
-    changed = joined.withColumns({"n_lines": n_lines, "n_dropped": n_dropped}).withColumn("text", text).drop("__gone")
-    same = rest.withColumns({"n_lines": n_lines, "n_dropped": F.lit(0).cast("long")})
-    return changed.unionByName(same)
+    # Drops grow with the documents, so they are never broadcast, however few they are.
+    joined = maybe.join(drops.hint("merge"), (F.col("doc_id").cast("long") == F.col("__doc")) & (_variant() == F.col("__variant")), "left").drop("__doc", "__variant")
+    breaks = (F.octet_length("text") - F.octet_length(F.replace(F.col("text").cast("string"), F.lit("\n"), F.lit(""))) + 1).cast("long")
+    n_lines = F.when(F.col("text").isNull(), F.lit(0)).otherwise(breaks).cast("long")
+    none = F.lit(0).cast("long")
+    whole = F.col("__gone").isNull()
+    lines = joined.withColumn("__lines", F.when(~whole, F.split("text", "\n")))
+    kept = F.array_except(F.sequence(F.lit(1), F.size("__lines")), F.transform("__gone", lambda i: i + 1))  # in order
+    text = F.when(whole, F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.element_at("__lines", i)), "\n"))
+    changed = lines.withColumns({"n_lines": F.when(whole, n_lines).otherwise(F.size("__lines").cast("long")), "n_dropped": F.when(whole, none).otherwise(F.size("__gone").cast("long")), "text": text})
+    return changed.drop("__gone", "__lines").unionByName(rest.withColumns({"n_lines": n_lines, "n_dropped": none}))
