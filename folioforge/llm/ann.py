@@ -1,13 +1,13 @@
 """Nearest neighbours by a block matrix join.
 
 Vectors become unit vectors in int8 with a scale and the exact norm of their rounding error. Blocks of
-queries meet blocks of vectors in tiles: an int8 product (held in float32, exact to over 1,000 dimensions) gives every cosine
+queries meet blocks of vectors in tiles: an int8 product (in runs of 1,024 dimensions, which float32 holds exactly) gives every cosine
 within a known bound, and only pairs whose upper bound reaches the k-th lower bound survive. Survivors are
 recomputed in double precision from the original vectors; the tiles' best lists are merged by heaps.
 
 Defined cases: vectors that are null, empty, zero or hold a null or non-finite component take no part, nor do
 rows with a null id; vectors meet only vectors of their dimension; ties go to the smaller id; a repeated id is a
-candidate as often as it comes, but never for the query of that id; other columns are ignored; an empty table
+candidate as often as it comes, but never for a query of that id, and each query row has its own result; other columns are ignored; an empty table
 gives an empty result.
 """
 
@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 from .common import narrow, ship, stored
 
 CODED = "vec_id long, dim int, raw binary, code binary, scale double, error double"
-FOUND = "query_id long, vec_id long, score double"
+FOUND = "query_row long, query_id long, vec_id long, score double"
+#: Dimensions whose products of int8 codes sum up exactly in float32: 127 * 127 * 1024 is less than 2**24.
+RUN = 1024
 
 
 def encode(vectors: DataFrame, column: str = "embedding") -> DataFrame:
@@ -75,6 +77,14 @@ def cosine(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     return np.clip(out, -1.0, 1.0)
 
 
+def code_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Exact products of the rows of two matrices of codes held in float32."""
+    out = (a[:, :RUN] @ b[:, :RUN].T).astype(np.float64)
+    for lo in range(RUN, a.shape[1], RUN):
+        out += a[:, lo:lo + RUN] @ b[:, lo:lo + RUN].T
+    return out
+
+
 def _tile(k: int):
     def tile(queries: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
@@ -86,10 +96,10 @@ def _tile(k: int):
             for lo in range(0, len(queries), 256):
                 part = queries.iloc[lo:lo + 256]
                 own = np.frombuffer(b"".join(part["code"]), np.int8).reshape(len(part), -1).astype(np.float32)
-                near = (own @ codes.T) * (part["scale"].to_numpy()[:, None] * scale[None, :])
+                near = code_products(own, codes) * (part["scale"].to_numpy()[:, None] * scale[None, :])
                 e = part["error"].to_numpy()[:, None]
                 slack = e * (1 + error[None, :]) + error[None, :] + 1e-12
-                for i, (qid, qraw) in enumerate(zip(part["vec_id"], part["raw"], strict=True)):
+                for i, (row, qid, qraw) in enumerate(zip(part["row"], part["vec_id"], part["raw"], strict=True)):
                     low, high = near[i] - slack[i], near[i] + slack[i]
                     other = ids != qid
                     low = np.where(other, low, -np.inf)
@@ -100,21 +110,21 @@ def _tile(k: int):
                     live = np.flatnonzero(other & (high >= bar))
                     score = cosine(np.frombuffer(qraw, np.float64), raw[live])
                     best = np.lexsort((ids[live], -score))[:k]
-                    out += [(qid, ids[live[j]], score[j]) for j in best]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+                    out += [(row, qid, ids[live[j]], score[j]) for j in best]
+        return pd.DataFrame(out, columns=["query_row", "query_id", "vec_id", "score"])
 
     return tile
 
 
 def _merge(k: int):
     def merge(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        heaps: dict[int, list[tuple[float, int]]] = {}
+        heaps: dict[tuple[int, int], list[tuple[float, int]]] = {}
         for pdf in parts:
-            for q, v, s in zip(pdf["query_id"], pdf["vec_id"], pdf["score"], strict=True):
-                h = heaps.setdefault(q, [])
+            for r, q, v, s in zip(pdf["query_row"], pdf["query_id"], pdf["vec_id"], pdf["score"], strict=True):
+                h = heaps.setdefault((q, r), [])
                 item = (s, -v)
                 heapq.heappush(h, item) if len(h) < k else heapq.heappushpop(h, item)
-        rows = [(q, r + 1, -v, s) for q, h in heaps.items() for r, (s, v) in enumerate(sorted(h, reverse=True))]
+        rows = [(q, r + 1, -v, s) for (q, _), h in heaps.items() for r, (s, v) in enumerate(sorted(h, reverse=True))]
         yield pd.DataFrame(rows, columns=["query_id", "rank", "vec_id", "score"])
 
     return merge
@@ -128,13 +138,12 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, query_block: int =
     """
     coded = stored(encode(vectors, column), "codes")
     total = coded.count()
-    asked = coded.filter(F.pmod("vec_id", F.lit(every)) == 0)
+    asked = stored(coded.filter(F.pmod("vec_id", F.lit(every)) == 0).withColumn("row", F.monotonically_increasing_id()), "asked")
     n_q = max(1, -(-asked.count() // query_block))
     n_v = max(1, -(-total // vector_block), min(12, -(-total // 2048)))
-    key = lambda n, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(n)).cast("int")
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    queries = asked.withColumn("qb", key(n_q, 1)).withColumn("vb", spread(n_v))
+    queries = asked.withColumn("qb", F.pmod(F.xxhash64("row"), F.lit(n_q)).cast("int")).withColumn("vb", spread(n_v))
     others = coded.withColumn("vb", F.pmod(F.xxhash64("vec_id", "code"), F.lit(n_v)).cast("int")).withColumn("qb", spread(n_q))
     keys = ["dim", "qb", "vb"]
     found = queries.groupBy(*keys).cogroup(others.groupBy(*keys)).applyInPandas(_tile(k), FOUND)
-    return found.repartition("query_id").mapInPandas(_merge(k), "query_id long, rank int, vec_id long, score double")
+    return found.repartition("query_row").mapInPandas(_merge(k), "query_id long, rank int, vec_id long, score double")
