@@ -1,7 +1,7 @@
 r"""Chat formatting from a declarative template, in DataFrame functions only.
 
 A finite-state machine over roles checks turn order; each turn becomes segments with a loss flag, and the
-formatted text is their concatenation. Control characters of the template are escaped inside texts and role
+formatted text is their concatenation; the loss mask is also given as byte ranges of it. Control characters of the template are escaped inside texts and role
 names with two-character codes that stand for one character each, so formatted text reads back exactly.
 
 Defined cases: a null text is empty, a null role is the empty role; turns with equal numbers are ordered by
@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import narrow
@@ -68,24 +68,33 @@ def _machine(roles: Column, t: ChatTemplate) -> Column:
 
 
 def format_chats(rows: DataFrame, template: ChatTemplate = DEFAULT) -> DataFrame:
-    """(conv_id, segments array<struct<text, loss>>, formatted, valid, error_at), one row per conversation."""
-    own = narrow(rows, {"conv_id": "long", "turn": "long", "role": "string", "text": "string"})
-    turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    """(conv_id, segments array<struct<text, loss>>, formatted, loss_spans, valid, error_at), one row per conversation.
+
+    loss_spans array<struct<start, size>> are the bytes of formatted (in UTF-8, from 1) under the loss mask.
+    """
+    own = narrow(rows, {"conv_id": "long", "turn": "long", "role": "string", "text": "string"}).fillna("", ["role", "text"])
+    own = own.withColumns({"head": F.concat(F.lit(template.opening), escape(F.col("role"), template), F.lit(template.head_end)), "body": escape(F.col("text"), template)})
+    before = Window.partitionBy("conv_id").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, -1)
+    width = F.octet_length("head") + F.octet_length("body") + len(template.closing.encode())
+    own = own.withColumn("start", F.coalesce(F.sum(width).over(before), F.lit(0)) + F.octet_length("head") + 1)
+    turn = F.struct("turn", "role", "text", "head", "body", "start")
     convs = own.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
-    # array_sort puts null turn numbers first inside structs, as ascending order does.
+    # array_sort puts null turn numbers first inside structs, as the window's ascending order does.
+    loss = lambda x: x["role"].isin(*template.loss_roles)
 
     def segments(x: Column) -> Column:
-        head = F.concat(F.lit(template.opening), escape(x["role"], template), F.lit(template.head_end))
         return F.array(
-            F.struct(head.alias("text"), F.lit(False).alias("loss")),
-            F.struct(escape(x["text"], template).alias("text"), x["role"].isin(*template.loss_roles).alias("loss")),
+            F.struct(x["head"].alias("text"), F.lit(False).alias("loss")),
+            F.struct(x["body"].alias("text"), loss(x).alias("loss")),
             F.struct(F.lit(template.closing).alias("text"), F.lit(False).alias("loss")),
         )
 
-    out = convs.select("conv_id", F.flatten(F.transform("turns", segments)).alias("segments"), _machine(F.col("turns.role"), template).alias("m"))
+    spans = F.transform(F.filter("turns", loss), lambda x: F.struct(x["start"].alias("start"), F.octet_length(x["body"]).cast("long").alias("size")))
+    out = convs.select("conv_id", F.flatten(F.transform("turns", segments)).alias("segments"), spans.alias("loss_spans"), _machine(F.col("turns.role"), template).alias("m"))
     return out.select(
         "conv_id", "segments",
         F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"),
+        "loss_spans",
         F.col("m.state").isin(*template.final).alias("valid"),
         F.when(F.col("m.state") == "error", F.col("m.at")).alias("error_at"),
     )
@@ -105,10 +114,10 @@ def read_chats(formatted: DataFrame, template: ChatTemplate = DEFAULT) -> DataFr
     return formatted.withColumn("turns", F.transform(parts, turn))
 
 
-def loss_text(segments: Column, template: ChatTemplate = DEFAULT) -> Column:
-    """All text under the loss mask, unescaped, nothing between."""
-    masked = F.transform(F.filter(segments, lambda s: s["loss"]), lambda s: s["text"])
-    return unescape(F.array_join(masked, ""), template)
+def loss_text(formatted: Column, loss_spans: Column, template: ChatTemplate = DEFAULT) -> Column:
+    """All text under the loss mask, cut from the formatted text's bytes and unescaped, nothing between."""
+    cut = lambda data: F.array_join(F.transform(loss_spans, lambda s: F.decode(F.substring(data, s["start"].cast("int"), s["size"].cast("int")), "UTF-8")), "")
+    return unescape(F.get(F.transform(F.array(F.encode(formatted, "UTF-8")), cut), F.lit(0)), template)
 
 
 def _quoted(s: str) -> str:

@@ -83,7 +83,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], own.schema)
     chats = read_chats(format_chats(own.unionByName(extra)))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    learned = loss_text(F.col("segments"))
+    learned = loss_text(F.col("formatted"), F.col("loss_spans"))
     return chats.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
