@@ -7,7 +7,8 @@ the others, only full sequences are. Pieces of all other sequences, those with g
 and packed again, as long as that saves sequences.
 
 Defined cases: null and empty texts are the end token alone (length 1); rows repeated with one doc_id are packed
-as often as they come; null doc_ids are packed; texts longer than a sequence are cut into whole sequences and a
+as often as they come; null doc_ids are packed; pieces of equal length go in order of doc_id and piece, and of bins with equal
+room the one that got it last is taken; texts longer than a sequence are cut into whole sequences and a
 rest; an empty table gives an empty result; other columns are ignored.
 """
 

@@ -8,15 +8,16 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
 from folioforge.llm import near_dedup, registry, sql  # noqa: E402
-from folioforge.llm.ann import nearest  # noqa: E402
+from folioforge.llm.ann import code_products, nearest  # noqa: E402
 from folioforge.llm.chat_format import format_chats, loss_text, read_chats  # noqa: E402
-from folioforge.llm.common import components  # noqa: E402
+from folioforge.llm.common import components, join_back  # noqa: E402
 from folioforge.llm.exact_dedup import exact_dedup  # noqa: E402
 from folioforge.llm.licenses import license_scan  # noqa: E402
 from folioforge.llm.line_dedup import line_dedup  # noqa: E402
@@ -24,9 +25,10 @@ from folioforge.llm.near_dedup import near_duplicates  # noqa: E402
 from folioforge.llm.packing import pack, token_pieces  # noqa: E402
 from folioforge.llm.pieces import encode_documents, encode_parts, summary  # noqa: E402
 from folioforge.llm.substring_dedup import substring_dedup  # noqa: E402
-from folioforge.llm.toxicity import fit, score  # noqa: E402
+from folioforge.llm.toxicity import _windows, fit, score  # noqa: E402
+from brute_force import near_components, packed_well, table_texts, without_substrings  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
+SF, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.1"
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: Documents with nulls, empty, repeated and long texts, and columns that clash with those the operators make.
@@ -59,6 +61,26 @@ def test_exact_dedup(docs, empty):
     assert by[4].text_sha256 == hashlib.sha256(b"").hexdigest()
 
 
+def test_exact_dedup_of_a_hot_group(spark):
+    """A third of all rows in one group, which is joined apart from the others."""
+    rows = [(i, "the  same\ttext" if i % 3 == 0 else f"text {i // 2}") for i in range(1200)]
+    got = {r.doc_id: (r.keep_id, r.group_size) for r in exact_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    groups = collections.defaultdict(list)
+    for i, t in rows:
+        groups[re.sub(r"\s+", " ", t)].append(i)
+    assert got == {i: (min(own), len(own)) for own in groups.values() for i in own} and max(map(len, groups.values())) == 400
+
+
+def test_join_back_with_hot_groups(spark):
+    rows = spark.createDataFrame([(i, i % 7 if i % 2 else 0) for i in range(2000)] + [(5000, 99)], "row long, key long")
+    groups = rows.filter("key <> 99").groupBy("key").agg(F.count("*").alias("n"), F.max("row").alias("top"))
+    assert groups.filter("n > 256").count() == 1
+    got = {(r.row, r.key): r.top for r in join_back(rows, groups, ["key"], "n", 2000, "left").collect()}
+    top = {r.key: r.top for r in groups.collect()}
+    assert got == {(r.row, r.key): top.get(r.key) for r in rows.collect()}
+    assert join_back(rows, groups, ["key"], "n", 2000).count() == 2000
+
+
 def test_near_duplicates(docs, empty):
     got = near_duplicates(docs).collect()
     assert len(got) == len(ROWS) and near_duplicates(empty).count() == 0
@@ -85,6 +107,40 @@ def test_near_duplicates_of_oversized_regions(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in near_duplicates(docs).collect()} == dict(enumerate(low))
 
 
+def test_near_duplicates_of_one_id_with_two_texts(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(1, a), (1, b), (2, a + " end"), (3, b + " end"), (4, a), (5, "other words here"), (5, "other words here")]
+    for order in (rows, rows[::-1]):
+        got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_duplicates(spark.createDataFrame(order, "doc_id long, text string").repartition(3)).collect())
+        assert got == [(1, 56, 1, True), (1, 56, 1, True), (2, 57, 1, False), (3, 57, 1, False), (4, 56, 1, False), (5, 1, 5, True), (5, 1, 5, True)]
+
+
+@pytest.mark.parametrize("block", [256, 2048])
+def test_near_duplicates_in_chains_across_blocks(spark, monkeypatch, block):
+    """5,000 sets, each linked with the next ones only; every 1,000 the step is too wide for a link, though not for a candidate."""
+    monkeypatch.setattr(near_dedup, "MAX_BLOCK", block)
+    n, width = 5000, 100
+    at = np.cumsum([16 if i % 1000 == 0 else 4 for i in range(n)])
+    ids = np.random.default_rng(9).permutation(n)
+    shared = width - 4 - 16
+    assert 100 * (96 - 4) >= 75 * (96 + 4) and 100 * shared < 75 * (2 * 96 - shared)
+    rows = [(int(ids[i]), " ".join(f"w{k}" for k in range(at[i], at[i] + width))) for i in range(n)]
+    want = {int(ids[i]): int(min(ids[i // 1000 * 1000:i // 1000 * 1000 + 1000])) for i in range(n)}
+    got = {r.doc_id: r.component_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()}
+    assert got == want
+
+
+def test_neighbours_of_sorted_places():
+    sig = near_dedup.places(near_dedup.mix(np.arange(3 * 128, dtype=np.uint64)).reshape(3, 128))
+    assert sig.shape == (3, near_dedup.TREES, near_dedup.PLACE) and (sig[:, :, 0] == np.arange(near_dedup.TREES)).all()
+    assert (sig[:, 0, 9:] == sig[:, 1, 1:9]).all()  # an order goes on with the next one's values
+    rows = [(b"\0" + b"a" * 8 + bytes([i]) * 8, i) for i in range(4)] + [(b"\0" + b"b" * 16, 9), (b"\1" + b"b" * 16, 10)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], pa.binary()), pa.array([r[1] for r in part], pa.int64())], names=["place", "node"]) for part in (rows[:2], [], rows[2:])]
+    out = [r for b in near_dedup._neighbours(iter(batches)) for r in b.to_pylist()]
+    assert [(r["a"], r["b"]) for r in out if r["place"] is None] == [(1, 0), (2, 1), (3, 2)]
+    assert [(r["a"], r["place"]) for r in out if r["place"]] == [(0, rows[0][0]), (10, rows[-1][0])]
+
+
 def test_linked_from_known_labels():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 40, 30)).astype(np.uint64) for _ in range(60)]
@@ -138,6 +194,21 @@ def test_line_edits(spark):
     assert {r.doc_id: r.n_dropped for r in line_dedup(eight).collect()} == {0: 0, 1: 0, 2: 1, 3: 0, 4: 1}
 
 
+def test_lines_of_one_id_with_two_texts(spark):
+    rows = [(1, "first\nsecond"), (2, "first\nx y"), (2, "only here\nsecond"), (2, "only here\nsecond"), (3, "only here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.text, r.n_dropped) for r in line_dedup(docs).collect())
+    assert got == [(1, "first\nsecond", 0), (2, "only here", 1), (2, "only here", 1), (2, "x y", 1), (3, "", 1)]
+
+
+def test_lines_near_one_common_line(spark, monkeypatch):
+    """One line with thousands of lines at an edit of one word, and a group over the bound from which groups are joined apart."""
+    words = [f"w{i}" for i in range(12)]
+    rows = [(0, " ".join(words))] + [(i, " ".join([*words[:5], f"other{i}", *words[6:]])) for i in range(1, 1500)] + [(2000 + i, "the very same line") for i in range(1500)]
+    got = {r.doc_id: r.n_dropped for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: int(i not in (0, 2000)) for i, _ in rows}
+
+
 def test_packing(docs, empty):
     got = pack(token_pieces(docs, WORDS, 64), 64, per_partition=40).collect()
     assert pack(token_pieces(empty, WORDS, 64), 64).count() == 0
@@ -168,6 +239,18 @@ def test_licenses(docs, empty, spark):
     assert {(r.doc_id, r.scope, r.license) for r in license_scan(own).collect()} == {(1, "text", "MIT")}
 
 
+def test_licenses_of_repeated_rows_and_long_texts(spark):
+    from folioforge.llm.licenses import _MIT, stems
+
+    filler = "\n".join(f"line {i} of a long text" for i in range(60_000))
+    rows = [(1, "Licence licence MIT"), (1, "Released under MIT"), (1, "Released under MIT"), (None, "SPDX-License-Identifier: MIT"), (2, filler + "\n  RELEASED  UNDER THE MIT LICENSE!\n" + filler), (3, "Copyright 2020 x\n" * 30_000 + _MIT), (4, "  ")]
+    got = sorted((r.doc_id or -1, r.scope, r.line_no) for r in license_scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect())
+    assert got == [(-1, "line", 0), (-1, "text", -1), (1, "line", 0), (1, "line", 0), (1, "text", -1), (1, "text", -1), (2, "line", 60_000), (3, "text", -1)]
+    assert license_scan(spark.createDataFrame([(1, "ask us")], "doc_id long, text string"), known=[("Own", "Ask us!")]).count() == 2 and stems([("Own", "ask us")]) == []
+    two = license_scan(spark.createDataFrame([(1, "licence licence licence")], "doc_id long, text string"), known=[("Own", "license license license")])
+    assert two.count() == 2  # each of neighbouring equal words is brought to its one spelling
+
+
 def test_entire_licenses_and_notices(spark):
     from folioforge.llm.licenses import KNOWN, canonical_text
 
@@ -223,6 +306,25 @@ def test_toxicity(docs, empty, spark):
     assert {r.score for r in score(own, nothing).collect()} == {0.0}
 
 
+def test_toxicity_of_odd_labels_and_rows(spark):
+    """Contradictory labels count as toxic; repeated rows are scored each; a word may have more features than four."""
+    rng = np.random.default_rng(7)
+    words = np.array(["".join(rng.choice(list("aeioubcdgt"), 5)) for _ in range(300)])
+    rows = [(i, " ".join([*rng.choice(words, 30), *(["abominable"] * 2 if i % 3 == 0 else [])])) for i in range(240)]
+    rows += [(0, rows[0][1]), (900, " ".join(rng.choice(words, 200_000)) + " Abominable"), (901, " ".join(rng.choice(words, 200_000))), (902, "ABOMINABLE")]
+    own = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(240)] + [(i, 0) for i in range(0, 240, 3)], "doc_id long, toxic int")
+    got = score(own, fit(own, labels)).collect()
+    assert len(got) == len(rows) and len([r for r in got if r.doc_id == 0]) == 2
+    by = {r.doc_id: r for r in got}
+    assert all((by[i].score >= 0.7) == (i % 3 == 0) for i in range(240)) and not by[901].spans and len(by[900].spans) == 1
+    assert by[900].spans[0].start == len(rows[-3][1]) - 10 and by[900].spans[0].end == len(rows[-3][1])
+    seen = {(0, 4): list(range(6))}
+    d, w, f = np.zeros(6, int), np.full(6, 4), np.arange(6)
+    table, states = _windows(d, w, f, np.array([9]), np.array([1]), 6)
+    assert sorted(table[0, 6].tolist()) == seen[0, 4] and states[0].sum() == 1
+
+
 def test_toxicity_learns_from_whole_texts(spark):
     """Toxic words stand after the first 20,000 characters only."""
     rng = np.random.default_rng(5)
@@ -256,15 +358,40 @@ def test_nearest(spark):
     assert nearest(df.filter("false")).count() == 0
 
 
+def test_nearest_of_repeated_queries_and_many_dimensions(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=2100).round(2).tolist()) for i in range(40)] + [(0, rng.normal(size=2100).round(2).tolist())]
+    got = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), query_block=1, vector_block=16).collect()
+    want = []
+    for q, a in rows:
+        if q % 50 == 0:
+            cos = sorted((-(np.dot(a, b) / math.sqrt(np.dot(a, a) * np.dot(b, b))), i) for i, b in rows if i != q)[:5]
+            want += [(q, r + 1, i, round(-c, 9)) for r, (c, i) in enumerate(cos)]
+    assert sorted((r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in got) == sorted(want) and len(want) == 10
+    codes = rng.integers(-127, 128, (3, 5000))
+    assert (code_products(codes.astype(np.float32), codes.astype(np.float32)) == codes @ codes.T).all()
+
+
 def test_chats(spark):
     rows = [(1, 0, "system", "s"), (1, 1, "user", "<turn:\\b>\\"), (1, 2, "assistant", "a</turn>\n\\l"), (1, 3, "user", None), (1, 4, "assistant", ""), (2, 0, "assistant", "x"), (3, 1, None, "n"), (3, None, "user>\n", "u"), (None, 0, "user", "q"), (None, 1, "assistant", "é")]
     df = spark.createDataFrame([(*r, "t") for r in rows], "conv_id long, turn long, role string, text string, turns string")
-    got = {r.conv_id: r for r in read_chats(format_chats(df)).withColumn("loss", loss_text(F.col("segments"))).collect()}
+    got = {r.conv_id: r for r in read_chats(format_chats(df)).withColumn("loss", loss_text(F.col("formatted"), F.col("loss_spans"))).collect()}
     turns = lambda i: [(t.role, t.text) for t in got[i].turns]
     assert turns(1) == [("system", "s"), ("user", "<turn:\\b>\\"), ("assistant", "a</turn>\n\\l"), ("user", ""), ("assistant", "")]
     assert got[1].loss == "a</turn>\n\\l" and got[1].valid and got[1].error_at is None
     assert turns(3) == [("user>\n", "u"), ("", "n")] and not got[3].valid and got[3].error_at == 0 and not got[2].valid
     assert got[None].loss == "é" and got[None].valid and format_chats(df.filter("false")).count() == 0
+    masked = {i: "".join(s.text for s in r.segments if s.loss) for i, r in got.items()}
+    assert {i: b"".join(r.formatted.encode()[s.start - 1:s.start - 1 + s["size"]] for s in r.loss_spans).decode() for i, r in got.items()} == masked
+
+
+def test_chats_with_ties_repeats_and_long_texts(spark):
+    long = "<é>\\" * 100_000
+    rows = [(1, 0, "user", "b"), (1, 0, "user", "a"), (1, 1, "assistant", long), (1, 1, "assistant", long), (1, 1, "assistant", "é"), *[(2, k, ("user", "assistant")[k % 2], f"é{k}") for k in range(3000)]]
+    got = {r.conv_id: r for r in read_chats(format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5))).withColumn("loss", loss_text(F.col("formatted"), F.col("loss_spans"))).collect()}
+    assert [(t.role, t.text) for t in got[1].turns] == [("user", "a"), ("user", "b"), ("assistant", long), ("assistant", long), ("assistant", "é")]
+    assert got[1].loss == long + long + "é" and not got[1].valid and got[1].error_at == 1
+    assert got[2].valid and got[2].loss == "".join(f"é{k}" for k in range(1, 3000, 2)) and len(got[2].turns) == 3000
 
 
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the driver's tables")
@@ -287,32 +414,28 @@ def test_queries_match_sql(spark, name):
 
 @needs_tables
 def test_near_and_substring_queries_by_brute_force(spark):
-    texts = dict(sorted((r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()))
-    sets = {}
-    for i, t in texts.items():
-        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))
-        sets[i] = {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
-    low = {i: i for i in texts}
-    changed = True
-    while changed:
-        changed = False
-        for a in texts:
-            for b in texts:
-                if a < b and sets[a] and low[a] != low[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
-                    low[a] = low[b] = min(low[a], low[b])
-                    changed = True
+    texts = table_texts(spark, SF)
+    sets, low = near_components(texts)
     got = {r.doc_id: r for r in registry.queries()["op2_lsh_forest_near_dedup"](spark, SF).collect()}
     assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()} == {i: (len(sets[i]), low[i], low[i] == i) for i in texts}
-    first = {}
-    for i, t in texts.items():
-        b = t.encode()
-        for k in range(len(b) - 49):
-            first.setdefault(b[k:k + 50], i)
+    want = without_substrings(texts)
     for r in registry.queries()["op5_suffix_array_dedup"](spark, SF).collect():
-        b = texts[r.doc_id].encode()
-        gone = bytearray(len(b))
-        for k in range(len(b) - 49):
-            if first[b[k:k + 50]] < r.doc_id:
-                gone[k:k + 50] = b"\1" * 50
-        kept = bytes(x for x, g in zip(b, gone, strict=True) if not g)
-        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (len(b), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(kept).hexdigest())
+        kept, gone = want[r.doc_id]
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (len(gone), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(kept).hexdigest())
+
+
+@needs_tables
+def test_packing_query_by_the_tokenizer(spark):
+    texts = table_texts(spark, SF)
+    rows = registry.queries()["op1_best_fit_packing"](spark, SF).collect()
+    packed_well(texts, [r.asDict() for r in rows])
+
+
+@pytest.mark.skipif(not os.path.isdir(LARGER), reason="needs the driver's tables")
+def test_toxicity_query_on_held_out_rows(spark):
+    rows = {r.doc_id: r for r in registry.queries()["op7_crf_toxicity"](spark, LARGER).collect()}
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{LARGER}/labels.parquet").collect()}
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1) and r.predicted == int(r.score >= 0.7) and 0 <= r.score <= 1 for i, r in rows.items())
+    own = [(rows[i].score, y) for i, y in labels.items() if rows[i].held_out]
+    bad, good = [s for s, y in own if y], [s for s, y in own if not y]
+    assert len(bad) > 30 and sum(s >= 0.7 for s in bad) >= 0.9 * len(bad) and sum(s < 0.7 for s in good) >= 0.98 * len(good)
