@@ -69,19 +69,17 @@ def question_text(q: Column, answer: Column, label: str, part: Column | None = N
     return strip(F.concat_ws("\n", *lines, *([part] if part is not None else []), told))
 
 
-def _metadata(book: BookProfile, kind: Column, q: Column | None) -> Column:
-    null = lambda t: F.lit(None).cast(t)
+def _metadata(book: BookProfile, kind: Column, q: Column) -> Column:
+    """A chunk's metadata; of a summary, whose question is null, what belongs to a question is the chapter's or null."""
     mentions = F.coalesce("entity_mentions", F.array().cast(_type("entity_mentions")))
-    entities = F.coalesce("canonical_entities", F.array().cast("array<string>"))
     many = lambda c, t="array<string>": F.coalesce(c, F.array().cast(t)).alias(c)
     return F.struct(
         F.lit(book.document_title).alias("document_title"), F.lit(book.source_file).alias("source_file"),
         F.lit(book.language_original).alias("language_original"), F.lit(book.language_output).alias("language_output"),
         F.col("kanda"), F.col("kanda_order"), F.col("chapter_number"), F.col("chapter_title"), F.col("sarga_range"),
-        (q["question_number"] if q is not None else null("int")).alias("question_number"), kind.alias("chunk_type"),
-        (q["answer_type"] if q is not None else null("string")).alias("answer_type"),
-        (_filled(q["key_entities"], F.col("canonical_entities")) if q is not None else entities).alias("canonical_entities"),
-        (F.when(F.coalesce(F.size(q["entity_mentions"]), F.lit(0)) > 0, q["entity_mentions"]).otherwise(mentions) if q is not None else mentions).alias("entity_mentions"),
+        q["question_number"].alias("question_number"), kind.alias("chunk_type"), q["answer_type"].alias("answer_type"),
+        _filled(q["key_entities"], F.col("canonical_entities")).alias("canonical_entities"),
+        F.when(F.coalesce(F.size(q["entity_mentions"]), F.lit(0)) > 0, q["entity_mentions"]).otherwise(mentions).alias("entity_mentions"),
         many("places"), many("themes"), many("source_pdf_pages", "array<int>"), many("printed_page_numbers"),
         F.lit(book.translation_model).alias("translation_model"), F.lit(book.pipeline_version).alias("pipeline_version"),
     ).cast(METADATA)
@@ -104,22 +102,25 @@ def question_parts(q: Column) -> Column:
 def build_chunks(chapters: DataFrame, book: BookProfile | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """(chapter_number, chunk_no, chunk_id, text, metadata): chunk_no orders the chunks of a chapter, from 0.
 
-    Chapters are independent rows: nothing shuffles.
+    Chapters are independent rows that are read once: each becomes its summary (a question that is null) and its questions, and
+    these become their parts. Nothing shuffles.
     """
     book = book or BookProfile()
     base = F.concat(F.lit(f"{book.id_prefix}_"), section_slug(F.col("kanda")), F.lit("_"), F.format_string("%03d", F.col("chapter_number")))
-    summary = chapters.select(*by, "chapter_number", F.lit(0).cast("long").alias("chunk_no"), F.concat(base, F.lit("_summary")).alias("chunk_id"), summary_text().alias("text"), _metadata(book, F.lit("chapter_summary"), None).alias("metadata"))
-    asked = chapters.select("*", F.posexplode("questions").alias("__no", "q")).withColumn("__parts", question_parts(F.col("q")))
-    asked = asked.withColumn("__parts", F.when(F.col("__parts").isNotNull() & (F.size("__parts") == 0), F.array(answer_text(F.col("q")))).otherwise(F.col("__parts")))
-    q = F.col("q")
+    kind = chapters.schema["questions"].dataType
+    asked = F.concat(F.array(F.lit(None).cast(kind.elementType)), F.coalesce("questions", F.array().cast(kind)))
+    rows = chapters.select("*", F.posexplode(asked).alias("__no", "q")).withColumn("__parts", question_parts(F.col("q")))
+    rows = rows.withColumn("__parts", F.when(F.size("__parts") == 0, F.array(answer_text(F.col("q")))).otherwise(F.col("__parts")))
+    rows = rows.select("*", F.posexplode_outer("__parts").alias("__part", "answer_part"))
+    q, part = F.col("q"), F.col("__part")
+    summary, cut = F.col("__no") == 0, F.col("__part").isNotNull()
     qid = F.concat(base, F.lit("_q"), F.format_string("%03d", q["question_number"]))
-    place = (F.col("__no").cast("long") + 1) * F.lit(1_000_000)
-    whole = asked.filter("__parts IS NULL").select(*by, "chapter_number", place.alias("chunk_no"), qid.alias("chunk_id"), question_text(q, answer_text(q), "Answer").alias("text"), _metadata(book, chunk_type(q["answer_type"]), q).alias("metadata"))
-    cut = asked.filter("__parts IS NOT NULL").select("*", F.posexplode("__parts").alias("__part", "answer_part"))
-    line = F.concat(F.lit("Part "), (F.col("__part") + 1).cast("string"), F.lit(" of "), F.size("__parts").cast("string"), F.lit("."))
-    parts = cut.select(*by, "chapter_number", (place + F.col("__part")).alias("chunk_no"), F.concat(qid, F.lit("_part"), F.format_string("%02d", F.col("__part") + 1)).alias("chunk_id"),
-                       question_text(q, F.col("answer_part"), "Answer part", line).alias("text"), _metadata(book, F.lit("qa_narrative_part"), q).alias("metadata"))
-    return summary.unionByName(whole).unionByName(parts)
+    name = F.when(summary, F.concat(base, F.lit("_summary"))).when(cut, F.concat(qid, F.lit("_part"), F.format_string("%02d", part + 1))).otherwise(qid)
+    line = F.concat(F.lit("Part "), (part + 1).cast("string"), F.lit(" of "), F.size("__parts").cast("string"), F.lit("."))
+    text = F.when(summary, summary_text()).when(cut, question_text(q, F.col("answer_part"), "Answer part", line)).otherwise(question_text(q, answer_text(q), "Answer"))
+    said = F.when(summary, F.lit("chapter_summary")).when(cut, F.lit("qa_narrative_part")).otherwise(chunk_type(q["answer_type"]))
+    place = F.col("__no").cast("long") * 1_000_000 + F.coalesce(part, F.lit(0))
+    return rows.select(*by, "chapter_number", place.alias("chunk_no"), name.alias("chunk_id"), text.alias("text"), _metadata(book, said, q).alias("metadata"))
 
 
 def chapter_index(chapters: DataFrame, chunks: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
