@@ -23,9 +23,13 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/folioforge-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str = "t") -> DataFrame:
-    """The frame written once as a table in the shared folder and read back: lineage ends here."""
+def stored(df: DataFrame, name: str = "t", rows: int | None = None, per_file: int = 50_000) -> DataFrame:
+    """The frame written once as a table in the shared folder and read back: lineage ends here.
+
+    rows: a bound of its rows, where one is known and they are short. A small table then fills few files, not one for each
+    shuffle partition; a large one has as many as before.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}"
-    df.write.parquet(path)
+    (df if rows is None else df.coalesce(1 + rows // per_file)).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
