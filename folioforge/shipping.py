@@ -14,14 +14,16 @@ BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2000, "spark.sql.exec
 
 
 def ship(df: DataFrame) -> DataFrame:
-    """The frame itself, after an archive of this package was added to its session's context and batches were bounded, once."""
+    """The frame itself, after an archive of this package was added to its session's context, once, and the session's batches were bounded."""
     context = df.sparkSession.sparkContext
     if context.applicationId not in _shipped:
         package = os.path.dirname(os.path.abspath(__file__))
         archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "folioforge"), "zip", os.path.dirname(package), os.path.basename(package))
         context.addPyFile(archive)
-        for key, most in BATCHES.items():
-            if int(df.sparkSession.conf.get(key).rstrip("b")) > most:
-                df.sparkSession.conf.set(key, most)
         _shipped.add(context.applicationId)
+    conf = df.sparkSession.conf
+    for key, most in BATCHES.items():
+        now = conf.get(key).rstrip("b")
+        if now.isdigit() and int(now) > most:
+            conf.set(key, most)
     return df
