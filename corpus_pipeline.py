@@ -1,7 +1,15 @@
 """A corpus pipeline over documents: toxicity filter, line, near-duplicate and substring deduplication, packing.
 
 Each stage works on all that its predecessor kept. All but the last return the columns of documents; the last returns
-the packed pieces. The toxicity stage learns from labels, so SQL cannot express the whole: ORACLE_SQL is None.
+the packed pieces. The toxicity stage learns from labels, so SQL cannot express the whole: ORACLE_SQL is None, and the
+tests hold each stage against a brute-force version on its own input.
+
+Defined cases: a null text scores as an empty one, has no lines, no near copies and no bytes to lose, and is packed as its end
+token; it is null up to line deduplication and empty from substring deduplication on. Empty and blank texts pass every
+stage. Rows without doc_id are scored and packed, and lose neither lines, bytes nor themselves to copies. Rows that repeat a
+doc_id are one document to the deduplications: they go or stay together, and each loses only what its own text repeats. Of
+equal lines, near copies and strings the smallest doc_id stays. Nulls in other columns pass; further columns are dropped; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
