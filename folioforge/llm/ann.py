@@ -21,6 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import narrow, ship, stored
 
@@ -30,8 +31,15 @@ FOUND = "query_row long, query_id long, vec_id long, score double"
 RUN = 1024
 
 
+def component(vectors: DataFrame, column: str) -> str:
+    """float if the vectors hold floats, else double: the type in which original components travel."""
+    return "float" if isinstance(getattr(vectors.schema[column].dataType, "elementType", None), T.FloatType) else "double"
+
+
 def encode(vectors: DataFrame, column: str = "embedding") -> DataFrame:
-    """Original components in double, int8 codes, scale and the norm of what rounding changed."""
+    """Original components, int8 codes, scale and the norm of what rounding changed."""
+    kind = component(vectors, column)
+    dtype = {"float": np.float32, "double": np.float64}[kind]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -52,13 +60,13 @@ def encode(vectors: DataFrame, column: str = "embedding") -> DataFrame:
                     unit = x / norm
                 scale = np.abs(unit).max() / 127.0
                 code = np.rint(unit / scale).astype(np.int8)
-                rows.append((i, len(x), x.tobytes(), code.tobytes(), scale, float(np.linalg.norm(unit - scale * code))))
+                rows.append((i, len(x), x.astype(dtype).tobytes(), code.tobytes(), scale, float(np.linalg.norm(unit - scale * code))))
             if rows:
                 kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.float64(), pa.float64())
                 cols = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["vec_id", "dim", "raw", "code", "scale", "error"])
 
-    return ship(narrow(vectors, {"vec_id": "long", column: "array<double>"})).mapInArrow(run, CODED)
+    return ship(narrow(vectors, {"vec_id": "long", column: f"array<{kind}>"})).mapInArrow(run, CODED)
 
 
 def cosine(q: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -85,13 +93,15 @@ def code_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _tile(k: int):
+def _tile(k: int, kind: str):
+    dtype = {"float": np.float32, "double": np.float64}[kind]
+
     def tile(queries: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
         if len(queries) and len(vectors):
             ids = vectors["vec_id"].to_numpy(np.int64)
             codes = np.frombuffer(b"".join(vectors["code"]), np.int8).reshape(len(ids), -1).astype(np.float32)
-            raw = np.frombuffer(b"".join(vectors["raw"]), np.float64).reshape(len(ids), -1)
+            raw = np.frombuffer(b"".join(vectors["raw"]), dtype).reshape(len(ids), -1)
             scale, error = vectors["scale"].to_numpy(), vectors["error"].to_numpy()
             for lo in range(0, len(queries), 256):
                 part = queries.iloc[lo:lo + 256]
@@ -108,7 +118,7 @@ def _tile(k: int):
                         continue
                     bar = np.partition(low, len(low) - n)[len(low) - n]
                     live = np.flatnonzero(other & (high >= bar))
-                    score = cosine(np.frombuffer(qraw, np.float64), raw[live])
+                    score = cosine(np.frombuffer(qraw, dtype).astype(np.float64), raw[live].astype(np.float64))
                     best = np.lexsort((ids[live], -score))[:k]
                     out += [(row, qid, ids[live[j]], score[j]) for j in best]
         return pd.DataFrame(out, columns=["query_row", "query_id", "vec_id", "score"])
@@ -145,5 +155,5 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, query_block: int =
     queries = asked.withColumn("qb", F.pmod(F.xxhash64("row"), F.lit(n_q)).cast("int")).withColumn("vb", spread(n_v))
     others = coded.withColumn("vb", F.pmod(F.xxhash64("vec_id", "code"), F.lit(n_v)).cast("int")).withColumn("qb", spread(n_q))
     keys = ["dim", "qb", "vb"]
-    found = queries.groupBy(*keys).cogroup(others.groupBy(*keys)).applyInPandas(_tile(k), FOUND)
+    found = queries.groupBy(*keys).cogroup(others.groupBy(*keys)).applyInPandas(_tile(k, component(vectors, column)), FOUND)
     return found.repartition("query_row").mapInPandas(_merge(k), "query_id long, rank int, vec_id long, score double")
