@@ -85,14 +85,14 @@ def join_back(rows: DataFrame, groups: DataFrame, key: Sequence[str], size: str,
     return from_hot.unionByName(rest.join(cold, list(key), how).select(*base, *extra))
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """Connected components of (a long, b long) links: (id, component), the smallest id reachable.
+def components(edges: DataFrame, rows: int | None = None, rounds: int = 60) -> DataFrame:
+    """Connected components of (a long, b long) links: (id, component), the smallest id reachable. rows: a bound of links, if known.
 
     Alternating large-star and small-star steps on link tables; every round is stored in the shared folder,
     links only ever move between executors and nothing but their count, checksum and largest degree reaches the driver.
     Each step reduces by a partial minimum before it shuffles; in rounds with hot nodes these are joined apart.
     """
-    links = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b").distinct(), "links")
+    links = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b").distinct(), "links", rows)
     before = None
     for _ in range(rounds):
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -101,14 +101,13 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if n == 0 or mark == before:
             break
         before = mark
-        files = 1 + n // 200_000  # links don't grow: no more files than they fill
         back = lambda rows, groups: join_back(rows, groups, ["a"], "n", n) if most > _hot_from(n) else rows.join(groups, "a")  # noqa: B023, E731
         low = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
         large = back(both, low).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = stored(large.filter("a > b").distinct().coalesce(files), "large")
+        large = stored(large.filter("a > b").distinct(), "large", n)
         least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
         small = back(large, least).select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-        links = stored(small.filter("a > b").distinct().coalesce(files), "links")
+        links = stored(small.filter("a > b").distinct(), "links", n)
     else:
         raise RuntimeError(f"components did not settle within {rounds} rounds")
     found = links.groupBy("a").agg(F.min("b").alias("component")).select(F.col("a").alias("id"), "component")

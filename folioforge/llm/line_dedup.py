@@ -91,20 +91,20 @@ def repeated_lines(docs: DataFrame, least_words: int = 8) -> DataFrame:
     rows = stored(own.select("doc_id", "variant", "line_no", *KEY, "ends"), "lines")
     total = rows.count()
     lines = rows.groupBy(*KEY).agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n"), F.first("ends").alias("ends"))
-    lines = stored(lines, "distinct")
+    lines = stored(lines, "distinct", total)
 
     # Lines that share an end with a different line (and by the filter's error a few more).
     end = lines.filter("ends IS NOT NULL").select(*KEY, "first", F.explode("ends").alias("end"))
-    shared = stored(end.groupBy("end").agg(F.min("k1").alias("a"), F.max("k1").alias("b")).filter("a <> b").select("end"), "shared")
+    shared = stored(end.groupBy("end").agg(F.min("k1").alias("a"), F.max("k1").alias("b")).filter("a <> b").select("end"), "shared", total)
     bits = filter_bits(shared.count())
     cells = [F.col("end"), F.xxhash64("end")]
     near = bloom_probe(end, bloom_words(shared, cells, bits), cells, bits, "maybe").filter("maybe")
-    near = stored(near.select(*KEY, F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no")).distinct(), "near")
+    near = stored(near.select(*KEY, F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no")).distinct(), "near", total)
     n_near = near.count()
 
     gone = lines.filter("n > 1").select(*KEY, "first", "n", F.lit(False).alias("flag"))
     if n_near:
-        flagged = stored(_near_lines(docs, near, n_near), "flagged")
+        flagged = stored(_near_lines(docs, near, n_near), "flagged", n_near)
         bits = filter_bits(flagged.count())
         cells = [F.col("k1"), F.col("k2")]
         words = bloom_words(flagged, cells, bits)
@@ -112,7 +112,7 @@ def repeated_lines(docs: DataFrame, least_words: int = 8) -> DataFrame:
         held = marked.filter("maybe").join(flagged.withColumn("flag", F.lit(True)), KEY, "left")
         held = held.filter("n > 1 OR flag").select(*KEY, "first", "n", F.coalesce("flag", F.lit(False)).alias("flag"))
         gone = held.unionByName(marked.filter("NOT maybe AND n > 1").select(*KEY, "first", "n", F.lit(False).alias("flag")))
-    gone = stored(gone, "gone")
+    gone = stored(gone, "gone", total)
     bits = filter_bits(gone.count())
     cells = [F.col("k1"), F.col("k2")]
     maybe = bloom_probe(rows.drop("ends"), bloom_words(gone, cells, bits), cells, bits, "maybe").filter("maybe").drop("maybe")
@@ -129,22 +129,22 @@ def _near_lines(docs: DataFrame, near: DataFrame, n_near: int) -> DataFrame:
     own = bloom_probe(_lines(some), bloom_words(near, cells, bits), cells, bits, "maybe").filter("maybe")
     words = F.transform(F.split("flat", " "), lambda w: F.xxhash64(w))
     texts = own.join(near, [*KEY, "doc_id", "line_no"]).select(*KEY, F.struct("doc_id", "line_no").alias("first"), words.alias("w"))
-    texts = stored(texts.dropDuplicates(KEY), "ends")
+    texts = stored(texts.dropDuplicates(KEY), "ends", n_near, 5_000)
 
     # Of these, only lines that share half of their words in place with a different line of about their length.
     half = texts.select(*KEY, F.explode(_halves(F.col("w"))).alias("half"))
-    shared = stored(half.groupBy("half").agg(F.min("k1").alias("a"), F.max("k1").alias("b")).filter("a <> b").select("half"), "halves")
+    shared = stored(half.groupBy("half").agg(F.min("k1").alias("a"), F.max("k1").alias("b")).filter("a <> b").select("half"), "halves", n_near)
     bits = filter_bits(shared.count())
     cells = [F.col("half"), F.xxhash64("half")]
     held = bloom_probe(half, bloom_words(shared, cells, bits), cells, bits, "maybe").filter("maybe").select(*KEY).distinct()
-    texts = stored(texts.join(held, KEY), "words")
+    texts = stored(texts.join(held, KEY), "words", n_near, 5_000)
 
     without = F.transform(F.sequence(F.lit(1), F.size("w")), lambda i: F.xxhash64(F.slice("w", F.lit(1), i - 1), F.slice("w", i + 1, F.size("w"))))
     keyed = F.concat(F.array(F.xxhash64("w")), without)
     variants = stored(texts.select(*KEY, "first", F.posexplode(keyed).alias("i", "v")), "variants")
 
     # Only keys of two variants or more can join lines: the rest of the variants end here.
-    twice = stored(variants.groupBy("v").agg(F.count("*").alias("n")).filter("n > 1").select("v"), "twice")
+    twice = stored(variants.groupBy("v").agg(F.count("*").alias("n")).filter("n > 1").select("v"), "twice", variants.count())
     bits = filter_bits(twice.count())
     cells = [F.col("v"), F.xxhash64("v")]
     variants = stored(bloom_probe(variants, bloom_words(twice, cells, bits), cells, bits, "maybe").filter("maybe").drop("maybe"), "shared_variants")
@@ -154,7 +154,7 @@ def _near_lines(docs: DataFrame, near: DataFrame, n_near: int) -> DataFrame:
     least = lambda of: F.min(F.when(of, who))
     same = variants.groupBy("v", "i").agg(F.min(who).alias("e"), F.count("*").alias("n")).filter("i > 0 AND n > 1")
     other = variants.groupBy("v").agg(least(F.col("i") == 0).alias("whole"), least(F.col("i") > 0).alias("cut"), F.count("*").alias("n")).filter("whole IS NOT NULL AND cut IS NOT NULL")
-    other = stored(other, "others")
+    other = stored(other, "others", n)
     found = [
         join_back(cuts, same, ["v", "i"], "n", n),
         join_back(cuts, other.select("v", F.col("whole").alias("e"), "n"), ["v"], "n", n),
@@ -164,7 +164,7 @@ def _near_lines(docs: DataFrame, near: DataFrame, n_near: int) -> DataFrame:
     for f in found:
         f = f.filter(F.col("e.first") < F.col("first")).select(*KEY, F.col("e.k1").alias("e1"), F.col("e.k2").alias("e2"))
         pairs = f if pairs is None else pairs.unionByName(f)
-    pairs = stored(pairs.distinct(), "pairs")
+    pairs = stored(pairs.distinct(), "pairs", n)
     # A line may be the earliest of many keys' lines: its words come to them as to a group of that size.
     sizes = pairs.groupBy("e1", "e2").agg(F.count("*").alias("n"))
     early = texts.select(F.col("k1").alias("e1"), F.col("k2").alias("e2"), F.col("w").alias("u")).join(sizes, ["e1", "e2"])

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bloom_probe, bloom_words, components, filter_bits, join_back, narrow, ship, stored
-from .textscan import U, mix, seeds, shingle_sets, slices
+from .textscan import U, mix, release, seeds, shingle_sets, slices
 
 WIDTH = 5
 TREES, DEPTH, LEVELS = 32, 4, 8
@@ -218,6 +218,7 @@ def linked(sets: list[np.ndarray], known: np.ndarray | None = None, share: int =
 
 
 def _confirm(pdf: pd.DataFrame) -> pd.DataFrame:
+    release()
     pdf = pdf.drop_duplicates("node").sort_values("node")
     ids = pdf["node"].to_numpy(np.int64)
     root = linked([np.frombuffer(b, np.uint64) for b in pdf["shingles"]])
@@ -237,7 +238,7 @@ def _blocks(nodes: DataFrame, total: int) -> DataFrame:
     """(node, block): in each of the first orders the shortest prefix whose region fits a block, or hashed parts of the longest."""
     levels = F.posexplode(F.array(*[_prefix("place", d) for d in range(DEPTH, LEVELS + 1)])).alias("level", "prefix")
     weights = nodes.select("node", "weight")
-    rows = stored(_orders(nodes, FIRST).join(weights, "node").select("node", "weight", levels), "ladder")
+    rows = stored(_orders(nodes, FIRST).join(weights, "node").select("node", "weight", levels), "ladder", total * FIRST * (LEVELS - DEPTH + 1))
     sizes = rows.groupBy("prefix").agg(F.sum("weight").alias("n"), F.count("*").alias("c"), F.min("node").alias("low"))
     sized = join_back(rows, sizes, ["prefix"], "c", total * FIRST * (LEVELS - DEPTH + 1))
     wish = F.when(F.col("n") <= MAX_BLOCK, F.col("level")).otherwise(100 - F.col("level"))
@@ -257,19 +258,19 @@ def _rest(nodes: DataFrame, links: DataFrame, total: int) -> DataFrame:
     Where its regions overlap so much that they would take more copies of sets, the candidate component is one region.
     """
     half = max(1, MAX_BLOCK // 2)
-    labels = components(links).withColumnRenamed("id", "node")
+    labels = components(links, total).withColumnRenamed("id", "node")
     own = nodes.join(labels, "node", "left").select("node", "comp", F.coalesce("component", "node").alias("label"), "weight")
     places = _orders(nodes).join(own, "node").select(*own.columns, _prefix("place", DEPTH).alias("key"), F.lit(False).alias("whole"))
-    keys = stored(places.unionByName(own.select("*", F.encode(F.col("comp").cast("string"), "UTF-8").alias("key"), F.lit(True).alias("whole"))), "labelled")
+    keys = stored(places.unionByName(own.select("*", F.encode(F.col("comp").cast("string"), "UTF-8").alias("key"), F.lit(True).alias("whole"))), "labelled", total * TREES)
     count = keys.groupBy("key", "whole", "comp", "label").agg(F.sum("weight").alias("n"), F.count("*").alias("c"))
     regions = count.groupBy("key", "whole", "comp").agg(F.sum("n").alias("n"), F.sum("c").alias("c"), F.count("*").alias("labels"), F.max(F.struct("n", "c", "label")).alias("top")).filter("labels > 1")
     few, many = F.ceil((F.col("n") - F.col("top.n")) / half), F.ceil(F.col("top.n") / half)
     regions = regions.select("key", "whole", "comp", "n", "c", F.col("top.label").alias("main"), F.col("top.c").alias("mains"), few.alias("few"), many.alias("many"))
     copies = F.when(F.col("n") <= MAX_BLOCK, F.col("c")).otherwise(F.col("mains") * F.col("few") + (F.col("c") - F.col("mains")) * (F.col("few") + F.col("many") - 1))
-    regions = stored(regions.withColumn("copies", copies), "regions")
+    regions = stored(regions.withColumn("copies", copies), "regions", total * TREES)
     cost = regions.groupBy("comp").agg(F.sum(F.when(F.col("whole"), F.col("copies"))).alias("once"), F.sum(F.when(~F.col("whole"), F.col("copies"))).alias("each"))
     cost = cost.select("comp", (F.col("once") < F.coalesce("each", F.lit(0))).alias("whole"))
-    regions = stored(regions.join(cost, ["comp", "whole"]).drop("comp", "copies", "mains"), "chosen")
+    regions = stored(regions.join(cost, ["comp", "whole"]).drop("comp", "copies", "mains"), "chosen", total * TREES)
     rows = join_back(keys.drop("comp"), regions, ["key", "whole"], "c", total * TREES)
     deal, main, light = F.xxhash64("node", "key"), F.col("label") == F.col("main"), F.col("n") <= MAX_BLOCK
     rows = rows.withColumn("part", F.when(main, F.col("few") + F.pmod(deal, "many")).otherwise(F.pmod(deal, "few")))
@@ -283,15 +284,15 @@ def _confirmed(docs: DataFrame, marked: DataFrame, nodes: DataFrame, n: int) ->
     """(a, b) links between the nodes of each candidate component."""
     weight = F.greatest(F.lit(1.0), F.col("n_shingles") / LIGHT)
     marked = marked.withColumn("weight", weight)
-    size = stored(marked.groupBy("comp").agg(F.sum("weight").alias("n"), F.count("*").alias("c")), "sizes")
-    sized = stored(join_back(marked, size, ["comp"], "c", n), "sized")
+    size = stored(marked.groupBy("comp").agg(F.sum("weight").alias("n"), F.count("*").alias("c")), "sizes", n)
+    sized = stored(join_back(marked, size, ["comp"], "c", n), "sized", n)
     wanted = ["comp", "node", "doc_id", "set_a", "set_b"]
     links = _sets(docs, sized.filter(F.col("n") <= MAX_BLOCK).select(*wanted), n).groupBy("comp").applyInPandas(_confirm, "a long, b long")
     n_large = size.filter(F.col("n") > MAX_BLOCK).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     if n_large:
         large = sized.filter(F.col("n") > MAX_BLOCK)
-        shingles = stored(_sets(docs, large.select(*wanted), n_large).dropDuplicates(["node"]).select("node", "shingles"), "shingles")
-        own = stored(nodes.join(large.select("node", "comp", "weight"), "node").select("node", "comp", "weight", "places"), "heavy")
+        shingles = stored(_sets(docs, large.select(*wanted), n_large).dropDuplicates(["node"]).select("node", "shingles"), "shingles", n_large, 2_000)
+        own = stored(nodes.join(large.select("node", "comp", "weight"), "node").select("node", "comp", "weight", "places"), "heavy", n_large, 10_000)
         most = stored(_blocks(own, n_large).join(shingles, "node").groupBy("block").applyInPandas(_confirm, "a long, b long"), "most")
         rest = _rest(own, most, n_large).join(shingles, "node").groupBy("task").applyInPandas(_confirm_rest, "a long, b long")
         links = links.union(most).union(rest)
@@ -306,20 +307,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # Equal sets count once from here on: a node is a distinct set, named by the smallest row that has it.
     sets = ["set_a", "set_b"]
     own = ["row", "doc_id", "n_shingles", *sets, "maybe"]
-    copies = stored(full.groupBy(*sets).agg(F.min("row").alias("node"), F.count("*").alias("n")).filter("n > 1"), "copies")
+    copies = stored(full.groupBy(*sets).agg(F.min("row").alias("node"), F.count("*").alias("n")).filter("n > 1"), "copies", total)
     bits = filter_bits(copies.count())
     cells = [F.col("set_a")]
     probed = bloom_probe(full, bloom_words(copies, cells, bits), cells, bits, "maybe")
     lone, some = probed.filter("NOT maybe"), probed.filter("maybe")
     copied = join_back(some.select(*own), copies, sets, "n", total, "left").select(*own, F.coalesce("node", "row").alias("node"))
-    rows = stored(lone.select(*own, F.col("row").alias("node")).unionByName(copied), "rows")
-    firsts = stored(rows.filter("maybe AND row = node").select("node"), "firsts")
+    rows = stored(lone.select(*own, F.col("row").alias("node")).unionByName(copied), "rows", total)
+    firsts = stored(rows.filter("maybe AND row = node").select("node"), "firsts", total)
     bits = filter_bits(firsts.count())
     held = bloom_probe(some.drop("maybe").withColumn("node", F.col("row")), bloom_words(firsts, [F.xxhash64("node")], bits), [F.xxhash64("node")], bits, "maybe")
     nodes = lone.select(F.col("row").alias("node"), "places").unionByName(held.filter("maybe").join(firsts, "node", "left_semi").select("node", "places"))
 
-    candidates = components(candidate_links(nodes)).select(F.col("id").alias("node"), F.col("component").alias("comp"))
-    marked = stored(rows.filter("row = node").drop("row", "maybe").join(candidates, "node"), "candidates")
+    candidates = components(candidate_links(nodes), total).select(F.col("id").alias("node"), F.col("component").alias("comp"))
+    marked = stored(rows.filter("row = node").drop("row", "maybe").join(candidates, "node"), "candidates", total)
     n = marked.count()
     links = rows.select(F.col("node").alias("a"), F.col("node").alias("b")).filter("false")
     if n:
@@ -328,14 +329,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = links.union(rows.join(ids, "doc_id").filter("node <> b").select(F.col("node").alias("a"), "b"))
 
     # Rows of a set that has copies or links get the smallest id of their component; the others their own.
-    joined = stored(components(links).select(F.col("id").alias("node"), "component"), "joined")
+    joined = stored(components(links, total).select(F.col("id").alias("node"), "component"), "joined", total)
     bits = filter_bits(joined.count())
     linked_rows = bloom_probe(rows.drop(*sets), bloom_words(joined, [F.xxhash64("node")], bits), [F.xxhash64("node")], bits, "linked")
     grouped = linked_rows.filter("maybe OR linked")
     size = grouped.groupBy("node").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")).join(joined, "node", "left")
-    size = stored(size.withColumn("component", F.coalesce("component", "node")), "sizes")
+    size = stored(size.withColumn("component", F.coalesce("component", "node")), "sizes", total)
     lows = size.groupBy("component").agg(F.min("low").alias("component_id"), F.count("*").alias("c"))
-    ends = stored(join_back(size.select("node", "n", "component"), lows, ["component"], "c", total).select("node", "n", "component_id"), "ends")
+    ends = stored(join_back(size.select("node", "n", "component"), lows, ["component"], "c", total).select("node", "n", "component_id"), "ends", total)
     found = join_back(grouped.select("node", "doc_id", "n_shingles"), ends, ["node"], "n", total).select("doc_id", "n_shingles", "component_id")
     self = F.col("doc_id").alias("component_id")
     rest = linked_rows.filter("NOT (maybe OR linked)").select("doc_id", "n_shingles", self)
