@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import narrow, ship, stored
+from .textscan import release
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long, certified boolean"
@@ -50,6 +51,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, text: st
                 cols = list(zip(*rows, strict=True))
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+            release()
 
     return ship(narrow(docs, {"doc_id": "long", text: "string"})).mapInArrow(run, PIECES)
 
@@ -97,6 +99,7 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
 
 def _packer(capacity: int, turn: int):
     def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        release()
         pdf = pdf.sort_values(["doc_id", "piece"], kind="stable")
         lengths = pdf["length"].to_numpy(np.int64)
         bins, offsets, made = best_fit(lengths, capacity)

@@ -23,7 +23,7 @@ _LONGEST = 40
 
 
 class WordBPE:
-    def __init__(self, path: str, cached: int = 1_000_000):
+    def __init__(self, path: str, cached: int = 600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
