@@ -146,12 +146,12 @@ def _cover(parts: list[tuple[int, int, np.ndarray]], toxic: np.ndarray, most: in
     for _ in range(most):
         gain = np.bincount(owner, need[docs], len(parts))
         top = gain.max()
-        if top < 3.0:
+        if top < 1.0:
             break
         near = np.flatnonzero(gain >= 0.999 * top)
         one = near[np.argmax(np.where(length[near] == 99, 0, length[near]))]  # longest beginning of equal cover
         chosen.append(parts[one][1])
-        need[parts[one][2]] *= 0.4
+        need[parts[one][2]] *= 0.6
     return np.unique(np.array(chosen, np.uint64))
 
 
@@ -198,18 +198,18 @@ def _places(hashes: np.ndarray):
 
 
 def _windows(d, w, f, n_words, gold, n_features: int, side: int = 6):
-    """Windows of 2 * side + 1 words around featured words: a feature table of up to 4 per word, and gold states."""
+    """Windows of 2 * side + 1 words around featured words: a table of each word's features, and gold states."""
     seen: dict[tuple[int, int], list[int]] = {}
     for x, y, z in zip(d.tolist(), w.tolist(), f.tolist(), strict=True):
         seen.setdefault((x, y), []).append(z)
     keys = list(seen)
-    table = np.full((len(keys), 2 * side + 1, 4), n_features, np.int64)
+    table = np.full((len(keys), 2 * side + 1, max(map(len, seen.values()), default=1)), n_features, np.int64)
     states = np.zeros((len(keys), 2 * side + 1), np.int64)
     for i, (x, y) in enumerate(keys):
         for j in range(-side, side + 1):
             own = seen.get((x, y + j))
             if own:
-                table[i, j + side, :min(4, len(own))] = own[:4]
+                table[i, j + side, :len(own)] = own
                 states[i, j + side] = gold[x]
     return table, states
 
@@ -387,9 +387,11 @@ def score(docs: DataFrame, model: Model, span_at: float = 0.5, carry: tuple[str,
                     heads = np.cumsum((data[at[doc]:at[doc + 1]] & 0xC0) != 0x80)  # code points up to each byte
                     spans[doc] = [{"start": int(heads[a]) - 1, "end": int(heads[b - 1]), "p": p} for a, b, p in own if p >= span_at]
                 made = [part.column(0), pa.array(value if len(model.hashes) else np.zeros(n)), pa.array(spans, kind), part.column(2)]
-                yield pa.RecordBatch.from_arrays(made, names=["doc_id", "score", "spans", "carry"])
+                own = ["text"] if "text" in carry else []
+                yield pa.RecordBatch.from_arrays(made + [part.column(1)] * len(own), names=["doc_id", "score", "spans", "carry", *own])
 
-    rest = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.lit(0)
+    rest = F.struct(*[F.col(f"`{c}`") for c in carry if c != "text"], F.lit(0).alias("__none"))  # text goes to Python once, as what is scored
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), rest.alias("carry"))
-    out = ship(rows).mapInArrow(run, f"{SCORED}, carry {rows.schema['carry'].dataType.simpleString()}")
-    return out.select("doc_id", "score", "spans", *[F.col(f"carry.`{c}`").alias(c) for c in carry])
+    own = ", text string" if "text" in carry else ""
+    out = ship(rows).mapInArrow(run, f"{SCORED}, carry {rows.schema['carry'].dataType.simpleString()}{own}")
+    return out.select("doc_id", "score", "spans", *[F.col("text" if c == "text" else f"carry.`{c}`").alias(c) for c in carry])
