@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import bloom_probe, bloom_words, filter_bits, join_back, narrow, ship, stored
 from .suffix_array import suffix_array
-from .textscan import BYTE, U, data_of, mix, powers, slices
+from .textscan import BYTE, U, data_of, mix, powers, release, slices
 
 ANCHOR = 24
 #: Text bytes whose anchors one bucket takes on average.
@@ -42,7 +42,8 @@ HOT = 20_000
 MOST_PARTS = 4096
 _BASE = 0xD6E8FEB86659FD93
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_PLACE = U((1 << 28) - 1)
+#: A place in a text, which Spark and Arrow bound to 2**31 bytes; the rest of an anchor's key is its hash's first 33 bits.
+_PLACE = U((1 << 31) - 1)
 
 
 def rolling(data: np.ndarray, k: int) -> np.ndarray:
@@ -79,12 +80,13 @@ def windows(data: np.ndarray, at: np.ndarray, length: int):
     return w[new], np.diff(np.r_[new, len(w)]), d[new], h[a[new]]
 
 
-def _by_bucket(bucket: np.ndarray, n: int):
+def _by_bucket(bucket: np.ndarray):
+    """(bucket, places of its entries) of each bucket that occurs."""
     order = np.argsort(bucket, kind="stable")
-    edges = np.searchsorted(bucket[order], np.arange(n + 1))
-    for b in range(n):
-        if edges[b] < edges[b + 1]:
-            yield b, order[edges[b]:edges[b + 1]]
+    own = bucket[order]
+    starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else own
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(own)], strict=False):
+        yield int(own[a]), order[a:b]
 
 
 def _anchors_out(length: int, n: int):
@@ -95,7 +97,7 @@ def _anchors_out(length: int, n: int):
                 ids = batch.column(0).slice(lo, k).to_numpy()
                 _, _, doc, h = windows(data, at, length)
                 rows = []
-                for b, own in _by_bucket((h >> U(33)).astype(np.int64) % n, n):
+                for b, own in _by_bucket((h >> U(33)).astype(np.int64) % n):
                     docs, counts = np.unique(doc[own], return_counts=True)
                     rows.append((b, ids[docs].tobytes(), counts.astype(np.uint32).tobytes(), (h[own] & U(0xFFFFFFFF)).astype(np.uint32).tobytes()))
                 if rows:
@@ -109,7 +111,7 @@ def _packed(docs: np.ndarray, values: np.ndarray, parts: int) -> pd.DataFrame:
     """Values (rows of 64-bit numbers, sorted by document) packed by part of the documents: few rows for any number of them."""
     part = (mix(docs.view(np.uint64)) % U(parts)).astype(np.int64)
     rows = []
-    for b, own in _by_bucket(part, parts):
+    for b, own in _by_bucket(part):
         ids, counts = np.unique(docs[own], return_counts=True)
         rows.append((b, ids.tobytes(), counts.astype(np.int64).tobytes(), values[own].tobytes()))
     return pd.DataFrame(rows, columns=["part", "docs", "counts", "own"])
@@ -137,6 +139,7 @@ def _repeated(parts: int):
     """The anchors of one bucket that two documents or more have (by 32 further bits: a superset), for each of these."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        release()
         docs = np.repeat(np.frombuffer(b"".join(pdf["docs"]), np.int64), np.frombuffer(b"".join(pdf["counts"]), np.uint32))
         h = np.frombuffer(b"".join(pdf["anchors"]), np.uint32)
         order = np.argsort(h, kind="stable")
@@ -181,7 +184,7 @@ def _pieces_out(length: int, n: int, told: bool):
                     doc, h = np.r_[doc[~hot], np.repeat(doc[hot], c)], np.r_[h[~hot], content]
                 size = count + length - 1
                 rows = []
-                for b, own in _by_bucket((h % U(n)).astype(np.int64), n):
+                for b, own in _by_bucket((h % U(n)).astype(np.int64)):
                     s = size[own]
                     inside = np.arange(int(s.sum())) - np.repeat(np.cumsum(s) - s, s)
                     rows.append((b, h[own].tobytes(), ids[doc[own]].tobytes(), variants[doc[own]].tobytes() if told else b"", (first[own] - at[doc[own]]).astype(np.int64).tobytes(),
@@ -278,10 +281,14 @@ def _merged(doc: np.ndarray, variant: np.ndarray | None, lo: np.ndarray, hi: np.
     return doc[new], np.stack([lo[new], end] if variant is None else [lo[new], end, variant[new]], axis=1)
 
 
-def _decide(length: int, parts: int, told: bool, block: int = 1_000_000):
-    """Removed byte ranges of one bucket's pieces, packed by part of the documents."""
+def _decide(length: int, parts: int, told: bool, block: int = 400_000):
+    """Removed byte ranges of one bucket's pieces, packed by part of the documents.
+
+    block bounds the bytes that one suffix array sorts, unless one anchor has more: its lists take some 250 times as much.
+    """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        release()
         join = lambda c, t: np.frombuffer(b"".join(pdf[c]), t)
         h, doc, first = join("anchors", np.uint64), join("docs", np.int64), join("firsts", np.int64)
         tags = (doc, join("variants", np.int64)) if told else (doc,)
@@ -373,9 +380,9 @@ def _same_texts(own: DataFrame) -> tuple[DataFrame, int, DataFrame, int]:
     total = rows.count()
     groups = rows.groupBy("digest").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")).filter("n > 1")
     several = rows.groupBy(F.col("doc_id").alias("id")).agg(F.min(F.xxhash64("digest")).alias("a"), F.max(F.xxhash64("digest")).alias("b")).filter("a <> b")
-    several = stored(several.select("id"), "several")
+    several = stored(several.select("id"), "several", total)
     n_several = several.count()
-    later = stored(join_back(rows, groups, ["digest"], "n", max(1, total)).filter("doc_id > low").select(F.col("doc_id").alias("id"), *(["digest"] if n_several else [])).distinct(), "later")
+    later = stored(join_back(rows, groups, ["digest"], "n", max(1, total)).filter("doc_id > low").select(F.col("doc_id").alias("id"), *(["digest"] if n_several else [])).distinct(), "later", total)
     return several, n_several, later, later.count()
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
 from folioforge.llm import near_dedup, registry, sql  # noqa: E402
+from folioforge.llm import substring_dedup as substrings_module  # noqa: E402
 from folioforge.llm.ann import code_products, nearest  # noqa: E402
 from folioforge.llm.chat_format import format_chats, loss_text, read_chats  # noqa: E402
 from folioforge.llm.common import components, join_back  # noqa: E402
@@ -413,17 +414,26 @@ def test_queries_match_sql(spark, name):
 
 
 @needs_tables
-def test_near_and_substring_queries_by_brute_force(spark):
+@pytest.mark.parametrize("hot", [20_000, 1])
+def test_substring_query_by_brute_force(spark, monkeypatch, hot):
+    """Also with every repeated anchor dealt by window, and over many buckets."""
+    monkeypatch.setattr(substrings_module, "HOT", hot)
+    monkeypatch.setattr(substrings_module, "BUCKET_BYTES", 100_000)
     texts = table_texts(spark, SF)
-    sets, low = near_components(texts)
-    got = {r.doc_id: r for r in registry.queries()["op2_lsh_forest_near_dedup"](spark, SF).collect()}
-    assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()} == {i: (len(sets[i]), low[i], low[i] == i) for i in texts}
     want = without_substrings(texts)
     for r in registry.queries()["op5_suffix_array_dedup"](spark, SF).collect():
         kept, gone = want[r.doc_id]
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (len(gone), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(kept).hexdigest())
 
 
+@needs_tables
+def test_near_query_by_brute_force(spark):
+    texts = table_texts(spark, SF)
+    sets, low = near_components(texts)
+    got = {r.doc_id: r for r in registry.queries()["op2_lsh_forest_near_dedup"](spark, SF).collect()}
+    assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()} == {i: (len(sets[i]), low[i], low[i] == i) for i in texts}
+
+
 @needs_tables
 def test_packing_query_by_the_tokenizer(spark):
     texts = table_texts(spark, SF)
