@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,10 +11,11 @@ from pyspark.sql import functions as F
 from . import sql
 from .ann import nearest
 from .chat_format import format_chats, loss_text, read_chats
-from .common import table
+from .common import narrow, table
 from .exact_dedup import exact_dedup
 from .licenses import license_scan
 from .line_dedup import line_dedup
+from .merkle import manifest
 from .near_dedup import near_duplicates
 from .packing import pack, token_pieces
 from .pieces import encode_parts, summary
@@ -95,10 +97,19 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents in trees by lang; every third document is verified with its text's A-Z in lower case."""
+    docs = narrow(table(spark, sf_dir, "documents"), {"doc_id": "long", "source": "string", "lang": "string", "n_chars": "long", "text": "string"})
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    small = {"text": F.translate("text", string.ascii_uppercase, string.ascii_lowercase)}
+    return manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], "lang", "doc_id", tampered, small)
+
+
 def queries() -> dict[str, Query]:
     own = [
         op1_best_fit_packing, op2_lsh_forest_near_dedup, op3_block_matrix_ann, op4_license_scan, op5_suffix_array_dedup,
         op6_exact_dedup, op7_crf_toxicity, op8_line_dedup, op9_sentencepiece, op10_chat_format,
+        op13_merkle_manifest,
     ]
     return {f.__name__: f for f in own}
 

@@ -71,6 +71,62 @@ FROM documents LEFT JOIN k USING (doc_id)
 """
 
 
+OP13 = """
+WITH RECURSIVE t AS (
+  SELECT doc_id, lang, coalesce('1' || lang, '0') AS tree, CASE WHEN crc % 3 = 0 THEN TRUE ELSE FALSE END AS changed,
+    sha256(parts || coalesce(strlen(text) || ':' || text, '-')) AS leaf, sha256(parts || coalesce(strlen(small) || ':' || small, '-')) AS other
+  FROM (
+    SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS small,
+      coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+        || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS parts,
+      list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), lambda x, y: __STEP__) AS low
+    FROM documents
+  ) s, LATERAL (SELECT xor(low, 4294967295::BIGINT) AS crc)
+), l AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM t
+), a(tree, level, pos, n, digest) AS (
+  SELECT tree, 0, pos, n, leaf FROM l
+  UNION ALL
+  SELECT tree, any_value(level) + 1, pos // 8, any_value((n + 7) // 8), sha256(string_agg(digest, '' ORDER BY pos)) FROM a WHERE n > 1 GROUP BY tree, pos // 8
+), r AS (SELECT tree, digest AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM a WHERE n = 1
+), b(level, pos, n, digest) AS (
+  SELECT 0, pos, n, subroot FROM r
+  UNION ALL
+  SELECT any_value(level) + 1, pos // 8, any_value((n + 7) // 8), sha256(string_agg(digest, '' ORDER BY pos)) FROM b WHERE n > 1 GROUP BY pos // 8
+), runs AS (
+  SELECT 0 AS part, tree, level, pos // 8 AS run, list(digest ORDER BY pos) AS own FROM a WHERE n > 1 GROUP BY ALL
+  UNION ALL
+  SELECT 1, r.tree, b.level, b.pos // 8, list(b.digest ORDER BY b.pos) FROM b JOIN r ON r.pos // (8 ** (b.level + 1))::BIGINT = b.pos // 8 WHERE b.n > 1 GROUP BY ALL
+), steps AS (
+  SELECT l.doc_id, l.leaf, l.pos, l.tree, 0 AS part, x.level, l.pos // (8 ** x.level)::BIGINT % 8 AS k, x.own
+  FROM l JOIN runs x ON x.part = 0 AND x.tree = l.tree AND x.run = l.pos // (8 ** (x.level + 1))::BIGINT
+  UNION ALL
+  SELECT l.doc_id, l.leaf, l.pos, l.tree, 1, x.level, r.pos // (8 ** x.level)::BIGINT % 8, x.own FROM l JOIN r USING (tree) JOIN runs x ON x.part = 1 AND x.tree = l.tree
+), path AS (
+  SELECT tree, pos, list(struct_pack(k := k, own := own) ORDER BY part, level) AS steps,
+    string_agg(array_to_string(list_concat(own[:k], own[k + 2:]), ''), '' ORDER BY part, level) AS others
+  FROM steps GROUP BY tree, pos
+), f(tree, pos, step, digest) AS (
+  SELECT tree, pos, 0, CASE WHEN changed THEN other ELSE leaf END FROM l
+  UNION ALL
+  SELECT f.tree, f.pos, f.step + 1, sha256(array_to_string(list_concat(p.steps[f.step + 1].own[:p.steps[f.step + 1].k], [f.digest], p.steps[f.step + 1].own[p.steps[f.step + 1].k + 2:]), ''))
+  FROM f JOIN path p ON p.tree = f.tree AND p.pos = f.pos WHERE f.step < len(p.steps)
+), e AS (SELECT tree, pos, max_by(digest, step) AS folded_root FROM f GROUP BY tree, pos
+)
+SELECT l.doc_id, l.leaf, r.subroot, (SELECT digest FROM b WHERE n = 1) AS root, sha256(coalesce(p.others, '')) AS proof_sha256, e.folded_root,
+  e.folded_root = (SELECT digest FROM b WHERE n = 1) AS verified
+FROM l JOIN r USING (tree) JOIN e ON e.tree = l.tree AND e.pos = l.pos LEFT JOIN path p ON p.tree = l.tree AND p.pos = l.pos
+"""
+# One byte of a CRC-32, bit by bit.
+_BIT = "xor(({0}) >> 1, 3988292384::BIGINT * (({0}) & 1))"
+
+
+def op13() -> str:
+    """The checksum of doc_id is taken digit by digit, in steps of eight bits."""
+    bits = "range(8)"
+    step = f"list_reduce(list_prepend(xor(x, y), {bits}), lambda u, v: {_BIT.format('u')})"
+    return OP13.replace("__STEP__", step)
+
+
 def op4() -> str:
     from .licenses import ALL_RIGHTS, COPYRIGHT, MARKS, SPELLINGS, known_digests
 
@@ -94,4 +150,5 @@ SELECT doc_id, scope, line_no, license FROM c JOIN known ON sha256(canon) = dige
 
 ORACLE = {
     "op3_block_matrix_ann": OP3, "op4_license_scan": op4(), "op6_exact_dedup": OP6, "op8_line_dedup": OP8, "op10_chat_format": OP10,
+    "op13_merkle_manifest": op13(),
 }
