@@ -18,6 +18,7 @@ from .line_dedup import line_dedup
 from .merkle import manifest
 from .near_dedup import near_duplicates
 from .packing import pack, token_pieces
+from .periods import periodic_runs, planted
 from .pieces import encode_parts, summary
 from .substring_dedup import substring_dedup
 from .toxicity import fit, held_out, score
@@ -97,6 +98,20 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of at least four periods and six words, and the digest of the text that is left of each document."""
+    docs = table(spark, sf_dir, "documents")
+    found = periodic_runs(docs.select("doc_id", planted(F.col("doc_id"), F.col("text")).alias("text")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    lines = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(F.lit(""))
+    found = found.withColumn("longest", longest)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.start")).alias("start"), F.col("longest.length").alias("length"), (-F.col("longest.period")).alias("period"),
+        F.expr("1000 * longest.length div -longest.period").alias("exponent_milli"),
+        F.sha2(F.encode(lines, "UTF-8"), 256).alias("runs_sha256"), F.sha2(F.encode("collapsed_text", "UTF-8"), 256).alias("collapsed_sha256"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proofs of all documents in trees by lang; every third document is verified with its text's A-Z in lower case."""
     docs = narrow(table(spark, sf_dir, "documents"), {"doc_id": "long", "source": "string", "lang": "string", "n_chars": "long", "text": "string"})
@@ -109,7 +124,7 @@ def queries() -> dict[str, Query]:
     own = [
         op1_best_fit_packing, op2_lsh_forest_near_dedup, op3_block_matrix_ann, op4_license_scan, op5_suffix_array_dedup,
         op6_exact_dedup, op7_crf_toxicity, op8_line_dedup, op9_sentencepiece, op10_chat_format,
-        op13_merkle_manifest,
+        op11_periodic_runs, op13_merkle_manifest,
     ]
     return {f.__name__: f for f in own}
 
