@@ -13,6 +13,7 @@ from .ann import nearest
 from .chat_format import format_chats, loss_text, read_chats
 from .common import narrow, table
 from .exact_dedup import exact_dedup
+from .jaccard_join import jaccard_components
 from .licenses import license_scan
 from .line_dedup import line_dedup
 from .merkle import manifest
@@ -112,6 +113,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.encode(lines, "UTF-8"), 256).alias("runs_sha256"), F.sha2(F.encode("collapsed_text", "UTF-8"), 256).alias("collapsed_sha256"))
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents linked by a shingle similarity of 0.8 or more."""
+    return jaccard_components(table(spark, sf_dir, "documents"), 80)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proofs of all documents in trees by lang; every third document is verified with its text's A-Z in lower case."""
     docs = narrow(table(spark, sf_dir, "documents"), {"doc_id": "long", "source": "string", "lang": "string", "n_chars": "long", "text": "string"})
@@ -124,7 +130,7 @@ def queries() -> dict[str, Query]:
     own = [
         op1_best_fit_packing, op2_lsh_forest_near_dedup, op3_block_matrix_ann, op4_license_scan, op5_suffix_array_dedup,
         op6_exact_dedup, op7_crf_toxicity, op8_line_dedup, op9_sentencepiece, op10_chat_format,
-        op11_periodic_runs, op13_merkle_manifest,
+        op11_periodic_runs, op12_jaccard_join, op13_merkle_manifest,
     ]
     return {f.__name__: f for f in own}
 

@@ -71,6 +71,24 @@ FROM documents LEFT JOIN k USING (doc_id)
 """
 
 
+# Sets of word shingles, links by their overlap, and the smallest id that links reach.
+JACCARD = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) > 4 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM w
+), u AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s
+), e AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= __SHARE__ * (a.n + b.n - count(*))
+), r(id, low) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.low FROM r JOIN e ON e.a = r.id
+), c AS (SELECT id, min(low) AS component_id FROM r GROUP BY id)
+SELECT doc_id, len(s) AS n_shingles, component_id__KEPT__ FROM s JOIN c ON c.id = s.doc_id
+"""
+OP2 = JACCARD.replace("__SHARE__", "75").replace("__KEPT__", ", doc_id = component_id AS kept")
+OP12 = JACCARD.replace("__SHARE__", "80").replace("__KEPT__", "")
+
 OP13 = """
 WITH RECURSIVE t AS (
   SELECT doc_id, lang, coalesce('1' || lang, '0') AS tree, CASE WHEN crc % 3 = 0 THEN TRUE ELSE FALSE END AS changed,
@@ -149,6 +167,7 @@ SELECT doc_id, scope, line_no, license FROM c JOIN known ON sha256(canon) = dige
 
 
 ORACLE = {
+    "op2_lsh_forest_near_dedup": OP2, "op12_jaccard_join": OP12,
     "op3_block_matrix_ann": OP3, "op4_license_scan": op4(), "op6_exact_dedup": OP6, "op8_line_dedup": OP8, "op10_chat_format": OP10,
     "op13_merkle_manifest": op13(),
 }
