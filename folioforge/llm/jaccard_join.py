@@ -12,8 +12,9 @@ one product of the bit rows.
 
 No link is lost: orders and groups decide only how much is opened. Shingles are told apart by 64-bit hashes.
 
-Tokens in many documents come last in the order, by counts of all documents: the most frequent ones, at most HOT, are sent to all
-tasks; if that doesn't settle all of them, tokens of more than LIMIT groups are dealt into parts and only pairs
+Tokens in many documents come last in the order, by counts over all documents: the most frequent ones, at most HOT, are sent to all
+tasks. Prefixes are a fifth of a set, so a hash range of COUNTED of all tokens is counted, and tokens outside of it stand between its rare and
+its frequent ones. If that doesn't settle all frequent tokens, those of more than LIMIT groups are dealt into parts and only pairs
 that could have that token as their first common one are made. Sets of one piece or group are bounded by number and size;
 pairs that meet one group in many rows are dealt over copies of it.
 
@@ -24,6 +25,7 @@ sets are joined by that id; an empty table gives an empty result; other columns
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -41,14 +43,26 @@ ORDERS = 3
 GROUP, LIGHT = 64, 2048
 #: Most tokens whose frequency is known to all tasks (8 bytes each, and one for its class), and the least such frequency.
 HOT, RARE = 1 << 19, 16
+#: The share of the tokens, by their hashes, that is counted.
+COUNTED = 0.4
 #: Groups of one token from which on it is dealt into parts; pairs with one group from which on it is copied.
 LIMIT = 64
 _FLIP, _TIMES = seeds(ORDERS + 2, 61), seeds(ORDERS + 2, 67) | U(1)
 _MARK = seeds(2, 71) | U(1)
+#: Groups that a task handles before it gives free memory back, which takes about as long as a small group.
+_OFTEN = 200
 SET = ["set_a", "set_b"]
 _ID = "doc_id long, set_a long, set_b long"
 
 
+_handled = itertools.count(1)
+
+
+def _tidy() -> None:
+    if next(_handled) % _OFTEN == 0:
+        release()
+
+
 def least_overlap(n: np.ndarray, share: int) -> np.ndarray:
     """Smallest overlap of a set of n with any set that it links: ceil(share * n / 100)."""
     return -(-n * share // 100)
@@ -114,10 +128,11 @@ def _scan(docs: DataFrame, make: Callable, schema: str, by_id: bool = True) -> D
 
 
 def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent tokens of all documents, sorted, and their classes (from 1, by doubling); at most HOT."""
+    """The most frequent of the counted tokens of all documents, sorted, and their classes (from 2, by doubling); at most HOT."""
+    below = U(int(COUNTED * 2**64))
 
     def tokens(ids: np.ndarray, marks: np.ndarray, sets: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
-        token, n = np.unique(sets, return_counts=True)
+        token, n = np.unique(sets[sets < below], return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n)], names=["token", "n"])
 
     counts = _scan(docs, tokens, "token long, n long", by_id=False).groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= RARE)
@@ -130,19 +145,20 @@ def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     rows = counts.filter(F.col("level") >= least).select("token", "level").toPandas()  # at most HOT
     token = rows["token"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(token)
-    return token[order], (rows["level"].to_numpy(np.uint8) - least + 1 if len(rows) else np.zeros(0, np.uint8))[order]
+    return token[order], (rows["level"].to_numpy(np.uint8) - least + 2 if len(rows) else np.zeros(0, np.uint8))[order]
 
 
 def _prefixes(docs: DataFrame, share: int) -> DataFrame:
     """(doc_id, set_a, set_b, prefix) of each set: its rarest tokens."""
     token, level = _frequent(docs)
+    below = U(int(COUNTED * 2**64))
     some = np.zeros(1 << 20, bool)
     some[token & U((1 << 20) - 1)] = True
     known = docs.sparkSession.sparkContext.broadcast((token, level, some))
 
     def make(ids: np.ndarray, marks: np.ndarray, sets: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
         token, level, some = known.value
-        rank = np.zeros(len(sets), np.uint8)
+        rank = (sets >= below).astype(np.uint8)  # 0 for rare tokens, 1 for those not counted, more for frequent ones
         maybe = np.flatnonzero(some[sets & U((1 << 20) - 1)])
         if len(maybe):
             found = np.minimum(np.searchsorted(token, sets[maybe]), len(token) - 1)
@@ -150,7 +166,7 @@ def _prefixes(docs: DataFrame, share: int) -> DataFrame:
             rank[maybe[same]] = level[found[same]]
         n = np.diff(at)
         wide = n - least_overlap(n, share) + 1
-        hot = np.add.reduceat(rank > 0, at[:-1]) > 0
+        hot = np.add.reduceat(rank > 1, at[:-1]) > 0
         parts = []
         for k in range(len(n)):
             own = sets[at[k]:at[k + 1]]
@@ -190,7 +206,7 @@ def _links_in(pieces: DataFrame, share: int) -> DataFrame:
     """(a, b) links of the sets of each piece that join it up; pieces are (piece, node, shingles)."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        release()
+        _tidy()
         pdf = pdf.drop_duplicates("node").sort_values("node")
         ids = pdf["node"].to_numpy(np.int64)
         root = linked([np.frombuffer(b, np.uint64) for b in pdf["shingles"]], share=share)
@@ -273,7 +289,7 @@ _RECORD = "gid long, tokens binary, bits binary, nodes array<long>, sizes array<
 
 def _record(pdf: pd.DataFrame) -> pd.DataFrame:
     """A group as the union of its tokens and a bit row for each set."""
-    release()
+    _tidy()
     pdf = pdf.drop_duplicates("node").sort_values("node")
     sets = [np.frombuffer(b, np.uint64) for b in pdf["shingles"]]
     tokens = sets[0] if len(sets) == 1 else np.unique(np.concatenate(sets))

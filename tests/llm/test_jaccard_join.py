@@ -70,8 +70,7 @@ def cluttered(seed, n):
     return rows
 
 
-@pytest.mark.parametrize("small", [False, True])
-@pytest.mark.parametrize("share", [80, 60])
+@pytest.mark.parametrize("small, share", [(False, 80), (True, 60)])
 def test_join_by_all_pairs(spark, monkeypatch, small, share):
     """Also with tiny groups, few known frequent tokens and most tokens dealt into parts, and without any rough links."""
     if small:
