@@ -12,6 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: The characters of SPACE, for trimming without a pattern.
+SPACES = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 WORD = r"[\p{L}\p{N}_]"
 DIGIT = r"\p{Nd}"
@@ -23,7 +25,7 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"\A{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def lines(c: Column) -> Column:
@@ -42,9 +44,8 @@ def count_words(c: Column) -> Column:
 
 
 def sentences(c: Column) -> Column:
-    """Parts after white space that follows . ! or ?, stripped, none empty."""
-    parts = F.split(strip(F.coalesce(c, F.lit(""))), rf"(?<=[.!?]){SPACE}+")
-    return F.filter(F.transform(parts, strip), lambda x: x != "")
+    """Parts after white space that follows . ! or ?, stripped, none empty. The cuts take all white space, so only the ends have any left."""
+    return F.filter(F.split(strip(F.coalesce(c, F.lit(""))), rf"(?<=[.!?]){SPACE}+"), lambda x: x != "")
 
 
 def tokens(c: Column) -> Column:
@@ -66,33 +67,47 @@ def listed(values: Column, label: str | None = None) -> Column:
     return body if label is None else F.concat(F.lit(f"{label}: "), body)
 
 
+def part_ends(counts: Column, limit: Column) -> Column:
+    """Where parts end, as numbers of items before the end, when items of these word counts fill parts of at most `limit` words.
+
+    A fold over integers: nothing is copied but the list of ends, when a part closes. An item over the limit is a part by itself.
+    """
+    start = F.struct(F.array().cast("array<int>").alias("ends"), F.lit(0).alias("at"), F.lit(0).alias("n"), F.lit(False).alias("open"))
+
+    def add(acc: Column, n: Column) -> Column:
+        over = n > limit
+        closes = acc["open"] & (over | (acc["n"] + n > limit))
+        after = (acc["at"] + 1).cast("int")
+        both = F.when(closes & over, F.concat(acc["ends"], F.array(acc["at"], after))).when(closes, F.concat(acc["ends"], F.array(acc["at"])))
+        return F.struct(
+            both.when(over, F.concat(acc["ends"], F.array(after))).otherwise(acc["ends"]).alias("ends"), after.alias("at"),
+            F.when(over, F.lit(0)).when(closes, n).otherwise(acc["n"] + n).cast("int").alias("n"), (~over).alias("open"))
+
+    return F.aggregate(counts, start, add, lambda acc: F.when(acc["open"], F.concat(acc["ends"], F.array(acc["at"]))).otherwise(acc["ends"]))
+
+
 def pack_sentences(text: Column, limit: Column | int) -> Column:
     """Parts of at most `limit` counted words, filled sentence by sentence.
 
     A sentence over the limit closes the part before it and is cut by itself into runs of `limit` tokens.
     """
     limit = F.lit(limit).cast("int") if isinstance(limit, int) else limit.cast("int")
-    counted = F.transform(sentences(text), lambda s: F.struct(s.alias("text"), count_words(s).cast("int").alias("n")))
-    start = F.struct(F.array().cast("array<string>").alias("parts"), F.lit(None).cast("string").alias("open"), F.lit(0).alias("n"))
-
-    def add(acc: Column, s: Column) -> Column:
-        closes = acc["open"].isNotNull() & (acc["n"] + s["n"] > limit)
-        parts = F.when(closes, F.concat(acc["parts"], F.array(acc["open"]))).otherwise(acc["parts"])
-        words = tokens(s["text"])
-        cut = F.transform(F.sequence(F.lit(0), F.floor((F.size(words) - 1) / limit).cast("int")), lambda i: F.array_join(F.slice(words, i * limit + 1, limit), " "))
-        fresh = closes | acc["open"].isNull()
-        grown = F.when(fresh, s["text"]).otherwise(F.concat(acc["open"], F.lit(" "), s["text"]))
-        over = s["n"] > limit
-        return F.struct(
-            F.when(over, F.concat(parts, cut)).otherwise(parts).alias("parts"),
-            F.when(over, F.lit(None)).otherwise(grown).alias("open"),
-            F.when(over, F.lit(0)).when(fresh, s["n"]).otherwise(acc["n"] + s["n"]).cast("int").alias("n"),
-        )
 
-    def finish(acc: Column) -> Column:
-        return F.when(acc["open"].isNull(), acc["parts"]).otherwise(F.concat(acc["parts"], F.array(acc["open"])))
+    def runs(sentence: Column) -> Column:
+        return let(tokens(sentence), lambda w: F.transform(F.sequence(F.lit(0), F.floor((F.size(w) - 1) / limit).cast("int")), lambda i: F.array_join(F.slice(w, i * limit + 1, limit), " ")))
 
-    return F.aggregate(counted, start, add, finish)
+    def parts(x: Column) -> Column:
+        s, n, ends = x["s"], x["n"], x["ends"]
+
+        def part(end: Column, k: Column) -> Column:
+            begin = F.when(k > 0, F.get(ends, k - 1)).otherwise(F.lit(0))
+            return F.when(F.get(n, begin) > limit, runs(F.get(s, begin))).otherwise(F.array(F.array_join(F.slice(s, begin + 1, end - begin), " ")))
+
+        return F.flatten(F.transform(ends, part))
+
+    own = let(sentences(text), lambda s: F.struct(s.alias("s"), F.transform(s, lambda x: count_words(x).cast("int")).alias("n")))
+    own = let(own, lambda x: F.struct(x["s"].alias("s"), x["n"].alias("n"), part_ends(x["n"], limit).alias("ends")))
+    return let(own, parts)
 
 
 def first_wins(values: Column, key: Callable[[Column], Column]) -> Column:
@@ -103,6 +118,18 @@ def first_wins(values: Column, key: Callable[[Column], Column]) -> Column:
     return F.transform(F.array_sort(firsts), lambda e: e["value"])
 
 
+def lower_bound(values: Column, before: Callable[[Column], Column]) -> Column:
+    """Number of leading elements of an array for which `before` holds, where none follows one for which it doesn't; by halving."""
+    steps = F.sequence(F.lit(0), F.length(F.bin(F.size(values))))
+
+    def step(acc: Column, _: Column) -> Column:
+        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
+        right = before(F.get(values, mid))
+        return F.when(acc["lo"] >= acc["hi"], acc).otherwise(F.when(right, F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi"))).otherwise(F.struct(acc["lo"].alias("lo"), mid.alias("hi"))))
+
+    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.size(values).alias("hi")), step, lambda acc: acc["lo"])
+
+
 def python_list(values: Column) -> Column:
     """[1, 2]"""
     return F.concat(F.lit("["), F.array_join(values.cast("array<string>"), ", "), F.lit("]"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.text import DIGIT, SPACE, filled_lines, let, or_else, strip
+from ..functions.text import DIGIT, SPACE, filled_lines, let, lower_bound, or_else, strip
 
 # The six sections with their chapter ranges, order, and id prefix; where content starts; the sarga word.
 SECTIONS = (
@@ -77,11 +77,15 @@ def sarga_range(text: Column) -> Column:
 
 
 def _starts(entries: Column, pages: Column, last: Column) -> Column:
-    """Fold over a book's entries in chapter order: each start is searched from the start before it."""
+    """Fold over a book's entries in chapter order: each start is searched from the start before it.
+
+    pages are sorted by printed number, then place: an index that is searched by halving.
+    """
 
     def found(printed: Column, least: Column) -> Column:
-        fit = F.filter(pages, lambda p: (p["printed"] == printed) & (p["index"] >= least))
-        return F.when(F.coalesce(printed, F.lit("")) != "", F.get(fit, 0)["index"])
+        before = lambda p: (p["printed"] < printed) | ((p["printed"] == printed) & (p["index"] < least))
+        hit = let(F.get(pages, lower_bound(pages, before)), lambda p: F.when(p["printed"] == printed, p["index"]))
+        return F.when(F.coalesce(printed, F.lit("")) != "", hit)
 
     def step(acc: Column, e: Column) -> Column:
         start = found(e["printed"], acc["at"])
@@ -108,7 +112,7 @@ def build_chapters(pages: DataFrame, entries: DataFrame, by: Sequence[str] = ())
     by = list(by)
     key = by or [F.lit(1).alias("__book")]
     names = by or ["__book"]
-    page = F.struct(F.col("pdf_page_index").cast("int").alias("index"), F.coalesce(F.col("printed_page_number"), F.lit("None")).alias("printed"))
+    page = F.struct(F.coalesce(F.col("printed_page_number"), F.lit("None")).alias("printed"), F.col("pdf_page_index").cast("int").alias("index"))
     books = pages.groupBy(*key).agg(F.array_sort(F.collect_list(page)).alias("pages"), F.max("pdf_page_index").cast("int").alias("last"))
     order = Window.partitionBy(*(by or [F.lit(1)])).orderBy("chapter_number")
     listed = entries.withColumn("next_printed", F.lead("printed_page_number").over(order))

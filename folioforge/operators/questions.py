@@ -1,18 +1,21 @@
 """Question and answer parsing of chapter texts, all in array functions: no explode, no shuffle, no Python.
 
-Markers become sentinels, so a split at the sentinels gives the blocks.
+One scan of a text finds all question markers, numbered or not, as tokens with their text; a split at the tokens' signs gives
+the pieces. Promotion, the first marker, the key section and the blocks are then decided on the list of tokens. Patterns
+run only over texts that hold a character which every match needs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import SPACE, filled_lines, first_wins, let, python_list, strip
 
-# The marker words of questions, answers and answer keys.
+# The marker words of questions, answers and answer keys, and the grammar of markers, options and keys.
 QUESTION_WORDS = "(?:ప్రశ్న|పశ్న)"
-ORDINAL = "వ"
 ANSWER_WORD = "జవాబు"
 KEY_WORD = "జవాబులు"
 SECTION_WORD = "అధ్యాయము"
@@ -20,52 +23,77 @@ EXPECTED_QUESTIONS = 5
 
 _S = f"{SPACE}*"
 _LINE = r"(?:\A|(?<=\n)|\n)"
-_QUESTION = rf"{_LINE}{_S}([1-5]){_S}(?:{ORDINAL})?{_S}[.)]?{_S}{QUESTION_WORDS}{_S}:?"
-_UNNUMBERED = rf"{_LINE}{_S}{QUESTION_WORDS}{_S}:?"
+_QUESTION = rf"{_LINE}{_S}([1-5]){_S}వ?{_S}[.)]?{_S}{QUESTION_WORDS}{_S}:?"
+_TOKEN = rf"{_LINE}{_S}(?:([1-5]){_S}వ?{_S}[.)]?{_S}{QUESTION_WORDS}{_S}:?|{QUESTION_WORDS})"
 _OPTION = rf"(?<!\p{{Nd}})([1-4]){_S}[.)]{_S}"
 _FALLBACK = rf"\n{_S}[^\n]*{SECTION_WORD}{_S}\n{_S}1{_S}\.{_S}[1-4]{_S}\..*?2{_S}\.{_S}[1-4]{_S}\..*?3{_S}\."
 _KEY = rf"(?s)([1-5]){_S}\.{_S}(?:([1-4]){_S}\.{_S})?(.*?)(?=(?:{SPACE}+[1-5]{_S}\.)|\z)"
-_AT, _END = "\x01", "\x02"
+#: Signs around tokens: a token's start, the end of its number or label, the end of its text.
+_AT, _END, _TEXT = "\x01", "\x02", "\x03"
 _OPTIONS = "array<struct<label:string,text:string>>"
 
 
+def _only(c: Column, needs: tuple[str, ...], change: Callable[[Column], Column]) -> Column:
+    """c changed if it holds one of the strings without which no match is possible."""
+    some = F.lit(False)
+    for n in needs:
+        some = some | F.contains(c, F.lit(n))
+    return F.when(some, change(c)).otherwise(c)
+
+
 def normalized(c: Column) -> Column:
-    c = F.regexp_replace(F.regexp_replace(c, r"\r\n?", "\n"), "[ \t]+", " ")
-    return strip(F.regexp_replace(F.regexp_replace(c, rf"\n{_S}:{_S}", ": "), r"\n{3,}", "\n\n"))
+    for needs, pattern, new in (("\r",), r"\r\n?", "\n"), (("  ", "\t"), "[ \t]+", " "), ((":",), rf"\n{_S}:{_S}", ": "), (("\n\n\n",), r"\n{3,}", "\n\n"):
+        c = let(c, lambda x: _only(x, needs, lambda y: F.regexp_replace(y, pattern, new)))  # noqa: B023
+    return strip(c)
 
 
-def _promoted(text: Column) -> Column:
-    """If the first numbered marker is 2, the last marker without a number before it becomes number 1."""
+def _tokens(c: Column) -> Column:
+    """array<struct<number, marker, text>> of a text's question markers and what follows each; the number of some is empty."""
+    pieces = F.split(F.regexp_replace(c, _TOKEN, f"{_AT}$1{_END}$0{_TEXT}"), _AT)
+    after = lambda p, sign: p.substr(F.instr(p, sign) + 1, F.length(p))
+    own = lambda p: let(after(p, _END), lambda rest: F.struct(F.substring_index(p, _END, 1).alias("number"), F.substring_index(rest, _TEXT, 1).alias("marker"), after(rest, _TEXT).alias("text")))
+    return F.transform(F.slice(pieces, 2, F.size(pieces)), own)
 
-    def use(c: Column) -> Column:
-        before = F.regexp_extract(c, rf"(?s)\A(.*?){_QUESTION}", 1)
-        head = F.regexp_extract(c, rf"(?s)\A(.*?){_QUESTION}", 2)
-        return F.when(head == "2", let(before, lambda b: _numbered(c, b))).otherwise(c)
 
-    return let(text, use)
+def _from_first(tokens: Column) -> Column:
+    """Tokens from the first numbered one on. If that is 2, an unnumbered one before it becomes number 1. Null if none has a number."""
+    at = F.array_position(F.transform(tokens, lambda t: t["number"] != ""), True).cast("int")
+    first = lambda t: F.struct(F.lit("1").alias("number"), t["marker"].alias("marker"), F.regexp_replace(t["text"], rf"\A{_S}:?{_S}:?", "").alias("text"))
+
+    def use(k: Column) -> Column:
+        promoted = (k > 1) & (F.get(tokens, k - 1)["number"] == "2")
+        rest = F.slice(tokens, k, F.size(tokens))
+        return F.when(k > 0, F.when(promoted, F.concat(F.array(first(F.get(tokens, k - 2))), rest)).otherwise(rest))
+
+    return let(at, use)
 
 
-def _numbered(c: Column, before: Column) -> Column:
-    head = F.regexp_extract(before, rf"(?s)\A(.*){_UNNUMBERED}", 1)
-    marker = F.regexp_extract(before, rf"(?s)\A.*({_UNNUMBERED})", 1)
-    rest = c.substr(F.length(head) + F.length(marker) + 1, F.length(c))
-    return F.when(F.regexp_like(before, F.lit(_UNNUMBERED)), F.concat(head, F.lit("\n1. ప్రశ్న"), rest)).otherwise(c)
+def _joined(tokens: Column, signs: bool) -> Column:
+    """The tokens' text again; with signs before and after the markers that have a number."""
+    plain = lambda t: F.concat(t["marker"], t["text"])
+    signed = lambda t: F.when(t["number"] != "", F.concat(F.lit(_AT), t["number"], F.lit(_END), t["marker"], F.lit(_TEXT), t["text"])).otherwise(plain(t))
+    return F.array_join(F.transform(tokens, signed if signs else plain), "")
 
 
-def _from_first(text: Column) -> Column:
-    """The text from its first marker on; null if it has none."""
-    return let(text, lambda c: F.when(F.regexp_like(c, F.lit(_QUESTION)), c.substr(F.length(F.regexp_extract(c, rf"(?s)\A(.*?){_QUESTION}", 1)) + 1, F.length(c))))
+def _sections(tokens: Column) -> Column:
+    """struct(main, keys): the text before the last answer-key section, with signs, and that section; keys is null if there is none."""
 
+    def headed(c: Column) -> Column:
+        after = F.substring_index(c, KEY_WORD, -1)
+        main = F.left(c, F.length(c) - F.length(after) - len(KEY_WORD))
+        return F.struct(main.alias("main"), strip(_only(after, (_AT,), lambda x: F.regexp_replace(x, f"{_AT}[^{_END}]*{_END}|{_TEXT}", ""))).alias("keys"))
 
-def _key_start(text: Column) -> Column:
-    """Characters before the last answer-key section; null if there is none."""
+    def fallback(c: Column) -> Column:
+        cut = F.nullif(F.length(F.regexp_extract(c, rf"(?s)\A(.+){_FALLBACK}", 1)), F.lit(0))
+        marked = lambda k: F.regexp_replace(F.left(c, k), _QUESTION, f"{_AT}$1{_END}$0{_TEXT}")
+        return let(cut, lambda k: F.when(k.isNotNull(), F.struct(marked(k).alias("main"), strip(c.substr(k + 1, F.length(c))).alias("keys"))))
 
     def use(c: Column) -> Column:
-        header = F.when(F.instr(c, KEY_WORD) > 0, F.length(F.regexp_extract(c, rf"(?s)\A(.+){KEY_WORD}", 1)))
-        section = F.when(F.contains(c, F.lit(SECTION_WORD)), F.length(F.regexp_extract(c, rf"(?s)\A(.+){_FALLBACK}", 1)))
-        return F.coalesce(F.nullif(header, F.lit(0)), F.nullif(section, F.lit(0)))
+        whole = F.struct(c.alias("main"), F.lit(None).cast("string").alias("keys"))
+        section = F.when(F.contains(c, F.lit(SECTION_WORD)), fallback(_joined(tokens, False)))
+        return F.when(F.contains(c, F.lit(KEY_WORD)), headed(c)).otherwise(F.coalesce(section, whole))
 
-    return let(text, use)
+    return let(_joined(tokens, True), use)
 
 
 def answer_keys(section: Column) -> Column:
@@ -85,19 +113,21 @@ def _marked(c: Column) -> Column:
 
 def options(answer: Column) -> Column:
     """Labelled options of a text, empty unless it has two markers and its first two filled ones are 1 and 2."""
+    none = F.array().cast(_OPTIONS)
 
     def use(parts: Column) -> Column:
         own = F.transform(F.slice(parts, 2, F.size(parts)), lambda p: F.struct(
             F.substring_index(p, _END, 1).alias("label"), normalized(p.substr(F.instr(p, _END) + 1, F.length(p))).alias("text")))
         own = F.filter(own, lambda o: o["text"] != "")
         good = lambda o: (F.size(parts) > 2) & (F.get(o, 0)["label"] == "1") & (F.get(o, 1)["label"] == "2")
-        return let(own, lambda o: F.when(good(o), o).otherwise(F.array().cast(_OPTIONS)))
+        return let(own, lambda o: F.when(good(o), o).otherwise(none))
 
-    return let(_marked(F.array_join(filled_lines(answer), " ")), use)
+    some = F.contains(answer, F.lit("1")) & F.contains(answer, F.lit("2"))
+    return F.when(some, let(_marked(F.array_join(filled_lines(answer), " ")), use)).otherwise(none)
 
 
 def _bare(c: Column) -> Column:
-    return F.regexp_replace(c, r"\A[ :\n\t]+|[ :\n\t]+\z", "")
+    return F.btrim(c, F.lit(" :\n\t"))
 
 
 def _split_block(b: Column) -> Column:
@@ -147,13 +177,11 @@ def _finished(q: Column) -> Column:
 
 def parse_questions(rows: DataFrame, text: str = "raw_telugu_text") -> DataFrame:
     """Adds questions (in order of number, first of each) and question_warnings."""
-    t = rows.withColumn("__t", _from_first(_promoted(normalized(F.coalesce(F.col(text), F.lit(""))))))
-    t = t.withColumn("__t", _promoted(F.col("__t")))
-    t = t.withColumn("__cut", _key_start(F.col("__t")))
-    t = t.withColumn("__main", F.when(F.col("__cut").isNull(), F.col("__t")).otherwise(strip(F.substring("__t", F.lit(1), F.col("__cut")))))
-    t = t.withColumn("__keys", F.when(F.col("__cut").isNotNull(), answer_keys(strip(F.col("__t").substr(F.col("__cut") + 1, F.length("__t"))))).otherwise(F.array().cast("array<struct<question:int,answer:string>>")))
-    parts = F.split(F.regexp_replace("__main", _QUESTION, f"{_AT}$1{_END}"), _AT)
-    blocks = F.transform(F.slice(parts, 2, F.size(parts)), lambda p: F.struct(F.substring_index(p, _END, 1).cast("int").alias("number"), strip(p.substr(F.instr(p, _END) + 1, F.length(p))).alias("text")))
+    t = rows.withColumn("__t", let(_tokens(normalized(F.coalesce(F.col(text), F.lit("")))), _from_first))
+    t = t.withColumn("__s", F.when(F.col("__t").isNotNull(), _sections(F.col("__t"))))
+    t = t.withColumn("__keys", F.when(F.col("__s.keys").isNotNull(), answer_keys(F.col("__s.keys"))).otherwise(F.array().cast("array<struct<question:int,answer:string>>")))
+    parts = F.split("__s.main", _AT)
+    blocks = F.transform(F.slice(parts, 2, F.size(parts)), lambda p: F.struct(F.substring_index(p, _END, 1).cast("int").alias("number"), strip(p.substr(F.instr(p, _TEXT) + 1, F.length(p))).alias("text")))
     t = t.withColumn("__blocks", F.coalesce(F.array_sort(first_wins(blocks, lambda b: b["number"])), F.array().cast("array<struct<number:int,text:string>>")))
     t = t.withColumn("__parsed", F.transform(F.transform("__blocks", _split_block), lambda q: _with_options(q, F.col("__keys"))))
     t = t.withColumn("questions", F.transform("__parsed", _finished))
@@ -165,7 +193,7 @@ def parse_questions(rows: DataFrame, text: str = "raw_telugu_text") -> DataFrame
     ), lambda w: w.isNotNull())
     each = F.flatten(F.transform("questions", lambda q: F.transform(q["parser_warnings"], lambda w: F.concat(F.lit("Q"), q["question_number"].cast("string"), F.lit(": "), w))))
     found = F.when(F.size("questions") == 0, F.array(F.lit("No question starts detected."))).otherwise(F.concat(general, each))
-    return t.withColumn("question_warnings", found).drop("__t", "__cut", "__main", "__keys", "__blocks", "__parsed")
+    return t.withColumn("question_warnings", found).drop("__t", "__s", "__keys", "__blocks", "__parsed")
 
 
 def attach_questions(chapters: DataFrame) -> DataFrame:

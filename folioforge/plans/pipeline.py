@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -81,18 +82,30 @@ def preview_file(spark: SparkSession, ws: Workspace, report: DataFrame | None =
     return text
 
 
-def translate_file(spark: SparkSession, ws: Workspace, make_model: Callable[[], Model], numbers: Sequence[int] | None = None, force: bool = False, max_retries: int = 3) -> DataFrame:
-    """Translates, writes audit, cache and the successes, then raises if a chapter failed."""
+def translate_file(spark: SparkSession, ws: Workspace, make_model: Callable[[], Model], numbers: Sequence[int] | None = None, force: bool = False, max_retries: int = 3,
+                   at_once: int = 1, per_second: float | None = None, wave: int | None = None) -> DataFrame:
+    """Translates, writes audit, cache and the successes, then raises if a chapter failed.
+
+    Chapters are asked for in waves of so many (all at once if it isn't given), in order of request; what a wave has is in the cache
+    before the next begins. A run that was broken off goes on where it was: what is in the cache is not asked for again.
+    """
     chapters = readers.read_json_array(spark, ws.path("chapters_telugu.json"), schemas.SOURCE_CHAPTER)
     cache_path = ws.path("translated_chapters")
     cached = "chapter_number int, translated string"
-    cache = spark.read.schema(cached).parquet(cache_path) if readers.exists(spark, cache_path) else spark.createDataFrame([], cached)
-    # Stored once: a lost executor must not ask the model again, nor find a cache that this run has changed.
-    done = stored(translate(select_chapters(chapters, numbers), cache, make_model, max_retries=max_retries, force=force, cache_path=cache_path), "translated")
+    selected = stored(select_chapters(chapters, numbers), "selected")
+    total = selected.count()
+    waves = []
+    for begin in range(0, max(total, 1), wave or max(total, 1)):
+        cache = spark.read.schema(cached).parquet(cache_path) if readers.exists(spark, cache_path) else spark.createDataFrame([], cached)
+        own = selected.filter(F.col("request_no").between(begin, begin + (wave or total) - 1))
+        # Stored once: a lost executor must not ask the model again, nor find a cache that this run has changed.
+        done = stored(translate(own, cache, make_model, max_retries=max_retries, force=force, cache_path=cache_path, at_once=at_once, per_second=per_second), "translated")
+        fresh = done.filter("status = 'translated'").select("translated", "chapter_number")
+        if not fresh.isEmpty():
+            writers.write_cache(fresh, cache_path)
+        waves.append(done)
+    done = reduce(DataFrame.unionByName, waves)
     writers.write_jsonl_file(done, ws.path("translation_audit.jsonl"), ["request_no"], ["request_no", "translated"])
-    fresh = done.filter("status = 'translated'").select("translated", "chapter_number")
-    if not fresh.isEmpty():
-        writers.write_cache(fresh, cache_path)
     good = done.filter("status <> 'failed'").select("request_no", F.from_json("translated", schemas.TRANSLATED_CHAPTER).alias("c")).select("request_no", "c.*")
     writers.write_json_array(good, ws.path("chapters_english.json"), ["request_no"], ["request_no"])
     require_success(done)

@@ -384,7 +384,7 @@ def _asked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def qa_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Questions of every document's chapter."""
-    own = parse_questions(_asked(spark, sf_dir)).select("doc_id", F.explode("questions").alias("q"))
+    own = parse_questions(_asked(spark, sf_dir)).select("doc_id", F.explode_outer("questions").alias("q")).filter("q IS NOT NULL")
     options = F.array_join(F.transform("q.options_telugu", lambda o: F.concat(o["label"], F.lit("="), o["text"])), ";")
     return own.select("doc_id", "q.question_number", "q.question_telugu", "q.answer_type", options.alias("options"), "q.answer_key_telugu", F.md5(F.encode("q.answer_telugu", "UTF-8")).alias("answer_md5"), F.array_join("q.parser_warnings", " ").alias("warnings"))
 
@@ -399,7 +399,7 @@ def question_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.coalesce("text", F.lit(""))
     body = F.concat(*[F.concat(F.lit(f"\n{i}. ప్రశ్న: q{i}?\nజవాబు: "), F.regexp_replace(t, r"[^a-z ]+", " ")) for i in range(1, 6)])
     own = parse_questions(_documents(spark, sf_dir).select("doc_id", body.alias("raw_telugu_text")))
-    return own.select("doc_id", F.explode("questions").alias("q")).select("doc_id", "q.question_number", "q.question_telugu", "q.answer_type", F.length("q.answer_telugu").cast("long").alias("answer_chars"))
+    return own.select("doc_id", F.explode_outer("questions").alias("q")).filter("q IS NOT NULL").select("doc_id", "q.question_number", "q.question_telugu", "q.answer_type", F.length("q.answer_telugu").cast("long").alias("answer_chars"))
 
 
 def section_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import importlib.util
 from collections.abc import Callable, Iterator
 
@@ -13,6 +14,7 @@ from ..functions.text import strip
 from ..operators.entities import alias_rows
 from ..operators.pages import printed_page_number
 from ..schemas import PAGE
+from . import splitting
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -44,10 +46,15 @@ def _root(spark: SparkSession, path: str, sign: str) -> bool:
 def read_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The schema's columns, index and json of each object of a file whose root is an array; none if the file is missing.
 
+    A file of more than one block is read by many tasks, if it holds nothing but objects.
     json is the object as it is written, so keys that it lacks can be told from nulls; what doesn't fit the schema is null.
     """
     if not exists(spark, path):
         return spark.createDataFrame([], f"{schema}, index long, json string")
+    records = splitting.json_records(spark, path) if splitting.is_large(spark, path) and _root(spark, path, "[") else None
+    if records is not None:
+        own = records.select("index", F.to_json(F.parse_json("text")).alias("json"))
+        return own.select(F.from_json("json", schema).alias("r"), "index", "json").select("r.*", "index", "json")
     text = F.regexp_replace("value", r"\A\ufeff", "")
     whole = spark.read.text(path, wholetext=True).select(F.posexplode(F.variant_get(F.parse_json(text), "$", "array<variant>")).alias("index", "v"))
     own = whole.select(F.col("index").cast("long").alias("index"), F.to_json("v").alias("json"))
@@ -60,6 +67,9 @@ def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
         raise FileNotFoundError(path)
     if not _root(spark, path, "["):
         raise ValueError(f"{path} must contain a JSON array")
+    records = splitting.json_records(spark, path) if splitting.is_large(spark, path) else None
+    if records is not None:
+        return records.select(F.from_json("text", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
     return spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", True).json(path)
 
 
@@ -71,10 +81,18 @@ def read_json(spark: SparkSession, path: str, schema: str, default: DataFrame |
 
 
 def read_csv_rows(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """Rows of a CSV with a header, all strings; none if the file is missing."""
+    """Rows of a CSV with a header, all strings; none if the file is missing. A file of more than one block is read by many tasks."""
     if not exists(spark, path):
         return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns or ["value"]))
-    return spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("nullValue", None).option("emptyValue", "").csv(path).fillna("")
+    options = {"multiLine": "true", "escape": '"', "emptyValue": ""}
+    records = splitting.csv_records(spark, path) if splitting.is_large(spark, path) else None
+    if records is not None:
+        head = records.orderBy("index").first()
+        names = next(csv.reader([head["text"]], strict=True)) if head else columns or ["value"]
+        schema = ", ".join(f"`{n}` string" for n in names)
+        rest = records.filter(F.col("index") > (head["index"] if head else 0))
+        return rest.select(F.from_csv("text", schema, options).alias("r")).select("r.*").fillna("")
+    return spark.read.option("header", True).option("nullValue", None).options(**options).csv(path).fillna("")
 
 
 def read_aliases(path: str) -> list[tuple]:
