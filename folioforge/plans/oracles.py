@@ -6,7 +6,7 @@ from ..operators.chapters import SECTIONS
 from ..operators.entities import COMMON_TERMS
 from ..operators.quality import CHAPTER_FIELDS, CHUNK_FIELDS, METADATA_FIELDS
 from ..operators.translate import CHAPTER_KEYS, PAYLOAD
-from .queries import PART_WORDS
+from .queries import PART_WORDS, REQUEST
 
 _SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
@@ -248,7 +248,7 @@ ORACLE = {
           list_aggregate(range(a, b + 1), 'string_agg', ',') AS pages, list_aggregate(list_filter(['3', CASE WHEN d % 4 <> 0 THEN '4' END, '5', '6'][a - 6:b - 6], lambda x: x IS NOT NULL), 'string_agg', ',') AS printed,
           md5({_strip("list_aggregate([p7, p8, p9, 'end of it'][a - 6:b - 6], 'string_agg', chr(10) || chr(10))")}) AS text_md5, coalesce(list_aggregate(w, 'string_agg', ' '), '') AS warnings, len(w) > 0 AS needs_review FROM o""",
     "toc_ends": """
-        WITH p AS (SELECT p_partkey::INTEGER AS n, row_number() OVER (ORDER BY p_partkey) AS u, row_number() OVER (ORDER BY p_partkey DESC) AS d FROM part WHERE p_partkey <= 60)
+        WITH p AS (SELECT p_partkey::INTEGER AS n, row_number() OVER (ORDER BY p_partkey) AS u, row_number() OVER (ORDER BY p_partkey DESC) AS d FROM part)
         SELECT n AS chapter_number, CASE WHEN u <= 10 AND d <= 10 THEN 'both' WHEN u <= 10 THEN 'head' ELSE 'tail' END AS "end" FROM p WHERE u <= 10 OR d <= 10""",
     "qa_parse": rf"""
         WITH t AS (SELECT doc_id, {_letters} AS t FROM documents), s AS (SELECT *, {_single("'x ' || left(t, 30)")} AS s, {_single("left(t, 30)")} AS b FROM t)
@@ -262,5 +262,30 @@ ORACLE = {
         WITH t AS (SELECT doc_id, trim(regexp_replace(regexp_replace(coalesce(text, ''), '[^a-z ]+', ' ', 'g'), ' +', ' ', 'g')) AS t FROM documents)
         SELECT doc_id, i::INTEGER AS question_number, 'q' || i || '?' AS question_telugu, CASE WHEN i = 3 THEN 'direct_answer' ELSE 'narrative' END AS answer_type,
           CASE WHEN i <> 3 THEN length(t) END AS answer_chars FROM t, range(1, 6) x(i)""",
-    "section_dimension": f"SELECT * FROM (VALUES {_sections}) d(kanda_english, first_chapter, last_chapter, kanda_order, prefix)",
+    "section_dimension": f"""
+        SELECT d.*, count(*) AS documents FROM (VALUES {_sections}) d(kanda_english, first_chapter, last_chapter, kanda_order, prefix)
+        JOIN documents ON doc_id % 99 + 1 BETWEEN first_chapter AND last_chapter GROUP BY ALL""",
+    "report_heads": f"""
+        WITH d AS (SELECT doc_id AS d, doc_id % 7 AS n FROM documents), l AS (SELECT doc_id AS d FROM labels WHERE quality = 0)
+        SELECT (SELECT count(*) FROM d) AS detected_chapters, (SELECT sum(n)::BIGINT FROM d) AS detected_questions,
+          (SELECT count(*)::INTEGER FROM range(1, 100) x(i) WHERE i NOT IN (SELECT d FROM d)) AS missing, (SELECT count(*) FROM d WHERE n <> 5) AS chapters_with_question_count_issues_count,
+          (SELECT string_agg(d, ',' ORDER BY d) FROM (SELECT d FROM d WHERE n <> 5 ORDER BY d LIMIT 20)) AS issues, (SELECT count(*) FROM d) AS translated_chapters,
+          (SELECT count(*) FROM l) AS failed_chapters_count, (SELECT string_agg(d, ',' ORDER BY d) FROM (SELECT d FROM l ORDER BY d LIMIT 20)) AS failed,
+          (SELECT count(*) FROM d) AS chapters_missing_required_fields_count, (SELECT string_agg('themes', ',') FROM (SELECT d FROM d LIMIT 20)) AS fields, (SELECT count(*) FROM d WHERE n = 0) AS chapters_missing_questions_count,
+          (SELECT string_agg(d, ',' ORDER BY d) FROM (SELECT d FROM d WHERE n = 0 ORDER BY d LIMIT 20)) AS without_questions, (SELECT count(*) FROM d) AS question_count_by_chapter_count,
+          (SELECT string_agg(d || '=' || n, ',' ORDER BY d) FROM (SELECT d, n FROM d ORDER BY d LIMIT 20)) AS counts""",
+    "requested_chapters": f"""
+        SELECT r.request_no, conv_id::INTEGER AS chapter_number, 'Conversation ' || conv_id AS chapter_title_telugu
+        FROM (VALUES {", ".join(f"({i}, {n})" for i, n in enumerate(dict.fromkeys(REQUEST)))}) r(request_no, n) JOIN {_PAIRS} p ON p.conv_id = n GROUP BY ALL""",
+    "fallback_keys": rf"""
+        WITH t AS (SELECT doc_id, {_letters} AS t FROM documents), s AS (SELECT doc_id, t, trim(left(t, 30)) AS s FROM t),
+        k AS (SELECT doc_id, t, {_single("'2. y ' || s || ' q'")} AS k1, {_single("'k ' || s || ' k'")} AS k3 FROM s)
+        SELECT doc_id, n::INTEGER AS question_number, ['multiple_choice', 'multiple_choice', 'direct_answer', 'narrative'][n] AS answer_type, CASE n WHEN 1 THEN k1 WHEN 2 THEN '1. x' WHEN 3 THEN k3 END AS answer_key_telugu,
+          CASE n WHEN 3 THEN md5(k3) WHEN 4 THEN md5('so ' || t || '.') END AS answer_md5 FROM k, range(1, 5) x(n)""",
+    "qa_warnings_by_row": rf"""
+        WITH t AS (SELECT doc_id, list_filter(range(1, 6), lambda i: doc_id % (i + 1) <> 0) AS own FROM documents),
+        w AS (SELECT doc_id, len(own) AS n, list_concat(
+            CASE WHEN len(own) <> 5 THEN ['Expected 5 questions, detected ' || len(own) || '.', 'Missing question numbers: [' || array_to_string(list_filter(range(1, 6), lambda i: NOT list_contains(own, i)), ', ') || ']'] ELSE [] END,
+            list_filter(list_transform(own, lambda i: CASE WHEN i = 3 THEN 'Q3: Missing answer key.' WHEN doc_id % 3 = 0 THEN 'Q' || i || ': Missing narrative answer.' END), lambda x: x IS NOT NULL)) AS w FROM t)
+        SELECT doc_id, n::INTEGER AS questions, CASE WHEN n = 0 THEN 'No question starts detected.' ELSE array_to_string(w, ' ') END AS warnings, n = 0 OR len(w) > 0 AS needs_review FROM w""",
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -134,11 +134,10 @@ def page_preview(pages: DataFrame, chars: int = 500, column: str = "raw_text") -
 
 
 def toc_view(entries: DataFrame, n: int = 10) -> DataFrame:
-    """First and last n entries, each with its end: head, tail or both."""
-    up, down = Window.orderBy("chapter_number"), Window.orderBy(F.desc("chapter_number"))  # a table of contents has at most 99 entries
-    own = entries.withColumns({"__up": F.row_number().over(up), "__down": F.row_number().over(down)}).filter((F.col("__up") <= n) | (F.col("__down") <= n))
-    end = F.when((F.col("__up") <= n) & (F.col("__down") <= n), F.lit("both")).when(F.col("__up") <= n, F.lit("head")).otherwise(F.lit("tail"))
-    return own.withColumn("end", end).drop("__up", "__down")
+    """First and last n entries, each with its end: head, tail or both. Each task keeps n of its own, however many there are."""
+    ends = [entries.orderBy(order).limit(n).withColumn("end", F.lit(end)) for order, end in ((F.asc("chapter_number"), "head"), (F.desc("chapter_number"), "tail"))]
+    both = F.when(F.count("*") > 1, F.lit("both")).otherwise(F.first("end"))
+    return ends[0].unionByName(ends[1]).groupBy(*entries.columns).agg(both.alias("end"))
 
 
 def first_page_with(pages: DataFrame, marker: str) -> DataFrame:

@@ -15,19 +15,21 @@ from ..operators.chapters import build_chapters, section_table, toc_entries, wit
 from ..operators.chunks import BookProfile, build_chunks, chapter_index, counts_by_type
 from ..operators.entities import alias_rows, mention_finder, normalize_chapters, unmapped_candidates
 from ..operators.pages import clean_pages, clean_text, printed_page_number
-from ..operators.quality import chapter_errors, chunk_counts as counted_chunks, chunk_errors, missing_numbers, parsing_counts, quality_report
+from ..operators.quality import chapter_errors, chunk_counts as counted_chunks, chunk_errors, missing_numbers, parsing_counts, parsing_report, quality_report, translation_report
 from ..operators.questions import attach_questions, parse_questions
 from ..operators.report import chapter_preview
 from ..operators.translate import prompts, select_chapters, translate
 from ..shipping import ship
 from ..sources import readers, writers
-from ..storage import shared_dir
+from ..storage import shared_dir, spread
 from .pipeline import answer_types as answer_type_counts
 from .pipeline import page_counts as counted_pages
 from .pipeline import toc_view
 
 Query = Callable[[SparkSession, str], DataFrame]
 PART_WORDS = 1070
+#: Chapter numbers of a request, with a repeat.
+REQUEST = [9, 4, 9, 1]
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -35,7 +37,7 @@ def _read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "documents", "doc_id", "text")
+    return spread(_read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def word_count_by_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,10 +149,50 @@ def report_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     chapters = _chapters(spark, sf_dir)
     labels = _read(spark, sf_dir, "labels", "doc_id", "quality")
     audit = labels.select(F.col("doc_id").cast("int").alias("chapter_number"), F.lit(None).cast("string").alias("chapter_id"), F.when(F.col("quality") == 0, "failed").otherwise("cached").alias("status"), F.lit("e").alias("error"))
-    row = quality_report(chapters, chapters.filter("chapter_number % 2 = 0"), build_chunks(chapters, _BOOK), audit, jsonl_lines=1, index_rows=0, files={"final_chunks_json": True}, default_model="none")
+    row = quality_report(chapters, chapters.filter("chapter_number % 2 = 0"), build_chunks(chapters, _BOOK), audit, jsonl_lines=1, index_rows=0, files={"final_chunks_json": True}, default_model="none", most=20)
     return row.select("translation_model", F.posexplode("warnings").alias("place", "warning"))
 
 
+def report_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bounded lists of parsing and translation reports: every document as a chapter, labels as the audit; counts and first entries."""
+    d = F.col("doc_id")
+    none = F.array().cast("array<string>")
+    chapters = _documents(spark, sf_dir).select(
+        d.cast("int").alias("chapter_number"), F.concat(F.lit("c"), d.cast("string")).alias("chapter_id"), F.array_repeat(F.left(F.coalesce("text", F.lit("")), F.lit(5)), (d % 7).cast("int")).alias("questions"),
+        none.alias("parser_warnings"), *[F.lit(1).alias(c) for c in ("canonical_entities", "chapter_summary", "chapter_title", "entity_mentions", "kanda", "kanda_order", "places", "printed_page_numbers", "sarga_range", "source_pdf_pages")])
+    labels = _read(spark, sf_dir, "labels", "doc_id", "quality")
+    audit = labels.select(F.col("doc_id").cast("int").alias("chapter_number"), F.lit("c").alias("chapter_id"), F.when(F.col("quality") == 0, "failed").otherwise("cached").alias("status"), F.lit("e").alias("error"))
+    parsed, told = parsing_report(chapters, 20), translation_report(chapters, audit, 20)
+    shown = lambda c, at: F.array_join(F.transform(c, lambda x: (x["chapter_number"] if at else x).cast("string")), ",")
+    return parsed.crossJoin(told).select(  # one row each
+        "detected_chapters", "detected_questions", F.size("missing_chapters").alias("missing"), "chapters_with_question_count_issues_count", shown(F.col("chapters_with_question_count_issues"), True).alias("issues"),
+        "translated_chapters", "failed_chapters_count", shown(F.col("failed_chapters"), True).alias("failed"), "chapters_missing_required_fields_count",
+        F.array_join(F.transform("chapters_missing_required_fields", lambda x: F.array_join(x["missing_or_invalid_fields"], "+")), ",").alias("fields"),
+        "chapters_missing_questions_count", shown(F.col("chapters_missing_questions"), False).alias("without_questions"), "question_count_by_chapter_count",
+        F.array_join(F.transform(F.map_entries("question_count_by_chapter"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",").alias("counts"))
+
+
+def requested_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chapters asked for by number, in the order of the request, repeats once."""
+    return select_chapters(_source_chapters(spark, sf_dir), REQUEST).select("request_no", "chapter_number", "chapter_title_telugu")
+
+
+def fallback_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answer keys found after a section title, where no key header stands; each document's text is an answer before it."""
+    s, t = F.trim(F.left("t", F.lit(30))), F.col("t")
+    text = F.concat(F.lit("1. ప్రశ్న: a?\nజవాబు: 1. x 2. y\n2. ప్రశ్న: b?\n1) x 2) z\n3. ప్రశ్న: c?\n4. ప్రశ్న: d?\nజవాబు: so "), t, F.lit(".\nబాల కాండ 1వ అధ్యాయము\n1. 2. y "), s, F.lit(" q\n2. 1. x\n3. k "), s, F.lit(" k"))
+    own = parse_questions(_letters(spark, sf_dir).select("doc_id", text.alias("raw_telugu_text"))).select("doc_id", F.explode_outer("questions").alias("q")).filter("q IS NOT NULL")
+    return own.select("doc_id", "q.question_number", "q.answer_type", "q.answer_key_telugu", F.md5(F.encode("q.answer_telugu", "UTF-8")).alias("answer_md5"))
+
+
+def qa_warnings_by_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Warnings of chapters from which questions are missing, others in every document; texts without a word are unlabelled answers."""
+    d, s = F.col("doc_id"), F.trim(F.left("t", F.lit(30)))
+    asked = [F.when(d % (i + 1) != 0, F.concat(F.lit(f"\n{i}. ప్రశ్న: q{i}?\nజవాబు: "), F.when(d % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("so "), s)))).otherwise(F.lit("")) for i in range(1, 6)]
+    chapters = _letters(spark, sf_dir).select("doc_id", F.concat(*asked).alias("raw_telugu_text"), F.array().cast("array<string>").alias("parser_warnings"), F.lit(False).alias("needs_review"))
+    return attach_questions(chapters).select("doc_id", F.size("questions").alias("questions"), F.array_join("parser_warnings", " ").alias("warnings"), "needs_review")
+
+
 def chapter_schema_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys that each document, written as a chapter's JSON, lacks."""
     d, text = F.col("doc_id"), F.get(F.split(F.to_json(F.array(F.coalesce("text", F.lit("")))), "\\A\\["), 1)
@@ -368,8 +410,8 @@ def toc_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def toc_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First and last entries of a long table of contents, made of the parts' numbers."""
-    part = spark.read.parquet(f"{sf_dir}/part.parquet").filter("p_partkey <= 60").select(F.col("p_partkey").cast("int").alias("chapter_number"))
+    """First and last entries of a long table of contents, made of all parts' numbers."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").cast("int").alias("chapter_number"))
     return toc_view(part)
 
 
@@ -403,7 +445,10 @@ def question_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def section_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return section_table(spark)
+    """The sections that documents fall into, numbered as chapters, with their bounds and documents."""
+    docs = with_section(_documents(spark, sf_dir).select((F.col("doc_id") % 99 + 1).cast("int").alias("chapter_number")))
+    counts = docs.groupBy("kanda_order").agg(F.count("*").alias("documents"))
+    return section_table(spark).join(counts, "kanda_order")
 
 
 def queries() -> dict[str, Query]:
@@ -411,5 +456,5 @@ def queries() -> dict[str, Query]:
         word_count_by_doc, size_class, sentences_exploded, narrative_parts, clean_page_lines, printed_page, page_counts, qa_pairs, qa_chunks, chunk_counts, conversation_index,
         answer_types, chapter_previews, quality_summary, alias_mentions, mention_counts, unmapped_candidate_rows, range_bucket, missing_labels, missing_chapter_numbers, first_wins,
         last_wins, chunk_schema_gaps, chapter_schema_gaps, report_warnings, entities_by_chapter, long_narratives, chunk_metadata, sinks_read_back, prompt_payload, translate_audit, toc_spans,
-        toc_ends, qa_parse, qa_warnings, question_markers, section_dimension]
+        toc_ends, qa_parse, qa_warnings, question_markers, section_dimension, report_heads, requested_chapters, fallback_keys, qa_warnings_by_row]
     return {f.__name__: f for f in own}

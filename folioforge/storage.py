@@ -1,4 +1,4 @@
-"""Tables that a job writes for itself: in the shared folder that the cluster names, never on one machine's disk."""
+"""Tables that a job writes for itself, in the shared folder that the cluster names, never on one machine's disk; and small inputs over all cores."""
 
 from __future__ import annotations
 
@@ -33,3 +33,9 @@ def stored(df: DataFrame, name: str = "t", rows: int | None = None, per_file: in
     path = f"{shared_dir(spark)}/{name}"
     (df if rows is None else df.coalesce(1 + rows // per_file)).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The frame dealt over all cores, if its files make fewer tasks than there are cores, as a file of one row group does."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.rdd().getNumPartitions() < cores else df

@@ -109,3 +109,27 @@ def test_fallback_key_section(spark):
     text = "1. ప్రశ్న ఎ?\nజవాబు: 1. అ 2. ఆ\n3. ప్రశ్న ఓ?\nబాల కాండ 1వ అధ్యాయము\n1. 2. ఆ\n2. 1. క\n3. సీత"
     q = {x.question_number: x for x in parse_questions(spark.createDataFrame([(text,)], "raw_telugu_text string")).first().questions}
     assert q[1].answer_key_telugu == "2. ఆ" and q[3].answer_telugu == "సీత"
+
+
+def test_page_index_of_a_long_book(spark):
+    """A book of 100,000 pages whose printed numbers repeat: the same starts as a search through all pages gives."""
+    n = 100_000
+    printed = lambda i: str(i % 997) if i % 5 else None
+    toc = [(k + 1, "k", "t", str((k * 131) % 997)) for k in range(99)]
+    book = spark.range(n).select(F.col("id").cast("int").alias("pdf_page_index"), F.when(F.col("id") % 5 != 0, (F.col("id") % 997).cast("string")).alias("printed_page_number"), F.lit("x").alias("raw_text"), F.lit("g").alias("extraction_method"))
+    got = {r.chapter_number: r.source_pdf_pages[0] for r in build_chapters(book, spark.createDataFrame(toc, schemas.TOC_ENTRY)).select("chapter_number", "source_pdf_pages").collect()}
+    at, want = 7, {}
+    for number, _, _, page in toc:
+        at = next((i for i in range(at, n) if printed(i) == page), at)
+        want[number] = at
+    assert got == want
+
+
+@pytest.mark.parametrize("text, first", [("ప్రశ్న: a?\n2. ప్రశ్న: b?", 1), ("x\nప్రశ్న : : a?\nప్రశ్న b\n 2 వ ) ప్రశ్న c", 1), ("1. ప్రశ్న a\nప్రశ్న b\n2. ప్రశ్న c", 1), ("2. ప్రశ్న a", 2), ("ప్రశ్న a\n3. ప్రశ్న b", 3)])
+def test_promotion_and_unnumbered_markers(spark, text, first):
+    q = parse_questions(spark.createDataFrame([(text,)], "raw_telugu_text string")).first().questions
+    assert q[0].question_number == first
+    if "ప్రశ్న b\n2" in text:  # an unnumbered marker after the first numbered one is text
+        assert q[0].question_telugu == "a\nప్రశ్న b"
+    if ": :" in text:
+        assert q[0].question_telugu == "b"
