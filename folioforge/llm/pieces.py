@@ -333,15 +333,28 @@ CHUNK = 32_768
 
 
 def _chunks(docs: DataFrame, chunk: int, longest: int) -> DataFrame:
-    """Chunks of documents longer than a chunk, each with the characters around it that its boundaries need."""
+    """Chunks of documents longer than a chunk, each with the characters around it that its boundaries need.
+
+    A document is cut in one pass over its characters; only chunks travel.
+    """
     text = F.concat(F.lit(MARK), F.replace("text", F.lit(" "), F.lit(MARK)))
     rows = docs.select(F.monotonically_increasing_id().alias("doc"), "doc_id", text.alias("text"))
-    rows = rows.withColumn("total", F.length("text").cast("long")).withColumn("n", F.ceil(F.col("total") / chunk).cast("int"))
-    rows = rows.select("doc", "doc_id", "n", "total", "text", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("k"))
-    lo = (F.col("k") * F.lit(chunk)).cast("long")
-    start = F.greatest(lo - 2 * longest, F.lit(0))
-    around = F.col("text").substr((start + 1).cast("int"), F.lit(chunk + 4 * longest))
-    return rows.select("doc", "doc_id", "k", "n", lo.alias("lo"), "total", around.alias("around"), start.alias("from_"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, doc_id, own in zip(*batch.columns, strict=True):
+                own = own.as_py()
+                begins = range(0, len(own), chunk)
+                for first in range(0, len(begins), 64):
+                    some = begins[first:first + 64]
+                    froms = [max(lo - 2 * longest, 0) for lo in some]
+                    n, same = len(some), [doc.as_py()] * len(some)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(same, pa.int64()), pa.array([doc_id.as_py()] * n, pa.int64()), pa.array(range(first, first + n), pa.int32()), pa.array([len(begins)] * n, pa.int32()),
+                        pa.array(some, pa.int64()), pa.array([len(own)] * n, pa.int64()), pa.array([own[f:f + chunk + 4 * longest] for f in froms], pa.string()), pa.array(froms, pa.int64()),
+                    ], names=["doc", "doc_id", "k", "n", "lo", "total", "around", "from_"])
+
+    return rows.mapInArrow(cut, "doc long, doc_id long, k int, n int, lo long, total long, around string, from_ long")
 
 
 def _matrices(path: str, chunk: int):
@@ -389,7 +402,7 @@ def _backtrace(path: str, chunk: int):
 def encode_parts(docs: DataFrame, path: str, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
     """encode_documents() in two frames: documents of one chunk, and the chunks of longer ones."""
     own = ship(narrow(docs, {"doc_id": "long", "text": "string"})).withColumn("text", F.coalesce("text", F.lit("")))
-    longest = 64
+    longest = loaded(path).longest
     fits = F.length("text") <= chunk
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
