@@ -193,3 +193,25 @@ def test_stream_keeps_the_latest_page(spark, tmp_path):
         keep_latest(stream_pages(spark, f"file://{tmp_path}/in", schemas.PAGE + ", batch int"), f"file://{tmp_path}/out", f"file://{tmp_path}/cp", "pdf_page_index", "batch").awaitTermination()
     got = spark.read.parquet(f"file://{tmp_path}/out").orderBy("pdf_page_index").collect()
     assert [(r.pdf_page_index, r.printed_page_number, r.clean_text) for r in got] == [(0, "12", "a"), (1, "13", "bb")]
+
+
+def test_commands(spark, book, tmp_path, capsys):
+    """What the commands print, write and end with."""
+    from folioforge.cli import main
+
+    (tmp_path / "al.yaml").write_text("entities:\n  Valmiki:\n    category: sage\n    aliases: [Valmiki]\n")
+    run = ["run", book.root, "--aliases", str(tmp_path / "al.yaml")]
+    assert main([*run, "--chapters", "2"], spark, broken) == 1
+    said = capsys.readouterr()
+    assert "chapters 2" in said.err and "translation_audit.jsonl" in said.err and said.out == ""
+    assert main(run, spark, make_model) == 0
+    said = capsys.readouterr().out
+    assert "translated: 2\nfrom the cache: 0" in said and "normalized chapters: 2" in said and "chunks: 9" in said and "'qa_narrative': 3" in said
+    (tmp_path / "processed" / "validation_report.json").unlink()
+    assert main(["preview", book.root], spark) == 0 and (tmp_path / "processed" / "validation_report.json").exists()
+    assert "preview characters: " in capsys.readouterr().out
+    assert main(["validate", book.root], spark) == 0
+    assert "parsed chapters: 2\ntranslated chapters: 2\nchunks: 9\nwarnings: " in capsys.readouterr().out
+    with pytest.raises(SystemExit) as e:
+        main(["run", book.root], spark)
+    assert e.value.code == 2
