@@ -18,6 +18,7 @@ texts, or of the longest text.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,13 +45,17 @@ def _merged(begins: np.ndarray, period: int) -> list[tuple[int, int, int]]:
 
 
 class Classes:
-    """Classes of equal factors of one document, from a given length on."""
+    """Classes of equal factors of one document, from a given length on, up to length `most`.
 
-    def __init__(self, positions: list[int], classes: list[int], n: int, length: int, least: int):
-        self.n, self.length, self.least = n, length, least
-        self.of = dict(zip(positions, classes, strict=True))
-        self.before: dict[int, int] = {}
-        self.after: dict[int, int] = {}
+    Links are arrays of numbers, -1 for none, and only gaps of at most `most` are kept, so a position takes some hundred bytes.
+    """
+
+    def __init__(self, positions: list[int], classes: list[int], n: int, length: int, least: int, most: int):
+        self.n, self.length, self.least, self.most = n, length, least, most
+        self.of, self.before, self.after = (array("q", [-1]) * n for _ in range(3))
+        self.alive = len(positions)
+        for i, c in zip(positions, classes, strict=True):
+            self.of[i] = c
         self.gaps: dict[int, set[int]] = {}
         self.head: dict[int, int] = {}
         self.size: dict[int, int] = {}
@@ -62,9 +67,11 @@ class Classes:
             self._link(c, own)
         # No class is known to be a largest half yet, so all are splitters; a position whose next one has no class goes.
         self.small = members
-        self.gone = [i + 1 for i in positions if i + 1 not in self.of]
+        self.gone = [i + 1 for i in positions if i + 1 < n and self.of[i + 1] < 0]
 
     def _gap(self, a: int, b: int, there: bool) -> None:
+        if b - a > self.most:
+            return
         if there:
             self.gaps.setdefault(b - a, set()).add(a)
         else:
@@ -79,31 +86,32 @@ class Classes:
             self._gap(a, b, True)
 
     def _unlink(self, i: int) -> None:
-        c, a, b = self.of[i], self.before.pop(i, None), self.after.pop(i, None)
+        c, a, b = self.of[i], self.before[i], self.after[i]
+        self.before[i] = self.after[i] = -1
         self.size[c] -= 1
-        if a is not None:
+        if a >= 0:
             self._gap(a, i, False)
-            self.after.pop(a)
+            self.after[a] = b
         else:
-            self.head[c] = -1 if b is None else b
-        if b is not None:
+            self.head[c] = b
+        if b >= 0:
             self._gap(i, b, False)
-            self.before.pop(b)
-        if a is not None and b is not None:
-            self.after[a], self.before[b] = b, a
-            self._gap(a, b, True)
+            self.before[b] = a
+            if a >= 0:
+                self._gap(a, b, True)
 
     def _members(self, c: int) -> list[int]:
         out, i = [], self.head[c]
         for _ in range(self.size[c]):
             out.append(i)
-            i = self.after.get(i, -1)
+            i = self.after[i]
         return out
 
     def _drop(self, own: list[int], gone: list[int]) -> None:
         for i in own:
             self._unlink(i)
-            del self.of[i]
+            self.of[i] = -1
+        self.alive -= len(own)
         gone += own
 
     def squares(self) -> list[int]:
@@ -112,14 +120,14 @@ class Classes:
     def refine(self) -> None:
         """To classes of factors that are one word longer."""
         gone: list[int] = []
-        last = [j - 1 for j in self.gone] + [self.n - self.length]
-        touched = {self.of[i] for i in last if i in self.of}
-        self._drop([i for i in dict.fromkeys(last) if i in self.of], gone)
+        last = [i for i in dict.fromkeys([*(j - 1 for j in self.gone), self.n - self.length]) if i >= 0 and self.of[i] >= 0]
+        touched = {self.of[i] for i in last}
+        self._drop(last, gone)
         parts: dict[int, dict[int, list[int]]] = {}
         for d, own in self.small.items():
             for j in own:
-                c = self.of.get(j - 1)
-                if c is not None:
+                c = self.of[j - 1] if j else -1
+                if c >= 0:
                     parts.setdefault(c, {}).setdefault(d, []).append(j - 1)
         small: dict[int, list[int]] = {}
         for c, by in parts.items():
@@ -199,8 +207,8 @@ def word_runs(words: np.ndarray, at: np.ndarray, least_length: int, power: int)
         length += 1
     for d in np.unique(doc[i]):
         own = i[doc[i] == d] if len(n) < 3 else i[np.searchsorted(i, at[d]):np.searchsorted(i, at[d + 1])]
-        state = Classes((own - at[d]).tolist(), classes[own].tolist(), int(n[d]), length, least)
-        while state.of and state.length <= most[d]:
+        state = Classes((own - at[d]).tolist(), classes[own].tolist(), int(n[d]), length, least, int(most[d]))
+        while state.alive and state.length <= most[d]:
             if begins := state.squares():
                 put(np.array(begins) + at[d], state.length)
             state.refine()
