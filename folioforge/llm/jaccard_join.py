@@ -29,7 +29,6 @@ import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,6 +46,8 @@ HOT, RARE = 1 << 19, 16
 COUNTED = 0.4
 #: Groups of one token from which on it is dealt into parts; pairs with one group from which on it is copied.
 LIMIT = 64
+#: Tokens by which a pair's first common one is told from later ones; beyond it a pair may be made more than once.
+EARLIER = 32
 _FLIP, _TIMES = seeds(ORDERS + 2, 61), seeds(ORDERS + 2, 67) | U(1)
 _MARK = seeds(2, 71) | U(1)
 #: Groups that a task handles before it gives free memory back, which takes about as long as a small group.
@@ -202,18 +203,24 @@ def _pieces(rows: DataFrame, run: list[str], order: list[str], name: str) -> Dat
     return stored(dealt.withColumn("piece", F.xxhash64(*run, "__heavy", F.floor(F.col("__at") / wide).cast("long"))).drop("__at", "__heavy"), name)
 
 
+def _of_nodes(rows: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Nodes in order and their sets, each once."""
+    _tidy()
+    ids, first = np.unique(rows["node"].to_numpy(), return_index=True)
+    shingles = rows["shingles"]
+    return ids, [np.frombuffer(shingles[int(k)].as_py(), np.uint64) for k in first]
+
+
 def _links_in(pieces: DataFrame, share: int) -> DataFrame:
     """(a, b) links of the sets of each piece that join it up; pieces are (piece, node, shingles)."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        _tidy()
-        pdf = pdf.drop_duplicates("node").sort_values("node")
-        ids = pdf["node"].to_numpy(np.int64)
-        root = linked([np.frombuffer(b, np.uint64) for b in pdf["shingles"]], share=share)
+    def run(piece: pa.Table) -> pa.Table:
+        ids, sets = _of_nodes(piece)
+        root = linked(sets, share=share) if len(ids) > 1 else np.zeros(1, int)
         own = np.flatnonzero(root != np.arange(len(ids)))
-        return pd.DataFrame({"a": ids[own], "b": ids[root[own]]})
+        return pa.table({"a": ids[own], "b": ids[root[own]]})
 
-    return pieces.groupBy("piece").applyInPandas(run, "a long, b long")
+    return pieces.groupBy("piece").applyInArrow(run, "a long, b long")
 
 
 def _rough_links(docs: DataFrame, nodes: DataFrame, total: int, share: int) -> DataFrame:
@@ -262,9 +269,21 @@ def _after(hi: str, share: int) -> Column:
     return F.ceil(F.lit(share) * F.col(hi) / 100) - 1
 
 
+def _with_earlier(many: DataFrame) -> DataFrame:
+    """Adds earlier to the tokens of many groups: those of them before it in a lone set's prefix, EARLIER at most, none in other groups.
+
+    A pair of lone sets without a common earlier token has this one as its first, so it is made once and not for each common token.
+    """
+    key = ["gid", "comp", "lo", "hi"]
+    listed = many.filter("gid >= 0").groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("pos", "token", "n"))).alias("own"))
+    lone = listed.select(*key, "own", F.posexplode("own").alias("at", "x"))
+    lone = lone.select(*key, "x.pos", "x.token", "x.n", F.transform(F.slice("own", 1, F.least(F.col("at"), F.lit(EARLIER))), lambda x: x["token"]).alias("earlier"))
+    return lone.unionByName(many.filter("gid < 0").withColumn("earlier", F.array().cast("array<long>")))
+
+
 def candidate_pairs(matrix: DataFrame, share: int) -> DataFrame:
     """(ga, gb): pairs of groups of different components whose shared prefix tokens leave a link possible."""
-    side = lambda df, x: df.select("token", *[c for c in ("part", "k") if c in df.columns], *[F.col(c).alias(c + x) for c in ("gid", "comp", "lo", "hi", "pos")])
+    side = lambda df, x: df.select("token", *[c for c in ("part",) if c in df.columns], *[F.col(c).alias(c + x) for c in ("gid", "comp", "lo", "hi", "pos", "earlier") if c in df.columns])
     fits = (100 * F.col("hia") >= share * F.col("lob")) & (100 * F.col("hib") >= share * F.col("loa")) & (F.col("compa") < F.col("compb"))
     few, many = matrix.filter(F.col("n") <= LIMIT), matrix.filter(F.col("n") > LIMIT)
     cold = side(few, "a").join(side(few, "b"), "token").filter(fits)
@@ -276,10 +295,11 @@ def candidate_pairs(matrix: DataFrame, share: int) -> DataFrame:
         cold = cold.join(hot.select(F.col("gid").alias("gid" + x), F.col("h").alias("h" + x)), "gid" + x, "left")
     most = F.col("c") + F.least(F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0))) + F.greatest(_after("hia", share), _after("hib", share))
     cold = cold.filter(most >= _need("loa", "lob", share)).select("gida", "gidb")
-    parts = many.withColumn("k", F.ceil(F.col("n") / LIMIT).cast("int"))
+    parts = _with_earlier(many).withColumn("k", F.ceil(F.col("n") / LIMIT).cast("int"))
     left = parts.withColumn("part", F.pmod(F.xxhash64("gid", "token"), "k").cast("int")).drop("k")
     right = parts.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).drop("k")
     first = F.least(F.col("hia") - F.col("posa"), F.col("hib") - F.col("posb")) >= _need("loa", "lob", share)
+    first = first & ~F.arrays_overlap("earliera", "earlierb")
     rest = side(left, "a").join(side(right, "b"), ["token", "part"]).filter(fits & first).select("gida", "gidb")
     return cold.union(rest).distinct().toDF("ga", "gb")
 
@@ -287,16 +307,26 @@ def candidate_pairs(matrix: DataFrame, share: int) -> DataFrame:
 _RECORD = "gid long, tokens binary, bits binary, nodes array<long>, sizes array<int>"
 
 
-def _record(pdf: pd.DataFrame) -> pd.DataFrame:
+def _record(group: pa.Table) -> pa.Table:
     """A group as the union of its tokens and a bit row for each set."""
-    _tidy()
-    pdf = pdf.drop_duplicates("node").sort_values("node")
-    sets = [np.frombuffer(b, np.uint64) for b in pdf["shingles"]]
-    tokens = sets[0] if len(sets) == 1 else np.unique(np.concatenate(sets))
+    ids, sets = _of_nodes(group)
+    tokens = np.unique(np.concatenate(sets))
     rows = np.zeros((len(sets), len(tokens)), bool)
-    for k, s in enumerate(sets):
-        rows[k, np.searchsorted(tokens, s)] = True
-    return pd.DataFrame({"gid": pdf["gid"].iloc[:1].to_numpy(), "tokens": [tokens.tobytes()], "bits": [np.packbits(rows, axis=1).tobytes()], "nodes": [pdf["node"].to_numpy(np.int64)], "sizes": [np.array([len(s) for s in sets], np.int32)]})
+    for k, own in enumerate(sets):
+        rows[k, np.searchsorted(tokens, own)] = True
+    return pa.table({
+        "gid": group["gid"][:1], "tokens": pa.array([tokens.tobytes()], pa.binary()), "bits": pa.array([np.packbits(rows, axis=1).tobytes()], pa.binary()),
+        "nodes": pa.array([ids], pa.list_(pa.int64())), "sizes": pa.array([[len(own) for own in sets]], pa.list_(pa.int32()))})
+
+
+def _lone_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records of groups of one set."""
+    for batch in batches:
+        sizes = [len(b.as_py()) // 8 for b in batch.column(2)]
+        bits = [np.packbits(np.ones(n, bool)).tobytes() for n in sizes]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(2), pa.array(bits, pa.binary()), pa.array([[x] for x in batch.column(1).to_pylist()], pa.list_(pa.int64())), pa.array([[n] for n in sizes], pa.list_(pa.int32()))],
+            names=["gid", "tokens", "bits", "nodes", "sizes"])
 
 
 def opened(a: dict, b: dict, share: int) -> tuple[int, int] | None:
@@ -326,7 +356,9 @@ def _opened_links(docs: DataFrame, groups: DataFrame, pairs: DataFrame, share: i
     uses = pairs.select(F.explode(F.array("ga", "gb")).alias("gid")).groupBy("gid").agg(F.count("*").alias("uses"))
     uses = stored(uses.withColumn("copies", F.ceil(F.col("uses") / LIMIT).cast("int")), "uses")
     wanted = stored(groups.join(uses, "gid", "left_semi").select("doc_id", *SET, "gid", "node"), "in_pairs")
-    records = stored(_full_sets(docs, wanted, wanted.count()).select("gid", "node", "shingles").groupBy("gid").applyInPandas(_record, _RECORD), "records")
+    sets = stored(_full_sets(docs, wanted, wanted.count()).select("gid", "node", "shingles"), "group_sets")
+    lone = sets.filter("gid >= 0").dropDuplicates(["gid"]).mapInArrow(_lone_records, _RECORD)
+    records = stored(lone.unionByName(sets.filter("gid < 0").groupBy("gid").applyInArrow(_record, _RECORD)), "records")
     spread = records.join(uses.select("gid", "copies"), "gid").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
     rows = pairs
     for x in "ab":

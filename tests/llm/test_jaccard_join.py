@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("public_tokenizers")
@@ -113,8 +114,11 @@ def test_opening_of_groups():
         pool = np.unique(rng.integers(0, 60, 60)).astype(np.uint64)
         for g in range(2):
             own = [np.unique(rng.choice(pool, rng.integers(10, 40))) for _ in range(rng.integers(1, 5))]
-            record = jaccard_join._record(__import__("pandas").DataFrame({"gid": g, "node": range(10 * g, 10 * g + len(own)), "shingles": [s.tobytes() for s in own]}))
-            sides.append(record.iloc[0].to_dict())
+            rows = pa.table({"gid": [g] * len(own), "node": range(10 * g, 10 * g + len(own)), "shingles": [s.tobytes() for s in own]})
+            record = jaccard_join._record(rows).to_pylist()[0]
+            if len(own) == 1:
+                assert record == next(jaccard_join._lone_records(iter(rows.to_batches()))).to_pylist()[0]
+            sides.append(record)
             sets.append(own)
         hits = {(i, 10 + j) for i, x in enumerate(sets[0]) for j, y in enumerate(sets[1]) if 100 * len(np.intersect1d(x, y)) >= 60 * len(np.union1d(x, y))}
         got = jaccard_join.opened(*sides, 60)
