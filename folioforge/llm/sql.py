@@ -71,6 +71,26 @@ FROM documents LEFT JOIN k USING (doc_id)
 """
 
 
+# Bytes as pairs of hex digits; 50-byte windows by two hashes, their smallest document, and the spans that windows of larger ones cover.
+OP5 = """
+WITH h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), w AS (
+  SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(len(h) // 2 - 49)) AS i FROM h)
+), k AS (SELECT doc_id, i, hash(s) AS a, md5_number_lower(s) AS b FROM w
+), f AS (SELECT a, b, min(doc_id) AS low FROM k GROUP BY a, b
+), g AS (SELECT k.doc_id, i, lag(i) OVER (PARTITION BY k.doc_id ORDER BY i) AS before FROM k JOIN f USING (a, b) WHERE low < k.doc_id
+), n AS (SELECT doc_id, i, sum(CASE WHEN before IS NULL OR i > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM g
+), r AS (SELECT doc_id, span, min(i) AS first, max(i) + 50 AS last FROM n GROUP BY doc_id, span
+), p AS (SELECT doc_id, span, first, last, coalesce(lag(last) OVER (PARTITION BY doc_id ORDER BY first), 0) AS from_ FROM r
+), c AS (
+  SELECT p.doc_id, count(*) AS n_spans, sum(last - first) AS n_removed, max(last) AS last, string_agg(substr(h, 2 * from_ + 1, 2 * (first - from_)), '' ORDER BY first) AS head
+  FROM p JOIN h USING (doc_id) GROUP BY p.doc_id
+)
+SELECT h.doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM h LEFT JOIN c USING (doc_id)
+"""
+
 # Sets of word shingles, links by their overlap, and the smallest id that links reach.
 JACCARD = r"""
 WITH RECURSIVE w AS (
@@ -167,7 +187,7 @@ SELECT doc_id, scope, line_no, license FROM c JOIN known ON sha256(canon) = dige
 
 
 ORACLE = {
-    "op2_lsh_forest_near_dedup": OP2, "op12_jaccard_join": OP12,
+    "op2_lsh_forest_near_dedup": OP2, "op5_suffix_array_dedup": OP5, "op12_jaccard_join": OP12,
     "op3_block_matrix_ann": OP3, "op4_license_scan": op4(), "op6_exact_dedup": OP6, "op8_line_dedup": OP8, "op10_chat_format": OP10,
     "op13_merkle_manifest": op13(),
 }
