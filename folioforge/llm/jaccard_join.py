@@ -2,7 +2,8 @@
 
 1. Equal sets count once. 2. Similar sets are put into groups: in each of ORDERS orders of MinHash values, sets with an equal
 first value lie in a row that is cut into bounded pieces; the exact links inside the pieces make components, and components are cut
-into groups of sets of like size. A group is all of one component, so pairs inside it need no look. 3. The matrix
+into groups of sets of like size. A group is all of one component, so pairs inside it need no look. Sets without a link
+so far that share two MinHash values with many others make groups too: these hold several components, so pairs inside them are compared. 3. The matrix
 of tokens and groups holds for each group the union of its sets' prefixes: the first n - ceil(share * n) + 1 tokens of a set in an order
 of all tokens, rare ones first, of which two linked sets always share one. Pairs of groups of different components that
 share tokens there are kept if the number of them, with all that may follow the prefixes, reaches the overlap that their
@@ -40,6 +41,8 @@ from .textscan import U, mix, release, seeds, shingle_sets, slices
 ORDERS = 3
 #: Most sets of a piece or group, and shingles from which on a set takes the place of several.
 GROUP, LIGHT = 64, 2048
+#: Sets without links with two equal MinHash values from which on they make groups; and the values of which two are taken.
+FEWEST, VALUES = 16, 4
 #: Most tokens whose frequency is known to all tasks (8 bytes each, and one for its class), and the least such frequency.
 HOT, RARE = 1 << 19, 16
 #: The share of the tokens, by their hashes, that is counted.
@@ -128,15 +131,46 @@ def _scan(docs: DataFrame, make: Callable, schema: str, by_id: bool = True) -> D
     return ship(own).mapInArrow(run, schema)
 
 
-def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent of the counted tokens of all documents, sorted, and their classes (from 2, by doubling); at most HOT."""
+def _key_bits(total: int) -> int:
+    """Bits of a token's bucket in a table of so many documents; 32 more make its key."""
+    return max(3, min(16, (total // 4000).bit_length()))
+
+
+_BUCKETS = "bucket int, low binary, n binary"
+
+
+def _in_buckets(tokens: np.ndarray, bits: int) -> pa.RecordBatch:
+    """Tokens by the first bits, each with the next 32 bits and how often they occur: 4 bytes a token, and little more after compression."""
+    key, n = np.unique(tokens >> U(32 - bits), return_counts=True)
+    bucket = (key >> U(32)).astype(np.int32)
+    first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(key) else np.zeros(0, int)
+    ends = pa.py_buffer((np.r_[first, len(key)] * 4).astype(np.int32))
+    lists = [pa.Array.from_buffers(pa.binary(), len(first), [None, ends, pa.py_buffer(x.astype(np.uint32).tobytes())]) for x in (key & U(0xFFFFFFFF), n)]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[first]), *lists], names=["bucket", "low", "n"])
+
+
+def _often(buckets: DataFrame, least: int) -> DataFrame:
+    """(token, n): the keys of tokens that occur at least so often."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        _tidy()
+        low, n = (np.frombuffer(b"".join(rows[c].to_pylist()), np.uint32) for c in ("low", "n"))
+        key, at = np.unique(low, return_inverse=True)
+        total = np.bincount(at, weights=n).astype(np.int64)
+        many = total >= least
+        return pa.table({"token": (rows["bucket"][0].as_py() << 32) + key[many].astype(np.int64), "n": total[many]})
+
+    return buckets.groupBy("bucket").applyInArrow(run, "token long, n long")
+
+
+def _frequent(docs: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the most frequent of the counted tokens of all documents, sorted, and their classes (from 2, by doubling); at most HOT."""
     below = U(int(COUNTED * 2**64))
 
     def tokens(ids: np.ndarray, marks: np.ndarray, sets: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
-        token, n = np.unique(sets[sets < below], return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n)], names=["token", "n"])
+        return _in_buckets(sets[sets < below], bits)
 
-    counts = _scan(docs, tokens, "token long, n long", by_id=False).groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= RARE)
+    counts = _often(_scan(docs, tokens, _BUCKETS, by_id=False), RARE)
     counts = stored(counts.withColumn("level", F.floor(F.log2("n")).cast("int")), "frequent")
     by_level = dict(counts.groupBy("level").count().collect())  # a row for each doubling
     least, n = 64, 0
@@ -149,9 +183,9 @@ def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return token[order], (rows["level"].to_numpy(np.uint8) - least + 2 if len(rows) else np.zeros(0, np.uint8))[order]
 
 
-def _prefixes(docs: DataFrame, share: int) -> DataFrame:
+def _prefixes(docs: DataFrame, share: int, bits: int) -> DataFrame:
     """(doc_id, set_a, set_b, prefix) of each set: its rarest tokens."""
-    token, level = _frequent(docs)
+    token, level = _frequent(docs, bits)
     below = U(int(COUNTED * 2**64))
     some = np.zeros(1 << 20, bool)
     some[token & U((1 << 20) - 1)] = True
@@ -160,10 +194,11 @@ def _prefixes(docs: DataFrame, share: int) -> DataFrame:
     def make(ids: np.ndarray, marks: np.ndarray, sets: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
         token, level, some = known.value
         rank = (sets >= below).astype(np.uint8)  # 0 for rare tokens, 1 for those not counted, more for frequent ones
-        maybe = np.flatnonzero(some[sets & U((1 << 20) - 1)])
+        keys = sets >> U(32 - bits)
+        maybe = np.flatnonzero(some[keys & U((1 << 20) - 1)])
         if len(maybe):
-            found = np.minimum(np.searchsorted(token, sets[maybe]), len(token) - 1)
-            same = token[found] == sets[maybe]
+            found = np.minimum(np.searchsorted(token, keys[maybe]), len(token) - 1)
+            same = token[found] == keys[maybe]
             rank[maybe[same]] = level[found[same]]
         n = np.diff(at)
         wide = n - least_overlap(n, share) + 1
@@ -227,29 +262,62 @@ def _rough_links(docs: DataFrame, nodes: DataFrame, total: int, share: int) -> D
     """Exact links inside pieces of sets with an equal MinHash value."""
     value = lambda k: F.get("mins", F.col("k") + k)
     rows = nodes.withColumn("k", F.explode(F.array(*map(F.lit, range(ORDERS))))).select("node", "n_shingles", "k", *[value(i).alias(f"m{i}") for i in range(3)])
-    dealt = _pieces(rows, ["k", "m0"], ["m1", "m2", "node"], "rough").select("piece", "node")
-    some = dealt.groupBy("piece").agg(F.count("*").alias("n")).filter("n > 1").select("piece")
+    dealt = _pieces(rows, ["k", "m0"], ["m1", "m2", "node"], "rough").select("piece", "node", "k")
+    # A piece that lies inside one of an earlier order has no new pair.
+    before = dealt.groupBy("node").agg(*[F.max(F.when(F.col("k") == j, F.col("piece"))).alias(f"p{j}") for j in range(ORDERS - 1)])
+    inside = F.lit(False)
+    for j in range(ORDERS - 1):
+        inside = inside | ((F.min("k") > j) & (F.min(f"p{j}") == F.max(f"p{j}")))
+    some = dealt.join(before, "node").groupBy("piece").agg(F.count("*").alias("n"), inside.alias("inside")).filter("n > 1 AND NOT inside").select("piece")
     by_node = dealt.join(some, "piece", "left_semi").groupBy("node").agg(F.collect_list("piece").alias("pieces"))  # at most ORDERS
     wanted = stored(nodes.join(by_node, "node").select("doc_id", *SET, "node", "pieces"), "wanted", total)
     sets = _full_sets(docs, wanted, wanted.count()).select(F.explode("pieces").alias("piece"), "node", "shingles")
     return _links_in(sets, share)
 
 
+def _alike(alone: DataFrame, total: int) -> DataFrame:
+    """Nodes without links with gid, those that share two MinHash values with many others in groups; comp is the node's or such a group's own."""
+    two = [F.xxhash64(F.lit(i), F.lit(j), F.get("mins", F.lit(i)), F.get("mins", F.lit(j))) for i, j in itertools.combinations(range(VALUES), 2)]
+    cells = alone.select("node", F.explode(F.array(*two)).alias("cell"))
+    many = cells.groupBy("cell").agg(F.count("*").alias("c")).filter(F.col("c") >= FEWEST)
+    best = cells.join(many, "cell").groupBy("node").agg(F.max(F.struct("c", "cell")).alias("best")).select("node", "best.cell")
+    own = stored(alone.drop("mins").join(best, "node", "left"), "alone", total)
+    some = _pieces(own.filter("cell IS NOT NULL"), ["cell"], ["n_shingles", "node"], "alike").withColumn("gid", F.expr("-1 - (piece & 9223372036854775807)"))
+    rest = own.filter("cell IS NULL").withColumn("gid", F.col("node"))
+    return some.drop("piece", "cell").unionByName(rest.drop("cell")).withColumn("comp", F.col("gid"))
+
+
 def _groups(nodes: DataFrame, links: DataFrame, total: int) -> DataFrame:
-    """nodes with comp and gid, their component so far and their group in it, and the group's smallest and largest sets, lo and hi."""
+    """nodes with comp and gid, their component so far and their group in it, and the group's smallest and largest sets, lo and hi.
+
+    A group of sets of several components stands for a component of its own, with a comp below 0.
+    """
     found = components(links, total).select(F.col("id").alias("node"), F.col("component").alias("comp"))
-    own = stored(nodes.select("node", "doc_id", *SET, "n_shingles").join(found, "node", "left"), "components", total)
-    alone = own.filter("comp IS NULL").withColumn("comp", F.col("node")).withColumn("gid", F.col("node"))
+    own = stored(nodes.select("node", "doc_id", *SET, "n_shingles", "mins").join(found, "node", "left"), "components", total)
+    alone = _alike(own.filter("comp IS NULL").drop("comp"), total)
+    own = own.drop("mins")
     many = _pieces(own.filter("comp IS NOT NULL"), ["comp"], ["n_shingles", "node"], "grouped").withColumn("gid", F.expr("-1 - (piece & 9223372036854775807)")).drop("piece")
+    many = stored(many.unionByName(alone.filter("gid < 0")), "many", total)
     size = many.groupBy("gid").agg(F.min("n_shingles").alias("lo"), F.max("n_shingles").alias("hi"))
     n = F.col("n_shingles")
-    return stored(many.join(size, "gid").unionByName(alone.withColumns({"lo": n, "hi": n})), "groups", total)
+    return stored(many.join(size, "gid").unionByName(alone.filter("gid >= 0").withColumns({"lo": n, "hi": n})), "groups", total)
 
 
-def _matrix(docs: DataFrame, groups: DataFrame, share: int) -> DataFrame:
+def _matrix(docs: DataFrame, groups: DataFrame, share: int, total: int) -> DataFrame:
     """(token, gid, comp, lo, hi, pos, n): tokens in prefixes of groups of several components; n counts the token's groups."""
-    own = _prefixes(docs, share).join(groups, ["doc_id", *SET]).select("gid", "comp", "lo", "hi", F.posexplode("prefix").alias("pos", "token"))
-    own = stored(own, "prefixes")
+    bits = _key_bits(total)
+    listed = stored(_prefixes(docs, share, bits).join(groups, ["doc_id", *SET]).select("gid", "comp", "lo", "hi", "prefix"), "prefixes")
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _in_buckets(batch.column(0).flatten().to_numpy().view(np.uint64), bits)
+
+    # Most tokens are in one prefix only: those whose key isn't repeated go first, by 4 bytes each.
+    again = stored(_often(listed.select("prefix").mapInArrow(keys, _BUCKETS), 2).select("token"), "again")
+    short = F.xxhash64(F.shiftrightunsigned("token", 32 - bits))
+    wide = filter_bits(again.count())
+    own = listed.select("gid", "comp", "lo", "hi", F.posexplode("prefix").alias("pos", "token"))
+    own = stored(bloom_probe(own, bloom_words(again, [F.xxhash64("token")], wide), [short], wide, "maybe").filter("maybe").drop("maybe"), "repeated")
     key = ["token", "gid", "comp", "lo", "hi"]
     own = own.filter("gid >= 0").unionByName(own.filter("gid < 0").groupBy(*key).agg(F.min("pos").alias("pos")))
     shared = own.groupBy("token").agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("token", "n")
@@ -329,14 +397,37 @@ def _lone_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             names=["gid", "tokens", "bits", "nodes", "sizes"])
 
 
+def _joining(hit: np.ndarray) -> list[tuple[int, int]]:
+    """Links (row, column) of a matrix of links that join all that it joins."""
+    found, rows, columns = [], np.zeros(hit.shape[0], bool), np.zeros(hit.shape[1], bool)
+    for begin in np.flatnonzero(hit.any(axis=1)).tolist():
+        wait = [] if rows[begin] else [begin]
+        rows[begin] = True
+        while wait:
+            i = wait.pop()
+            for j in np.flatnonzero(hit[i] & ~columns).tolist():
+                columns[j] = True
+                found.append((i, j))
+                new = np.flatnonzero(hit[:, j] & ~rows).tolist()
+                rows[new] = True
+                found += [(k, j) for k in new]
+                wait += new
+    return found
+
+
 def opened(a: dict, b: dict, share: int) -> tuple[int, int] | None:
     """A link between the sets of two groups, if there is one: (node, node)."""
+    return next(iter(opened_links(a, b, share)), None)
+
+
+def opened_links(a: dict, b: dict, share: int) -> list[tuple[int, int]]:
+    """Links between the sets of two groups that join all that are joined by such links: (node, node)."""
     ta, tb = np.frombuffer(a["tokens"], np.uint64), np.frombuffer(b["tokens"], np.uint64)
     _, ia, ib = np.intersect1d(ta, tb, assume_unique=True, return_indices=True)
     na, nb = np.asarray(a["sizes"], np.int64), np.asarray(b["sizes"], np.int64)
     need = lambda x, y: -(-share * (x + y) // (100 + share))
     if len(ia) < need(na.min(), nb.min()):
-        return None
+        return []
     rows = []
     for x, t, i, own, other in ((a, ta, ia, na, nb), (b, tb, ib, nb, na)):
         bits = np.unpackbits(np.frombuffer(x["bits"], np.uint8).reshape(len(own), -1), axis=1, count=len(t))[:, i]
@@ -345,18 +436,21 @@ def opened(a: dict, b: dict, share: int) -> tuple[int, int] | None:
         rows.append((good, bits[good].astype(np.float32)))
     (ga, ba), (gb, bb) = rows
     if not len(ga) or not len(gb):
-        return None
+        return []
     both = (ba @ bb.T).astype(np.int64)
-    hit = np.argwhere(100 * both >= share * (na[ga][:, None] + nb[gb][None, :] - both))
-    return None if not len(hit) else (int(a["nodes"][ga[hit[0][0]]]), int(b["nodes"][gb[hit[0][1]]]))
+    hit = 100 * both >= share * (na[ga][:, None] + nb[gb][None, :] - both)
+    return [(int(a["nodes"][ga[i]]), int(b["nodes"][gb[j]])) for i, j in _joining(hit)]
 
 
 def _opened_links(docs: DataFrame, groups: DataFrame, pairs: DataFrame, share: int) -> DataFrame:
-    """(a, b) links between the groups of each pair."""
+    """(a, b) links between the groups of each pair, and inside groups of several components."""
     uses = pairs.select(F.explode(F.array("ga", "gb")).alias("gid")).groupBy("gid").agg(F.count("*").alias("uses"))
     uses = stored(uses.withColumn("copies", F.ceil(F.col("uses") / LIMIT).cast("int")), "uses")
-    wanted = stored(groups.join(uses, "gid", "left_semi").select("doc_id", *SET, "gid", "node"), "in_pairs")
-    sets = stored(_full_sets(docs, wanted, wanted.count()).select("gid", "node", "shingles"), "group_sets")
+    wanted = groups.join(uses, "gid", "left").filter("uses IS NOT NULL OR comp < 0")
+    wanted = stored(wanted.select("doc_id", *SET, "gid", "node", (F.col("comp") < 0).alias("mixed"), F.col("uses").isNotNull().alias("met")), "in_pairs")
+    sets = stored(_full_sets(docs, wanted, wanted.count()).select("gid", "node", "shingles", "mixed", "met"), "group_sets")
+    inner = _links_in(sets.filter("mixed").select(F.col("gid").alias("piece"), "node", "shingles"), share)
+    sets = sets.filter("met").drop("mixed", "met")
     lone = sets.filter("gid >= 0").dropDuplicates(["gid"]).mapInArrow(_lone_records, _RECORD)
     records = stored(lone.unionByName(sets.filter("gid < 0").groupBy("gid").applyInArrow(_record, _RECORD)), "records")
     spread = records.join(uses.select("gid", "copies"), "gid").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
@@ -371,13 +465,11 @@ def _opened_links(docs: DataFrame, groups: DataFrame, pairs: DataFrame, share: i
         for batch in batches:
             found = []
             for k in range(batch.num_rows):
-                link = opened(batch.column(0)[k].as_py(), batch.column(1)[k].as_py(), share)
-                if link:
-                    found.append(link)
+                found += opened_links(batch.column(0)[k].as_py(), batch.column(1)[k].as_py(), share)
             yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
             release()
 
-    return rows.select("ra", "rb").mapInArrow(run, "a long, b long")
+    return rows.select("ra", "rb").mapInArrow(run, "a long, b long").union(inner)
 
 
 def jaccard_components(docs: DataFrame, share: int = 80) -> DataFrame:
@@ -391,8 +483,8 @@ def jaccard_components(docs: DataFrame, share: int = 80) -> DataFrame:
 
     links = stored(_rough_links(docs, nodes, total, share), "rough_links", total)
     groups = _groups(nodes, links, total)
-    pairs = stored(candidate_pairs(_matrix(docs, groups, share), share), "pairs")
-    if pairs.limit(1).count():
+    pairs = stored(candidate_pairs(_matrix(docs, groups, share, total), share), "pairs")
+    if pairs.limit(1).count() or groups.filter("comp < 0").limit(1).count():
         links = links.union(_opened_links(docs, groups, pairs, share))
     ids = rows.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("top")).filter("a < top").drop("top")
     links = links.union(rows.join(ids, "doc_id").filter("node <> a").select(F.col("node").alias("a"), F.col("a").alias("b")))

@@ -130,3 +130,41 @@ def test_query_by_all_pairs(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     got = sorted((tuple(r) for r in registry.queries()["op12_jaccard_join"](spark, SF).select("doc_id", "n_shingles", "component_id").collect()), key=repr)
     assert got == expected(rows)
+
+
+def _below(seed, n, edits):
+    """Copies of one text, each with its own edits, so that most of them lie just below the threshold."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(n):
+        text = list(base)
+        for k in rng.sample(range(300), edits[i % len(edits)]):
+            text[k] = f"new{i}x{k}"
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+def test_family_below_the_threshold_meets_as_groups(spark, monkeypatch):
+    """A hundred sets that all are candidates of each other are opened as few pairs of groups, with the links of all pairs."""
+    for name, value in (("FEWEST", 4), ("GROUP", 8)):
+        monkeypatch.setattr(jaccard_join, name, value, raising=False)
+    made = []
+    own = jaccard_join.candidate_pairs
+    monkeypatch.setattr(jaccard_join, "candidate_pairs", lambda *a: made.append(own(*a)) or made[-1])
+    rows = _below(5, 100, [9])
+    want = expected(rows)
+    assert len({c for _, _, c in want}) > 90
+    assert found(spark, rows) == want
+    assert made[-1].count() < 100 * 99 / 2 / 5
+
+
+def test_links_inside_and_between_mixed_groups(spark, monkeypatch):
+    """Without rough links all sets lie in groups of several components, whose links inside and between them are all found."""
+    for name, value in (("FEWEST", 2), ("GROUP", 4)):
+        monkeypatch.setattr(jaccard_join, name, value, raising=False)
+    monkeypatch.setattr(jaccard_join, "_rough_links", lambda docs, nodes, total, share: nodes.selectExpr("node AS a", "node AS b").filter("false"))
+    rows = _below(6, 90, [4, 6, 7, 9, 12])
+    want = expected(rows)
+    assert 5 < len({c for _, _, c in want}) < 85
+    assert found(spark, rows) == want
