@@ -11,10 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# Single characters below U+0100 are one lookup of a bit set, and one range keeps most letters from the rest.
+_RARE_SPACE = r"\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]"
+SPACE = rf"[\x20{_RARE_SPACE}]"
 #: The characters of SPACE, for trimming without a pattern.
 SPACES = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
-LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
+LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028-\u2029]"
 WORD = r"[\p{L}\p{N}_]"
 DIGIT = r"\p{Nd}"
 
@@ -28,6 +30,11 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(SPACES))
 
 
+def single_spaced(c: Column) -> Column:
+    """Each run of white space as one space; runs that are one space already are no match."""
+    return F.regexp_replace(c, rf"(?:\x20{SPACE}|[{_RARE_SPACE}]){SPACE}*", " ")
+
+
 def lines(c: Column) -> Column:
     """Lines of a text, ends removed. A text that ends in a line end has an empty last line here."""
     return F.split(c, LINE_END)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import DIGIT, SPACE, filled_lines, let, lines, strip
+from ..functions.text import DIGIT, filled_lines, let, lines, single_spaced, strip
 
 
 def printed_page_number(text: Column) -> Column:
@@ -20,7 +20,7 @@ _NOISE = rf"\A(?:{DIGIT}{{1,4}}|[ivxlcdmIVXLCDM]{{1,8}}|[.\-_=]{{5,}})\z"
 
 def clean_text(text: Column) -> Column:
     kept = F.filter(F.transform(lines(text), strip), lambda x: ~F.regexp_like(x, F.lit(_NOISE)))
-    joined = F.array_join(F.transform(kept, lambda x: F.regexp_replace(x, rf"{SPACE}+", " ")), "\n")
+    joined = F.array_join(F.transform(kept, lambda x: single_spaced(x)), "\n")
     return strip(F.regexp_replace(joined, r"\n{3,}", "\n\n"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import schemas
-from ..functions.text import count_words, pack_sentences, sentences
+from ..functions.text import count_words, let, pack_sentences, sentences
 from ..operators.chapters import build_chapters, section_table, toc_entries, with_section
 from ..operators.chunks import BookProfile, build_chunks, chapter_index, counts_by_type
 from ..operators.entities import alias_rows, mention_finder, normalize_chapters, unmapped_candidates
@@ -21,7 +21,7 @@ from ..operators.report import chapter_preview
 from ..operators.translate import prompts, select_chapters, translate
 from ..shipping import ship
 from ..sources import readers, writers
-from ..storage import shared_dir, spread
+from ..storage import shared_dir, spread, stored
 from .pipeline import answer_types as answer_type_counts
 from .pipeline import page_counts as counted_pages
 from .pipeline import toc_view
@@ -401,8 +401,9 @@ def _books(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def toc_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chapters of every document's book: contents, page spans, texts, warnings."""
-    pages = clean_pages(_books(spark, sf_dir))
-    entries = toc_entries(pages, ["doc_id"])
+    # Pages are used three times, entries twice: both are made once.
+    pages = stored(clean_pages(_books(spark, sf_dir)), "pages")
+    entries = stored(toc_entries(pages, ["doc_id"]), "entries")
     own = build_chapters(pages, entries, ["doc_id"]).join(entries.select("doc_id", "chapter_number", F.col("printed_page_number").alias("toc_page")), ["doc_id", "chapter_number"])
     return own.select(
         "doc_id", "chapter_number", "chapter_id", "kanda_telugu", "kanda_english", "chapter_title_telugu", "toc_page", "sarga_range", F.array_join(F.col("source_pdf_pages").cast("array<string>"), ",").alias("pages"),
@@ -438,8 +439,8 @@ def qa_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def question_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's text as the answers of five marked questions, parsed back."""
-    t = F.coalesce("text", F.lit(""))
-    body = F.concat(*[F.concat(F.lit(f"\n{i}. ప్రశ్న: q{i}?\nజవాబు: "), F.regexp_replace(t, r"[^a-z ]+", " ")) for i in range(1, 6)])
+    t = F.regexp_replace(F.coalesce("text", F.lit("")), r"[^a-z ]+", " ")
+    body = let(t, lambda x: F.concat(*[F.concat(F.lit(f"\n{i}. ప్రశ్న: q{i}?\nజవాబు: "), x) for i in range(1, 6)]))
     own = parse_questions(_documents(spark, sf_dir).select("doc_id", body.alias("raw_telugu_text")))
     return own.select("doc_id", F.explode_outer("questions").alias("q")).filter("q IS NOT NULL").select("doc_id", "q.question_number", "q.question_telugu", "q.answer_type", F.length("q.answer_telugu").cast("long").alias("answer_chars"))
 

@@ -133,3 +133,31 @@ def test_promotion_and_unnumbered_markers(spark, text, first):
         assert q[0].question_telugu == "a\nప్రశ్న b"
     if ": :" in text:
         assert q[0].question_telugu == "b"
+
+
+def test_patterns_start_with_a_character(spark):
+    """White space of all kinds, single spaces untouched, markers at the start, after white space, and after another marker."""
+    from folioforge.functions.text import SPACE, SPACES, lines, single_spaced
+    from folioforge.operators import questions
+
+    every = [(i, chr(i)) for i in range(1, 0x10000) if not 0xD800 <= i < 0xE000]
+    got = spark.createDataFrame(every, "i int, c string").filter(F.regexp_like("c", F.lit(SPACE))).select("c").collect()
+    assert sorted(r.c for r in got) == sorted(SPACES)
+    odd = "a b  c\t d\u3000e \u00a0 f\u2028g\r\nh\x1ci\x85j"
+    row = spark.createDataFrame([(odd,)], "t string").select(single_spaced(F.col("t")).alias("s"), lines(F.col("t")).alias("l")).first()
+    assert row.s == "a b c d e f g h i j" and len(row.l) == 5
+    assert not questions._TOKEN.startswith("(?:")
+    text = "1. ప్రశ్న\n2 ప్రశ్న\n3వ) ప్రశ్న :x\n\n 4. ప్రశ్న: y\tz  w 11. no 1. a ౧1. b 2) c\nప్రశ్న q"
+    got = spark.createDataFrame([(text,)], "raw_telugu_text string").select(questions._tokens(questions.normalized(F.col("raw_telugu_text"))).alias("t")).first().t
+    assert [(t.number, t.text.strip()) for t in got] == [("1", ""), ("2", ""), ("3", "x"), ("4", "y z w 11. no 1. a ౧1. b 2) c"), ("", "q")]
+    cut = spark.createDataFrame([("11. no 1. a ౧1. b 2) c",)], "t string").select(questions._marked(F.col("t")).alias("m")).first().m
+    assert cut == ["11. no ", "1\x02a ౧1. b ", "2\x02c"]
+
+
+@pytest.mark.skipif(not __import__("os").path.isdir("/root/testdata/sf0.001"), reason="needs the driver's tables")
+def test_queries_make_texts_once(spark):
+    from folioforge.plans import queries
+
+    assert not [f for f in queries.toc_spans(spark, "/root/testdata/sf0.001").inputFiles() if "documents" in f]
+    made = queries.question_markers(spark, "/root/testdata/sf0.001")._jdf.queryExecution().analyzed().toString()
+    assert made.count("[^a-z ]+") == 1
