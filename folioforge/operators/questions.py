@@ -24,8 +24,10 @@ EXPECTED_QUESTIONS = 5
 _S = f"{SPACE}*"
 _LINE = r"(?:\A|(?<=\n)|\n)"
 _QUESTION = rf"{_LINE}{_S}([1-5]){_S}వ?{_S}[.)]?{_S}{QUESTION_WORDS}{_S}:?"
-_TOKEN = rf"{_LINE}{_S}(?:([1-5]){_S}వ?{_S}[.)]?{_S}{QUESTION_WORDS}{_S}:?|{QUESTION_WORDS})"
-_OPTION = rf"(?<!\p{{Nd}})([1-4]){_S}[.)]{_S}"
+# Begins with a plain character, so that a scan rejects all others at once. It ends before white space without a colon, so the line end of a
+# next token is there; a text is given one in front.
+_TOKEN = rf"\n{_S}(?:([1-5]){_S}వ?{_S}[.)]?{_S}{QUESTION_WORDS}(?:{_S}:)?|{QUESTION_WORDS})"
+_OPTION = rf"([1-4])(?<!\p{{Nd}}[1-4]){_S}[.)]{_S}"
 _FALLBACK = rf"\n{_S}[^\n]*{SECTION_WORD}{_S}\n{_S}1{_S}\.{_S}[1-4]{_S}\..*?2{_S}\.{_S}[1-4]{_S}\..*?3{_S}\."
 _KEY = rf"(?s)([1-5]){_S}\.{_S}(?:([1-4]){_S}\.{_S})?(.*?)(?=(?:{SPACE}+[1-5]{_S}\.)|\z)"
 #: Signs around tokens: a token's start, the end of its number or label, the end of its text.
@@ -42,14 +44,14 @@ def _only(c: Column, needs: tuple[str, ...], change: Callable[[Column], Column])
 
 
 def normalized(c: Column) -> Column:
-    for needs, pattern, new in (("\r",), r"\r\n?", "\n"), (("  ", "\t"), "[ \t]+", " "), ((":",), rf"\n{_S}:{_S}", ": "), (("\n\n\n",), r"\n{3,}", "\n\n"):
+    for needs, pattern, new in (("\r",), r"\r\n?", "\n"), (("\t",), "\t", " "), (("  ",), " {2,}", " "), ((":",), rf"\n{_S}:{_S}", ": "), (("\n\n\n",), r"\n{3,}", "\n\n"):
         c = let(c, lambda x: _only(x, needs, lambda y: F.regexp_replace(y, pattern, new)))  # noqa: B023
     return strip(c)
 
 
 def _tokens(c: Column) -> Column:
     """array<struct<number, marker, text>> of a text's question markers and what follows each; the number of some is empty."""
-    pieces = F.split(F.regexp_replace(c, _TOKEN, f"{_AT}$1{_END}$0{_TEXT}"), _AT)
+    pieces = F.split(F.regexp_replace(F.concat(F.lit("\n"), c), _TOKEN, f"{_AT}$1{_END}$0{_TEXT}"), _AT)
     after = lambda p, sign: p.substr(F.instr(p, sign) + 1, F.length(p))
     own = lambda p: let(after(p, _END), lambda rest: F.struct(F.substring_index(p, _END, 1).alias("number"), F.substring_index(rest, _TEXT, 1).alias("marker"), after(rest, _TEXT).alias("text")))
     return F.transform(F.slice(pieces, 2, F.size(pieces)), own)
@@ -108,7 +110,7 @@ def answer_keys(section: Column) -> Column:
 
 def _marked(c: Column) -> Column:
     """The text cut at its option markers; every part but the first begins with its label and an end sign."""
-    return F.split(F.regexp_replace(c, _OPTION, f"{_AT}$1{_END}"), _AT)
+    return F.split(let(c, lambda t: _only(t, ("1", "2", "3", "4"), lambda x: F.regexp_replace(x, _OPTION, f"{_AT}$1{_END}"))), _AT)
 
 
 def options(answer: Column) -> Column:
